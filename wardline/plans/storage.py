@@ -1,0 +1,45 @@
+"""Written intermediates and size checks.
+
+A step that several later steps read is written once, as parquet, to the folder
+the cluster names in ``spark.checkpoint.dir``.  That cuts the lineage, survives
+the loss of any executor, and gives the planner the true size of the table.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """This application's folder below the shared checkpoint folder.
+
+    ``spark.checkpoint.dir`` rules; where it is unset, a checkpoint folder set on
+    the context serves (tests set one).
+    """
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not root:
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return f"{root.rstrip('/')}/wardline-{context.applicationId}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` and return it as read back."""
+    spark = df.sparkSession
+    path = f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """True when the planner would broadcast ``df``: its own size estimate, its own limit.
+
+    No job runs.  Written tables and literal rows have known sizes; anything whose
+    size is unknown is estimated high and so does not fit.
+    """
+    spark = df.sparkSession
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
