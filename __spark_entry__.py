@@ -26,8 +26,6 @@ from wardline.operators import (  # noqa: E402
     death,
     demographics,
     expansion,
-    history,
-    labs,
     output,
     privacy,
     severity,
@@ -78,10 +76,16 @@ def _cohort_by_result(s: Study) -> DataFrame:
     return cohort.cohort(by_result.index_events, by_result.admissions)
 
 
+def _with_maps(s: Study, lab_rows: DataFrame | None = None, med_rows: DataFrame | None = None) -> Study:
+    """The study again, with rows added to its maps from the start."""
+    lab_map = s.lab_map.unionByName(lab_rows) if lab_rows is not None else s.lab_map
+    med_map = s.med_map.unionByName(med_rows) if med_rows is not None else s.med_map
+    return Study(s.sources, Maps(s.code_map, lab_map, med_map), s.cfg)
+
+
 def _expanded_labs(s: Study) -> DataFrame:
-    wide = s.lab_map.unionByName(expansion.expand_lab_map(s.lab_map, s.sources.concepts))
-    by_wide_map = Study(s.sources, Maps(s.maps.code_map, wide, s.maps.med_map), s.cfg)
-    return labs.labs(s.facts, s.cohort, by_wide_map.lab_map)
+    wide = _with_maps(s, lab_rows=expansion.expand_lab_map(s.lab_map, s.sources.concepts))
+    return _rounded(raw_table(wide, LABS))
 
 
 def _expand_meds(s: Study) -> DataFrame:
@@ -91,9 +95,7 @@ def _expand_meds(s: Study) -> DataFrame:
 
 
 def _expanded_meds(s: Study) -> DataFrame:
-    wide = s.med_map.unionByName(_expand_meds(s))
-    by_wide_map = Study(s.sources, Maps(s.maps.code_map, s.maps.lab_map, wide), s.cfg)
-    return history.medications(s.facts, s.cohort, by_wide_map.med_map)
+    return raw_table(_with_maps(s, med_rows=_expand_meds(s)), MEDICATIONS)
 
 
 def _site_stamped(s: Study) -> DataFrame:
@@ -137,7 +139,7 @@ def _rule_violations(s: Study) -> DataFrame:
 def _rule_violations_labs(s: Study) -> DataFrame:
     """A second unit for one lab breaks the key of the lab table."""
     second = local_rows(s.lab_map.sparkSession, [oracle.MIXED_UNITS_ROW], schemas.LAB_MAP)
-    mixed = labs.labs(s.facts, s.cohort, s.lab_map.unionByName(second))
+    mixed = raw_table(_with_maps(s, lab_rows=second), LABS)
     return checks.check_rules(privacy.with_site(mixed, s.cfg), LABS.name, checks.OUTPUT_RULES[LABS.name])
 
 
@@ -208,7 +210,7 @@ def queries() -> dict[str, Query]:
         "demographics_no_race": _over_study(_raw(DEMOGRAPHICS), include_race=False),
         "demographics_race_in_facts": _over_study(_raw(DEMOGRAPHICS), race_in_fact_table=True),
         "labs_before_admission": _over_study(_raw(LABS), lab_min_day=-60),
-        "labs_expanded": _over_study(lambda s: _rounded(_expanded_labs(s))),
+        "labs_expanded": _over_study(_expanded_labs),
         "medications_expanded": _over_study(_expanded_meds),
         "codes_under_path": lambda spark, sf_dir: testdata.positive_codes(
             spark, testdata.concepts(spark, sf_dir)

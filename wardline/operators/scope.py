@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardline.config import SiteConfig
+from wardline.functions.clinical import severe_by_code
 from wardline.plans.storage import fits_broadcast
 
 
@@ -27,3 +29,26 @@ def on_or_after(facts: DataFrame, cohort: DataFrame, days: int) -> DataFrame:
     kind = facts.schema["start_date"].dataType
     bound = cohort.select(F.date_add(F.min("admission_date"), days).cast(kind)).scalar()
     return facts.filter(F.col("start_date") >= bound)
+
+
+def report_facts(
+    facts: DataFrame, code_map: DataFrame, lab_map: DataFrame, med_map: DataFrame, cfg: SiteConfig
+) -> DataFrame:
+    """Facts that any table of the report can use: mapped codes, diagnoses, severe procedures.
+
+    Only the last-fact date of the deceased needs more than these.
+    """
+    concept = F.col("concept_cd")
+    mapped = (
+        code_map.select("local_code")
+        .union(lab_map.select("local_lab_code"))
+        .union(med_map.select("local_med_code"))
+        .distinct()
+        .toDF("concept_cd")
+        .withColumn("mapped", F.lit(True))
+    )
+    wanted = F.col("mapped") | severe_by_code(concept, cfg)
+    for prefix in (cfg.code_prefix_icd9cm, cfg.code_prefix_icd10cm):
+        if prefix:
+            wanted = wanted | concept.startswith(prefix)
+    return facts.join(mapped, "concept_cd", "left").filter(wanted).select(facts.columns)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from wardline.config import SiteConfig
 from wardline.operators import calendar, cohort as cohort_steps, death, severity
-from wardline.operators.scope import of_patients
+from wardline.operators.scope import of_patients, report_facts
 from wardline.plans.storage import fits_broadcast, materialize
 from wardline.sources.maps import Maps
 from wardline.sources.readers import Sources
@@ -61,17 +61,26 @@ class Study:
         """The cohort before anyone is classified."""
         return materialize(cohort_steps.cohort(self.index_events, self.admissions), "admitted")
 
+    @cached_property
+    def cohort_fits_broadcast(self) -> bool:
+        return fits_broadcast(self.admitted.select("patient_num"))
+
     @cached_property
     def facts(self) -> DataFrame:
         """The cohort's facts, written once: later steps read these, not the whole table.
 
-        Any age of fact is kept, as some steps have no lower bound.  For a cohort too
-        large to broadcast the whole table stays in use, since cutting it down would
-        shuffle it; every step then reduces its own facts first.
+        Facts of any age stay in, as some steps have no lower bound.  A small cohort is
+        broadcast and the facts do not move.  For a large one the facts have to be
+        shuffled by patient, so only those the report can use are; no step follows the
+        join, which leaves Spark free to split a patient with very many facts.
         """
-        if not fits_broadcast(self.admitted.select("patient_num")):
-            return self.sources.facts
-        return materialize(of_patients(self.sources.facts, self.admitted), "facts")
+        if self.cohort_fits_broadcast:
+            return materialize(of_patients(self.sources.facts, self.admitted), "facts")
+        usable = report_facts(
+            self.sources.facts, self.code_map, self.lab_map, self.med_map, self.cfg
+        )
+        keys = self.admitted.select("patient_num")
+        return materialize(usable.join(keys, "patient_num", "left_semi"), "facts")
 
     @cached_property
     def severe_events(self) -> DataFrame:
@@ -94,8 +103,12 @@ class Study:
         """The classified cohort."""
         classified = self.deceased_cohort
         if self.cfg.death_data_accurate and self.cfg.correct_death_by_last_fact:
-            classified = materialize(classified, "deceased")
-            classified = death.correct_death_by_last_fact(classified, self.facts)
+            if self.cohort_fits_broadcast:
+                facts = self.facts
+            else:  # the written facts lack codes that no table uses
+                facts = self.sources.facts
+                classified = materialize(classified, "deceased")
+            classified = death.correct_death_by_last_fact(classified, facts)
         return materialize(classified, "cohort")
 
     @cached_property
