@@ -145,7 +145,7 @@ def _rule_violations_labs(s: Study) -> DataFrame:
 
 def _of_table(spec: TableSpec) -> dict[str, Query]:
     """Protection and output of one table."""
-    source = oracle.SOURCE[spec.name]
+    source, limit = oracle.SOURCE[spec.name], oracle.MASK[spec.name]
 
     def raw(s: Study) -> DataFrame:
         return _rounded(raw_table(s, spec))
@@ -157,13 +157,16 @@ def _of_table(spec: TableSpec) -> dict[str, Query]:
         f"blur_{source}": _over_study(
             lambda s: privacy.blur_counts(raw(s), spec, oracle.BLUR, s.cfg.blur_salt)
         ),
-        f"masked_{source}": _over_study(lambda s: privacy.mask_table(raw(s), spec, oracle.MASK)),
-        f"table_{source}": _over_study(lambda s: output.as_table(stamped(s), spec)),
+        f"masked_{source}": _over_study(lambda s: privacy.mask_table(raw(s), spec, limit)),
+        f"table_{source}": _over_study(
+            lambda s: output.as_table(stamped(s), spec), obfuscation_small_count_mask=limit
+        ),
         f"csv_{source}": _over_study(
             lambda s: output.as_csv_lines(privacy.with_site(raw(s), s.cfg), spec)
         ),
         f"protected_{source}": _over_study(
             stamped,
+            obfuscation_small_count_mask=limit,
             obfuscation_blur=oracle.BLUR,
             obfuscation_small_count_delete=True,
             obfuscation_demographics=True,
@@ -171,7 +174,7 @@ def _of_table(spec: TableSpec) -> dict[str, Query]:
     }
     if spec.delete_if_all_small:
         found[f"deleted_{source}"] = _over_study(
-            lambda s: privacy.delete_small(raw(s), spec.delete_if_all_small, oracle.MASK)
+            lambda s: privacy.delete_small(raw(s), spec.delete_if_all_small, limit)
         )
     return found
 
@@ -221,7 +224,7 @@ def queries() -> dict[str, Query]:
             lambda s: privacy.suppress_combinations(raw_table(s, DEMOGRAPHICS))
         ),
         "masked_daily_counts_sentinels": _over_study(
-            lambda s: privacy.mask_table(raw_table(s, DAILY), DAILY, oracle.MASK, protect_sentinels=True),
+            lambda s: privacy.mask_table(raw_table(s, DAILY), DAILY, oracle.MASK[DAILY.name], protect_sentinels=True),
             death_data_accurate=False,
         ),
         "site_stamped": _over_study(_site_stamped),

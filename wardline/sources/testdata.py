@@ -95,14 +95,12 @@ def _days(ts: str) -> Column:
 
 
 def _moment(day: Column, hour: Column) -> Column:
-    return day.cast("timestamp_ntz") + F.make_dt_interval(hours=hour.cast("int"))
+    return F.timestamp_add("HOUR", hour, day.cast("timestamp_ntz"))
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    slot = F.col("l_partkey") % 200
-    concept = None
-    for last, code in CONCEPT_RANGES:
-        concept = F.when(slot <= last, code) if concept is None else concept.when(slot <= last, code)
+    branches = " ".join(f"WHEN slot <= {last} THEN '{code}'" for last, code in CONCEPT_RANGES)
+    concept = F.expr(f"CASE {branches} END".replace("slot", "l_partkey % 200"))
     value = (
         F.when(F.col("l_partkey") % 23 == 0, None)
         .when(F.col("l_quantity") > 48, -F.col("l_quantity"))
@@ -146,16 +144,14 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, balance = F.col("c_custkey"), F.col("c_acctbal")
-    sex = F.lit(None).cast("string")
-    for segment, code in SEX_CODES.items():
-        sex = F.when(F.col("c_mktsegment") == segment, code).otherwise(sex)
+    sexes = " ".join(f"WHEN '{segment}' THEN '{code}'" for segment, code in SEX_CODES.items())
     age = (key % 101).cast("int")
     return _table(spark, sf_dir, "customer").select(
         key.alias("patient_num"),
-        sex.alias("sex_cd"),
+        F.expr(f"CASE c_mktsegment {sexes} END").alias("sex_cd"),
         F.when(key % 37 == 0, None).otherwise(age).alias("age_in_years_num"),
         F.date_sub(F.lit(date(2020, 6, 30)), 365 * age).alias("birth_date"),
-        F.element_at(F.array(*map(F.lit, RACE_CODES)), F.col("c_nationkey") % 8 + 1).alias("race_cd"),
+        F.element_at(F.lit(RACE_CODES), F.col("c_nationkey") % 8 + 1).alias("race_cd"),
         F.when(balance < 0, F.date_add(F.lit(date(2020, 7, 15)), (key % 60).cast("int"))).alias(
             "death_date"
         ),
