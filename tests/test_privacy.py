@@ -1,0 +1,106 @@
+import pytest
+from conftest import rows, settings
+from pyspark.sql import functions as F
+
+from wardline.operators import privacy
+from wardline.operators.tables import COURSE, DAILY, DEMOGRAPHICS, DIAGNOSES, LABS
+
+
+def course(spark, *data):
+    return spark.createDataFrame(
+        list(data),
+        "days_since_admission int, num_patients_all_still_in_hospital long, "
+        "num_patients_ever_severe_still_in_hospital long",
+    )
+
+
+def test_blur_is_bounded_even_and_repeatable(spark):
+    table = spark.range(4000).select(
+        F.col("id").cast("int").alias("days_since_admission"),
+        *[F.lit(100).cast("long").alias(c) for c in COURSE.counts],
+    )
+    blurred = privacy.blur_counts(table, COURSE, 3, "s")
+    first, second = COURSE.counts
+    found = rows(blurred)
+    assert found == rows(privacy.blur_counts(table.repartition(5), COURSE, 3, "s"))
+    assert found != rows(privacy.blur_counts(table, COURSE, 3, "t"))
+    noise = [r[1] - 100 for r in found]
+    assert set(noise) == {-3, -2, -1, 0, 1, 2, 3}
+    assert abs(sum(noise) / len(noise)) < 0.15
+    assert sum(r[1] != r[2] for r in found) > 2000  # cells of a row differ
+    assert blurred.schema[first].dataType == table.schema[first].dataType
+    assert second in blurred.columns
+
+
+def test_mask_hides_zeros_too_and_is_idempotent(spark):
+    table = course(spark, (0, 10, 9), (1, 0, 0))
+    once = privacy.mask_table(table, COURSE, 10)
+    assert rows(once) == [(0, 10, -99), (1, -99, -99)]
+    assert rows(privacy.mask_table(once, COURSE, 10)) == rows(once)
+
+
+@pytest.mark.parametrize("protect, expected", [(False, -99), (True, -999)])
+def test_sentinels_are_masked_unless_protected(spark, protect, expected):
+    row = spark.sql("select date'2020-03-01' calendar_date").select(
+        "calendar_date", *[F.lit(-999 if "dead" in c else 50).cast("long").alias(c) for c in DAILY.counts]
+    )
+    cfg = settings(obfuscation_blur=0, protect_sentinels=protect)
+    assert privacy.protect(row, DAILY, cfg).first().cumulative_patients_dead == expected
+    blurred = privacy.blur_counts(row, DAILY, 2, "s", protect).first()
+    assert (blurred.cumulative_patients_dead == -999) or not protect
+
+
+def test_lab_blocks_are_masked_whole(spark):
+    values = {c: 5.5 for c in LABS.columns}
+    values.update(loinc="A", days_since_admission=0, units=None, num_patients_all=12, num_patients_ever_severe=0)
+    kinds = {c: "double" for c in LABS.columns}
+    kinds.update(
+        loinc="string", units="string", days_since_admission="int",
+        num_patients_all="long", num_patients_ever_severe="long",
+    )
+    table = spark.createDataFrame(
+        [tuple(values[c] for c in LABS.columns)], ", ".join(f"{c} {kinds[c]}" for c in LABS.columns)
+    )
+    row = privacy.mask_table(table, LABS, 10).first().asDict()
+    assert row["num_patients_all"] == 12 and row["mean_value_all"] == 5.5
+    assert {row[c] for c in LABS.blocks["num_patients_ever_severe"]} == {-99.0}
+    assert row["num_patients_ever_severe"] == -99
+    everything = privacy.mask_table(table, LABS, 13).first().asDict()
+    assert {everything[c] for c in LABS.blocks["num_patients_all"]} == {-99.0}
+
+
+def demographic_rows(spark):
+    data = [("all", "all", "all"), ("male", "all", "all"), ("male", "26to49", "all"), ("all", "all", "white")]
+    return spark.createDataFrame(
+        [(*r, 50, 20) for r in data],
+        "sex string, age_group string, race string, num_patients_all long, num_patients_ever_severe long",
+    )
+
+
+def test_combinations_are_suppressed(spark):
+    found = {r[:3]: r[3:] for r in rows(privacy.suppress_combinations(demographic_rows(spark)))}
+    assert found["male", "all", "all"] == found["all", "all", "white"] == (50, 20)
+    assert found["all", "all", "all"] == found["male", "26to49", "all"] == (-999, -999)
+
+
+def test_delete_needs_both_windows_small(spark):
+    table = spark.createDataFrame(
+        [("A00", 10, 9, 9, 1, 1), ("B00", 10, 9, 10, 1, 1), ("C00", 10, -99, 10, 1, 1), ("D00", 10, -99, -99, 1, 1)],
+        "icd_code_3chars string, icd_version int, " + ", ".join(f"{c} long" for c in DIAGNOSES.counts),
+    )
+    kept = privacy.delete_small(table, DIAGNOSES.delete_if_all_small, 10)
+    assert [r[0] for r in rows(kept)] == ["B00", "C00"]
+
+
+def test_order_of_protection(spark):
+    """Masked rows are deleted by the same threshold; demographics rows never are."""
+    cfg = settings(obfuscation_small_count_delete=True, obfuscation_demographics=True)
+    assert rows(privacy.protect(course(spark, (0, 9, 0), (1, 10, 0)), COURSE, cfg)) == [(1, 10, -99)]
+    assert privacy.protect(demographic_rows(spark), DEMOGRAPHICS, cfg).count() == 4
+    plain = settings(obfuscation_small_count_mask=0)
+    assert rows(privacy.protect(course(spark, (0, 9, 0)), COURSE, plain)) == [(0, 9, 0)]
+
+
+def test_site_comes_first(spark):
+    stamped = privacy.with_site(course(spark, (0, 9, 0)), settings(siteid="ABC"))
+    assert stamped.columns[0] == "siteid" and stamped.first().siteid == "ABC"
