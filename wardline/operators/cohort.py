@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions.clinical import first_day
+from wardline.operators.scope import join_codes
 
 
 def index_events(facts: DataFrame, code_map: DataFrame, code: str = "covidpos") -> DataFrame:
     """First day a mapped positive code was recorded for each patient."""
     codes = code_map.filter(F.col("code") == code).select(F.col("local_code").alias("concept_cd"))
     return (
-        facts.select("patient_num", "concept_cd", "start_date")
-        .join(codes, "concept_cd", "left_semi")
+        join_codes(facts.select("patient_num", "concept_cd", "start_date"), codes, "left_semi")
         .groupBy("patient_num")
         .agg(first_day(F.min("start_date")).alias("covid_pos_date"))
     )

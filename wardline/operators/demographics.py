@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wardline.config import SiteConfig
 from wardline.functions.clinical import age_band, age_in_years
 from wardline.operators.daily import NOT_AVAILABLE
+from wardline.operators.scope import facts_of, join_codes
 
 SEXES = ["male", "female"]
 RACES = ["american_indian", "asian", "black", "hawaiian_pacific_islander", "white"]
@@ -26,20 +27,21 @@ def _coded(rows: DataFrame, local: str, code_map: DataFrame, codes: list[str], n
     return rows.select("patient_num", local).join(wanted, local).select("patient_num", name)
 
 
-def _race_rows(patients: DataFrame, facts: DataFrame, code_map: DataFrame, cfg: SiteConfig):
-    """Race rows of the patient table and of the facts, as the site's flags say."""
+def _race_sources(cfg: SiteConfig) -> tuple[list[str], list[str]]:
+    """Race codes to look for in the patient table, and in the facts."""
     if not cfg.include_race:
-        return []
+        return [], []
     in_facts = (RACES if cfg.race_in_fact_table else []) + (
         ETHNICITIES if cfg.hispanic_in_fact_table else []
     )
-    in_patients = [c for c in RACES + ETHNICITIES if c not in in_facts]
-    parts = []
-    if in_patients:
-        parts.append(_coded(patients, "race_cd", code_map, in_patients, "race"))
-    if in_facts:
-        parts.append(_coded(facts, "concept_cd", code_map, in_facts, "race"))
-    return parts
+    return [c for c in RACES + ETHNICITIES if c not in in_facts], in_facts
+
+
+def _coded_facts(facts: DataFrame, code_map: DataFrame, codes: list[str]) -> DataFrame:
+    wanted = code_map.filter(F.col("code").isin(codes)).select(
+        F.col("local_code").alias("concept_cd"), F.col("code").alias("race")
+    )
+    return join_codes(facts.select("patient_num", "concept_cd", "start_date"), wanted)
 
 
 def known_attributes(
@@ -56,18 +58,27 @@ def known_attributes(
     row and a count ``n``, formed before anything is shuffled by patient.
     ``cfg.dedupe_race`` keeps one.
     """
+    everyone = cohort.select("patient_num")
+
+    def of_cohort(rows: DataFrame) -> DataFrame:
+        if counted:
+            rows = rows.groupBy(rows.columns).agg(F.count("*").alias("n"))
+        return rows.join(everyone, "patient_num", "left_semi")
+
     ages = patients.select("patient_num", age_band(age_in_years(cfg)).alias("age_group"))
-    parts = [_coded(patients, "sex_cd", code_map, SEXES, "sex"), ages]
-    races = _race_rows(patients, facts, code_map, cfg)
+    parts = [of_cohort(_coded(patients, "sex_cd", code_map, SEXES, "sex")), of_cohort(ages)]
+    in_patients, in_facts = _race_sources(cfg)
+    races = []
+    if in_patients:
+        races.append(_coded(patients, "race_cd", code_map, in_patients, "race"))
+    if in_facts and (counted or cfg.dedupe_race):
+        races.append(_coded_facts(facts, code_map, in_facts).select("patient_num", "race"))
+    elif in_facts:  # every row is kept, so the join itself has to spread them
+        rows = facts_of(_coded_facts(facts, code_map, in_facts), cohort)
+        parts.append(rows.select("patient_num", "race"))
     if cfg.dedupe_race and races:
         races = [reduce(DataFrame.unionByName, races).distinct()]
-    everyone = cohort.select("patient_num")
-    parts = [
-        (p.groupBy(p.columns).agg(F.count("*").alias("n")) if counted else p).join(
-            everyone, "patient_num", "left_semi"
-        )
-        for p in parts + races
-    ]
+    parts += [of_cohort(rows) for rows in races]
     known = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     if "race" not in known.columns:
         known = known.withColumn("race", F.lit(None).cast("string"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wardline.config import SiteConfig
 from wardline.functions.clinical import closing_day, first_day
-from wardline.operators.scope import of_patients, on_or_after
+from wardline.operators.scope import join_codes, of_patients, on_or_after
 
 LOOKBACK_DAYS = 365
 GAP_DAYS = 15
@@ -75,9 +75,6 @@ def diagnoses(facts: DataFrame, cohort: DataFrame, cfg: SiteConfig) -> DataFrame
 def medications(facts: DataFrame, cohort: DataFrame, med_map: DataFrame) -> DataFrame:
     """Patients per medication class."""
     classes = med_map.select(F.col("local_med_code").alias("concept_cd"), "med_class").distinct()
-    events = (
-        on_or_after(of_patients(facts, cohort), cohort, -LOOKBACK_DAYS)
-        .select("patient_num", "concept_cd", "start_date")
-        .join(classes, "concept_cd")
-    )
+    recent = on_or_after(of_patients(facts, cohort), cohort, -LOOKBACK_DAYS)
+    events = join_codes(recent.select("patient_num", "concept_cd", "start_date"), classes)
     return _before_and_since(events, cohort, ["med_class"])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions.clinical import SEVERE_LOINCS, first_day
 from wardline.operators.daily import NOT_AVAILABLE
-from wardline.operators.scope import of_patients, on_or_after
+from wardline.operators.scope import join_codes, of_patients, on_or_after
 
 LOG_OFFSET = 0.5
 VALUE_COLUMNS = ["mean_value", "stdev_value", "mean_log_value", "stdev_log_value"]
@@ -24,10 +24,9 @@ def labs(facts: DataFrame, cohort: DataFrame, lab_map: DataFrame, min_day: int =
         F.col("local_lab_code").alias("concept_cd"), "loinc", "scale_factor", "lab_units"
     )
     value = F.col("nval_num") * F.col("scale_factor")
+    recent = on_or_after(of_patients(facts, cohort), cohort, min_day)
     per_day = (
-        on_or_after(of_patients(facts, cohort), cohort, min_day)
-        .filter(F.col("nval_num") >= 0)
-        .join(scales, "concept_cd")
+        join_codes(recent.filter(F.col("nval_num") >= 0), scales)
         .groupBy("patient_num", "loinc", "lab_units", first_day("start_date").alias("day"))
         .agg(F.avg(value).alias("value"), F.avg(F.ln(value + LOG_OFFSET)).alias("log_value"))
     )

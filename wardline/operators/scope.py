@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from wardline.config import SiteConfig
 from wardline.functions.clinical import severe_by_code
 from wardline.plans.storage import fits_broadcast
 
+SALTS = 32
+
 
 def of_patients(facts: DataFrame, patients: DataFrame) -> DataFrame:
     """Drop other patients' facts where that costs no shuffle.
@@ -23,12 +27,45 @@ def of_patients(facts: DataFrame, patients: DataFrame) -> DataFrame:
 def on_or_after(facts: DataFrame, cohort: DataFrame, days: int) -> DataFrame:
     """Drop facts older than any cohort member's window.
 
-    The bound is one value, compared with the bare column, so the scan can skip row
-    groups and date partitions.
+    One date is read from the cohort (which should be a written table) and becomes a
+    literal: only literals reach the scan, where they skip files and row groups.
+    """
+    first = cohort.agg(F.min("admission_date")).first()[0]
+    if first is None:
+        return facts.filter(F.lit(False))
+    return facts.filter(F.col("start_date") >= F.lit(first + timedelta(days=days)))
+
+
+def join_codes(facts: DataFrame, codes: DataFrame, how: str = "inner") -> DataFrame:
+    """Facts joined to a table of codes on ``concept_cd``, safe for very common codes.
+
+    Codes that fit are broadcast and the facts stay where they are.  Otherwise both sides
+    are shuffled by code and salt, the codes once per salt, so that no code's facts end
+    up in one task.
+    """
+    if fits_broadcast(codes):
+        return facts.join(codes, "concept_cd", how)
+    return _salted(facts, codes, "concept_cd", ["patient_num", "start_date"], how)
+
+
+def facts_of(facts: DataFrame, patients: DataFrame) -> DataFrame:
+    """Facts of the given patients, row by row, safe for patients with very many facts."""
+    keys = patients.select("patient_num").distinct()
+    if fits_broadcast(patients):
+        return facts.join(keys, "patient_num", "left_semi")
+    return _salted(facts, keys, "patient_num", ["concept_cd", "start_date"], "left_semi")
+
+
+def _salted(
+    big: DataFrame, small: DataFrame, key: str, spread_by: list[str], how: str
+) -> DataFrame:
+    """Join on ``key`` with every key's rows spread over ``SALTS`` groups by other columns.
+
+    The salt is a hash, so a task that runs twice sends its rows to the same places.
     """
-    kind = facts.schema["start_date"].dataType
-    bound = cohort.select(F.date_add(F.min("admission_date"), days).cast(kind)).scalar()
-    return facts.filter(F.col("start_date") >= bound)
+    spread = big.withColumn("salt", F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int"))
+    copies = small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return spread.join(copies, [key, "salt"], how).drop("salt")
 
 
 def report_facts(
@@ -51,4 +88,4 @@ def report_facts(
     for prefix in (cfg.code_prefix_icd9cm, cfg.code_prefix_icd10cm):
         if prefix:
             wanted = wanted | concept.startswith(prefix)
-    return facts.join(mapped, "concept_cd", "left").filter(wanted).select(facts.columns)
+    return join_codes(facts, mapped, "left").filter(wanted).select(facts.columns)

@@ -12,7 +12,7 @@ from wardline.functions.clinical import (
     first_day,
     severe_by_code,
 )
-from wardline.operators.scope import of_patients, on_or_after
+from wardline.operators.scope import join_codes, of_patients, on_or_after
 
 
 def severe_concepts(lab_map: DataFrame, med_map: DataFrame) -> DataFrame:
@@ -33,8 +33,7 @@ def severe_events(
     mapped = severe_concepts(lab_map, med_map).withColumn("mapped", F.lit(True))
     recent = on_or_after(of_patients(facts, cohort), cohort, 0)
     days = (
-        recent.select("patient_num", "concept_cd", "start_date")
-        .join(mapped, "concept_cd", "left")
+        join_codes(recent.select("patient_num", "concept_cd", "start_date"), mapped, "left")
         .filter(F.col("mapped") | severe_by_code(F.col("concept_cd"), cfg))
         .select("patient_num", first_day("start_date").alias("day"))
         .distinct()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from wardline.config import SiteConfig
 from wardline.operators import calendar, cohort as cohort_steps, death, severity
-from wardline.operators.scope import of_patients, report_facts
+from wardline.operators.scope import facts_of, of_patients, report_facts
 from wardline.plans.storage import fits_broadcast, materialize
 from wardline.sources.maps import Maps
 from wardline.sources.readers import Sources
@@ -71,16 +71,14 @@ class Study:
 
         Facts of any age stay in, as some steps have no lower bound.  A small cohort is
         broadcast and the facts do not move.  For a large one the facts have to be
-        shuffled by patient, so only those the report can use are; no step follows the
-        join, which leaves Spark free to split a patient with very many facts.
+        shuffled by patient, so only those the report can use are, and salted.
         """
         if self.cohort_fits_broadcast:
             return materialize(of_patients(self.sources.facts, self.admitted), "facts")
         usable = report_facts(
             self.sources.facts, self.code_map, self.lab_map, self.med_map, self.cfg
         )
-        keys = self.admitted.select("patient_num")
-        return materialize(usable.join(keys, "patient_num", "left_semi"), "facts")
+        return materialize(facts_of(usable, self.admitted), "facts")
 
     @cached_property
     def severe_events(self) -> DataFrame:
@@ -115,6 +113,12 @@ class Study:
     def dates(self) -> DataFrame:
         return calendar.date_list(self.cohort, self.cfg.as_of)
 
+    def prepare(self) -> Study:
+        """Run every step that the tables share."""
+        _ = self.cohort, self.facts, self.admissions, self.dates
+        _ = self.code_map, self.lab_map, self.med_map
+        return self
+
 
 def _sized(table: DataFrame, name: str) -> DataFrame:
     return table if fits_broadcast(table) else materialize(table, name)
