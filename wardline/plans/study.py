@@ -73,12 +73,13 @@ class Study:
         broadcast and the facts do not move.  For a large one the facts have to be
         shuffled by patient, so only those the report can use are, and salted.
         """
+        facts = self.sources.facts.select("patient_num", "concept_cd", "start_date", "nval_num")
         if self.cohort_fits_broadcast:
-            return materialize(of_patients(self.sources.facts, self.admitted), "facts")
-        usable = report_facts(
-            self.sources.facts, self.code_map, self.lab_map, self.med_map, self.cfg
-        )
-        return materialize(facts_of(usable, self.admitted), "facts")
+            mine = of_patients(facts, self.admitted)
+        else:
+            usable = report_facts(facts, self.code_map, self.lab_map, self.med_map, self.cfg)
+            mine = facts_of(usable, self.admitted)
+        return materialize(mine, "facts", cluster_by="concept_cd")
 
     @cached_property
     def severe_events(self) -> DataFrame:
