@@ -67,7 +67,9 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 
 def _attrs(s: Study) -> DataFrame:
-    return demographics.demographics_attrs(s.cohort, s.sources.patients, s.facts, s.code_map, s.cfg)
+    return demographics.demographics_attrs(
+        s.admitted, s.sources.patients, s.facts, s.code_map, s.cfg
+    )
 
 
 def _cohort_by_result(s: Study) -> DataFrame:
@@ -199,7 +201,7 @@ def queries() -> dict[str, Query]:
         "severe_events": _over_study(
             lambda s: severity.severe_events(s.sources.facts, s.admitted, s.lab_map, s.med_map, s.cfg)
         ),
-        "cohort_severe": _over_study(lambda s: severity.flag_severe(s.admitted, s.severe_events)),
+        "cohort_severe": _over_study(lambda s: s.severe_cohort),
         "cohort_death": _over_study(
             lambda s: death.death_dates(s.severe_cohort, s.sources.patients, s.cfg.death_data_accurate)
         ),

@@ -27,19 +27,20 @@ from wardline.sources.readers import Sources
 
 
 def _demographics(study: Study) -> DataFrame:
+    members, cfg = study.severe_cohort, study.cfg
     attrs = demographics.known_attributes(
-        study.cohort, study.sources.patients, study.facts, study.code_map, study.cfg, counted=True
+        members, study.sources.patients, study.facts, study.code_map, cfg, counted=True
     )
-    return demographics.demographics(study.cohort, attrs, study.cfg)
+    return demographics.demographics(members, attrs, cfg)
 
 
 BUILDERS: dict[str, Callable[[Study], DataFrame]] = {
     DAILY.name: lambda s: daily.daily_counts(s.dates, s.admissions, s.cohort, s.cfg),
-    COURSE.name: lambda s: daily.clinical_course(s.dates, s.admissions, s.cohort),
+    COURSE.name: lambda s: daily.clinical_course(s.dates, s.admissions, s.severe_cohort),
     DEMOGRAPHICS.name: _demographics,
-    LABS.name: lambda s: labs.labs(s.facts, s.cohort, s.lab_map, s.cfg.lab_min_day),
-    DIAGNOSES.name: lambda s: history.diagnoses(s.facts, s.cohort, s.cfg),
-    MEDICATIONS.name: lambda s: history.medications(s.facts, s.cohort, s.med_map),
+    LABS.name: lambda s: labs.labs(s.facts, s.severe_cohort, s.lab_map, s.cfg.lab_min_day),
+    DIAGNOSES.name: lambda s: history.diagnoses(s.facts, s.severe_cohort, s.cfg),
+    MEDICATIONS.name: lambda s: history.medications(s.facts, s.severe_cohort, s.med_map),
 }
 
 

@@ -81,42 +81,35 @@ class Study:
             mine = facts_of(usable, self.admitted)
         return materialize(mine, "facts", cluster_by="concept_cd")
 
-    @cached_property
-    def severe_events(self) -> DataFrame:
-        return severity.severe_events(
-            self.facts, self.admitted, self.lab_map, self.med_map, self.cfg
-        )
-
     @cached_property
     def severe_cohort(self) -> DataFrame:
-        return severity.flag_severe(self.admitted, self.severe_events)
-
-    @cached_property
-    def deceased_cohort(self) -> DataFrame:
-        return death.death_dates(
-            self.severe_cohort, self.sources.patients, self.cfg.death_data_accurate
+        """The cohort with severe illness flagged: all that five of the six tables need."""
+        events = severity.severe_events(
+            self.facts, self.admitted, self.lab_map, self.med_map, self.cfg
         )
+        return materialize(severity.flag_severe(self.admitted, events), "severe_cohort")
 
     @cached_property
     def cohort(self) -> DataFrame:
-        """The classified cohort."""
-        classified = self.deceased_cohort
-        if self.cfg.death_data_accurate and self.cfg.correct_death_by_last_fact:
+        """The cohort with death dates as well."""
+        cfg = self.cfg
+        dated = death.death_dates(self.severe_cohort, self.sources.patients, cfg.death_data_accurate)
+        if cfg.death_data_accurate and cfg.correct_death_by_last_fact:
             if self.cohort_fits_broadcast:
                 facts = self.facts
             else:  # the written facts lack codes that no table uses
                 facts = self.sources.facts
-                classified = materialize(classified, "deceased")
-            classified = death.correct_death_by_last_fact(classified, facts)
-        return materialize(classified, "cohort")
+                dated = materialize(dated, "deceased")
+            dated = death.correct_death_by_last_fact(dated, facts)
+        return materialize(dated, "cohort")
 
     @cached_property
     def dates(self) -> DataFrame:
-        return calendar.date_list(self.cohort, self.cfg.as_of)
+        return calendar.date_list(self.admitted, self.cfg.as_of)
 
     def prepare(self) -> Study:
-        """Run every step that the tables share."""
-        _ = self.cohort, self.facts, self.admissions, self.dates
+        """Run every step that several tables share."""
+        _ = self.severe_cohort, self.facts, self.admissions, self.dates
         _ = self.code_map, self.lab_map, self.med_map
         return self
 

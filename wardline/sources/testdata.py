@@ -7,6 +7,7 @@ session time zone.
 from __future__ import annotations
 
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,6 @@ from wardline.operators.expansion import codes_under_path
 from wardline.sources import maps as default
 from wardline.sources import schemas
 from wardline.sources.maps import Maps, local_rows
-from wardline.sources.readers import Sources
 
 AS_OF = date(2020, 12, 31)
 
@@ -171,10 +171,33 @@ def concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return local_rows(spark, CONCEPT_ROWS, schemas.CONCEPT_DIMENSION).unionByName(leaves)
 
 
-def sources(spark: SparkSession, sf_dir: str) -> Sources:
-    return Sources(
-        facts(spark, sf_dir), visits(spark, sf_dir), patients(spark, sf_dir), concepts(spark, sf_dir)
-    )
+class TestTables:
+    """The four clinical tables, each opened when first read (same fields as ``Sources``)."""
+
+    __test__ = False
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._of = (spark, sf_dir)
+
+    @cached_property
+    def facts(self) -> DataFrame:
+        return facts(*self._of)
+
+    @cached_property
+    def visits(self) -> DataFrame:
+        return visits(*self._of)
+
+    @cached_property
+    def patients(self) -> DataFrame:
+        return patients(*self._of)
+
+    @cached_property
+    def concepts(self) -> DataFrame:
+        return concepts(*self._of)
+
+
+def sources(spark: SparkSession, sf_dir: str) -> TestTables:
+    return TestTables(spark, sf_dir)
 
 
 def positive_codes(spark: SparkSession, concept_table: DataFrame) -> DataFrame:
