@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions.clinical import first_day
-from wardline.operators.scope import join_codes
+from wardline.operators.scope import join_codes, lookup
 
 
 def index_events(facts: DataFrame, code_map: DataFrame, code: str = "covidpos") -> DataFrame:
@@ -41,10 +41,15 @@ def admissions(
     inpatient = code_map.filter(F.col("code") == "inpatient").select(
         F.col("local_code").alias("inout_cd")
     )
+    found = lookup(
+        visits.select("patient_num", "start_date", "end_date", "inout_cd"),
+        inpatient,
+        "inout_cd",
+        ["patient_num", "start_date"],
+        "left_semi",
+    )
     stays = (
-        visits.select("patient_num", "start_date", "end_date", "inout_cd")
-        .join(inpatient, "inout_cd", "left_semi")
-        .select(
+        found.select(
             "patient_num",
             first_day("start_date").alias("admission_date"),
             F.coalesce(F.to_date("end_date"), F.lit(as_of)).alias("discharge_date"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wardline.config import SiteConfig
 from wardline.functions.clinical import age_band, age_in_years
 from wardline.operators.daily import NOT_AVAILABLE
-from wardline.operators.scope import facts_of, join_codes
+from wardline.operators.scope import facts_of, join_codes, lookup
 
 SEXES = ["male", "female"]
 RACES = ["american_indian", "asian", "black", "hawaiian_pacific_islander", "white"]
@@ -24,7 +24,8 @@ def _coded(rows: DataFrame, local: str, code_map: DataFrame, codes: list[str], n
     wanted = code_map.filter(F.col("code").isin(codes)).select(
         F.col("local_code").alias(local), F.col("code").alias(name)
     )
-    return rows.select("patient_num", local).join(wanted, local).select("patient_num", name)
+    found = lookup(rows.select("patient_num", local), wanted, local, ["patient_num"])
+    return found.select("patient_num", name)
 
 
 def _race_sources(cfg: SiteConfig) -> tuple[list[str], list[str]]:

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.plans.storage import fits_broadcast
+from wardline.operators.scope import lookup
+from wardline.plans.storage import fits_broadcast, materialize
 
 SEPARATOR = "\\"
 
@@ -53,14 +54,16 @@ def _descendants(mapped: DataFrame, concepts: DataFrame) -> DataFrame:
         )
         .select("concept_cd", F.expr("substring(concept_path, 1, length)").alias("mapped_path"))
     )
-    return below.join(mapped, "mapped_path").drop("mapped_path")
+    return lookup(below, mapped, "mapped_path", ["concept_cd"]).drop("mapped_path")
 
 
-def _with_paths(code_map: DataFrame, local: str, concepts: DataFrame) -> DataFrame:
+def _with_paths(rows: DataFrame, local: str, concepts: DataFrame) -> DataFrame:
+    """Map rows with the paths of their local code.  Written: read twice, and of known size."""
     paths = concepts.select(
         F.col("concept_cd").alias(local), F.col("concept_path").alias("mapped_path")
     )
-    return code_map.join(paths, local).drop(local).distinct()
+    found = lookup(paths, rows, local, ["mapped_path"]).drop(local).distinct()
+    return materialize(found, "mapped_paths")
 
 
 def expand_lab_map(lab_map: DataFrame, concepts: DataFrame) -> DataFrame:
@@ -94,7 +97,8 @@ def used_concepts(facts: DataFrame, concepts: DataFrame) -> DataFrame:
 
 def expand_med_map(med_map: DataFrame, concepts: DataFrame, facts: DataFrame, root: str) -> DataFrame:
     """New med-map rows of type 'Expand' for used concepts under ``root`` below a mapped drug."""
-    mapped = _with_paths(med_map, "local_med_code", concepts).select("med_class", "mapped_path").distinct()
+    classes = med_map.select("med_class", "local_med_code")
+    mapped = _with_paths(classes, "local_med_code", concepts)
     tree = used_concepts(facts, concepts.filter(F.col("concept_path").startswith(root)))
     return (
         _descendants(mapped, tree)

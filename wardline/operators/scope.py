@@ -36,36 +36,32 @@ def on_or_after(facts: DataFrame, cohort: DataFrame, days: int) -> DataFrame:
     return facts.filter(F.col("start_date") >= F.lit(first + timedelta(days=days)))
 
 
-def join_codes(facts: DataFrame, codes: DataFrame, how: str = "inner") -> DataFrame:
-    """Facts joined to a table of codes on ``concept_cd``, safe for very common codes.
+def lookup(
+    rows: DataFrame, table: DataFrame, key: str, spread_by: list[str], how: str = "inner"
+) -> DataFrame:
+    """Rows joined to a smaller table, safe for keys that very many rows share.
 
-    Codes that fit are broadcast and the facts stay where they are.  Otherwise both sides
-    are shuffled by code and salt, the codes once per salt, so that no code's facts end
-    up in one task.
+    A table that fits is broadcast and the rows stay where they are.  Otherwise both
+    sides are shuffled by key and salt, the table once per salt, so that no key's rows
+    end up in one task.  The salt is a hash of ``spread_by``: a task that runs twice
+    sends its rows to the same places.
     """
-    if fits_broadcast(codes):
-        return facts.join(codes, "concept_cd", how)
-    return _salted(facts, codes, "concept_cd", ["patient_num", "start_date"], how)
+    if fits_broadcast(table):
+        return rows.join(table, key, how)
+    spread = rows.withColumn("salt", F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int"))
+    copies = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return spread.join(copies, [key, "salt"], how).drop("salt")
 
 
-def facts_of(facts: DataFrame, patients: DataFrame) -> DataFrame:
-    """Facts of the given patients, row by row, safe for patients with very many facts."""
-    keys = patients.select("patient_num").distinct()
-    if fits_broadcast(patients):
-        return facts.join(keys, "patient_num", "left_semi")
-    return _salted(facts, keys, "patient_num", ["concept_cd", "start_date"], "left_semi")
+def join_codes(facts: DataFrame, codes: DataFrame, how: str = "inner") -> DataFrame:
+    """Facts joined to a table of codes on ``concept_cd``."""
+    return lookup(facts, codes, "concept_cd", ["patient_num", "start_date"], how)
 
 
-def _salted(
-    big: DataFrame, small: DataFrame, key: str, spread_by: list[str], how: str
-) -> DataFrame:
-    """Join on ``key`` with every key's rows spread over ``SALTS`` groups by other columns.
-
-    The salt is a hash, so a task that runs twice sends its rows to the same places.
-    """
-    spread = big.withColumn("salt", F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int"))
-    copies = small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return spread.join(copies, [key, "salt"], how).drop("salt")
+def facts_of(facts: DataFrame, patients: DataFrame) -> DataFrame:
+    """Facts of the given patients (one row per patient), row by row."""
+    keys = patients.select("patient_num")
+    return lookup(facts, keys, "patient_num", ["concept_cd", "start_date"], "left_semi")
 
 
 def report_facts(
