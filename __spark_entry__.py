@@ -90,6 +90,12 @@ def _expanded_labs(s: Study) -> DataFrame:
     return _rounded(raw_table(wide, LABS))
 
 
+def _expand_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part code below its brand's node."""
+    tree, lab_map = testdata.brand_tree(spark, sf_dir)
+    return expansion.expand_lab_map(lab_map, tree)
+
+
 def _expand_meds(s: Study) -> DataFrame:
     return expansion.expand_med_map(
         s.med_map, s.sources.concepts, s.sources.facts, testdata.MEDICATION_ROOT
@@ -221,6 +227,7 @@ def queries() -> dict[str, Query]:
             spark, testdata.concepts(spark, sf_dir)
         ),
         "expand_lab_map": _over_study(lambda s: expansion.expand_lab_map(s.lab_map, s.sources.concepts)),
+        "expand_lab_map_brands": _expand_brands,
         "expand_med_map": _over_study(_expand_meds),
         "suppressed_demographics": _over_study(
             lambda s: privacy.suppress_combinations(raw_table(s, DEMOGRAPHICS))

@@ -7,6 +7,7 @@ the loss of any executor, and gives the planner the true size of the table.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,13 +16,16 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_folder(spark: SparkSession) -> str:
     """This application's folder below the shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` rules; where it is unset, a checkpoint folder set on
-    the context serves (tests set one).
+    ``spark.checkpoint.dir`` rules.  Only where it is unset, a folder set on the context
+    serves; a session on one machine, as in tests, gets a temporary one.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+        root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/wardline-{context.applicationId}"
 
 

@@ -171,6 +171,24 @@ def concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return local_rows(spark, CONCEPT_ROWS, schemas.CONCEPT_DIMENSION).unionByName(leaves)
 
 
+def brand_tree(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The concept tree with a node per brand above its parts, and a lab map of those nodes."""
+    brands = _table(spark, sf_dir, "part").select("p_brand").distinct()
+    code = F.concat(F.lit("BRAND:"), "p_brand")
+    nodes = brands.select(
+        F.concat(F.lit(PART_ROOT), "p_brand", F.lit("\\")).alias("concept_path"),
+        code.alias("concept_cd"),
+    )
+    lab_map = brands.select(
+        F.col("p_brand").alias("loinc"),
+        code.alias("local_lab_code"),
+        F.lit(1.0).alias("scale_factor"),
+        F.lit("u").alias("lab_units"),
+        F.col("p_brand").alias("lab_name"),
+    )
+    return concepts(spark, sf_dir).unionByName(nodes), lab_map
+
+
 class TestTables:
     """The four clinical tables, each opened when first read (same fields as ``Sources``)."""
 
