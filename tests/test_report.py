@@ -29,6 +29,14 @@ def sums(df, columns):
 
 @pytest.mark.parametrize("sf_dir", sorted(TOTALS))
 def test_totals(spark, sf_dir):
+    check_totals(spark, sf_dir)
+
+
+def test_totals_when_nothing_fits(spark, no_broadcast):
+    check_totals(spark, SMALL)
+
+
+def check_totals(spark, sf_dir):
     want = TOTALS[sf_dir]
     s = entry.study(spark, sf_dir)
     assert s.index_events.count() == want["index"]

@@ -148,6 +148,36 @@ def test_whole_run_from_extracts(spark, folder):
         report.write(os.path.join(folder, "out"))
 
 
+def test_command_line(spark, folder):
+    """The same site from parquet tables and the default maps, grown along its concept tree."""
+    from wardline.__main__ import main
+
+    tables, _ = site(spark, folder)
+    concepts = spark.createDataFrame(
+        [("\\T\\POS\\", "LAB:TEST"), ("\\L\\", "LOINC:6690-2"), ("\\L\\W\\", "LAB:WBC"),
+         ("\\M\\A\\", "ATC:C09AA01"), ("\\M\\A\\B\\", "MED:1"), ("\\M\\A\\C\\", "MED:2")],
+        "concept_path string, concept_cd string",
+    )
+    visits = tables.visits.replace("Inpatient", "IN", "inout_cd")
+    names = ("observation_fact", "visit_dimension", "patient_dimension", "concept_dimension")
+    for name, df in zip(names, (tables.facts, visits, tables.patients, concepts)):
+        df.write.parquet(f"{folder}/{name}")
+    row = "SITE1,1,0,0,1,ICD9:,ICD10:,ICD9PROC:,ICD10PROC:,0,0,0,0,0,1\n"
+    written = main(
+        ["--tables", folder, "--config", write(folder, "c.csv", CONFIG + row), "--as-of", "2020-03-13",
+         "--out", f"{folder}/out", "--positive-path", "\\T\\", "--expand-labs", "--medication-root", "\\M\\"]
+    )
+    found = {}
+    for path in written:
+        with open(path) as f:
+            found[os.path.basename(path)] = f.read().split("\n")[1:-2]
+    # Both patients have a test; without result text both count as positive.
+    assert found["DailyCounts-SITE1.csv"][0] == "SITE1,2020-03-10,2,0,0,2,0"
+    assert [line[:17] for line in found["Labs-SITE1.csv"]] == ["SITE1,6690-2,1,10"]
+    assert found["Medications-SITE1.csv"] == ["SITE1,ACEI,0,1,0,0"]
+    assert found["Diagnoses-SITE1.csv"] == ["SITE1,I10,10,1,0,0,0"]
+
+
 def test_parquet_and_catalog_tables(spark, folder):
     tables, _ = site(spark, folder)
     names = ("observation_fact", "visit_dimension", "patient_dimension", "concept_dimension")
