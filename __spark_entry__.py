@@ -45,6 +45,14 @@ from wardline.plans.study import Study  # noqa: E402
 from wardline.sources import schemas, testdata  # noqa: E402
 from wardline.sources.maps import Maps, local_rows  # noqa: E402
 
+try:  # the training-data operators and their pipeline can be left out of an installation
+    import corpus_pipeline  # noqa: E402
+    from wardline.llm import queries as llm  # noqa: E402
+except ModuleNotFoundError as error:
+    if error.name not in ("corpus_pipeline", "wardline.llm", "wardline.llm.queries"):
+        raise
+    llm = None
+
 POSITIVE_CODES = ["LOINC:COVID19POS", "LOCAL:COVIDPOS2"]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -243,6 +251,8 @@ def queries() -> dict[str, Query]:
     for spec in TABLES:
         found[oracle.SOURCE[spec.name]] = _over_study(_raw(spec))
         found.update(_of_table(spec))
+    if llm:
+        found.update(llm.QUERIES, pipeline=corpus_pipeline.run)
     return found
 
 
@@ -251,5 +261,10 @@ def _raw(spec: TableSpec) -> Callable[[Study], DataFrame]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """The same queries as plain SQL over the same tables."""
-    return oracle.all_queries()
+    """The same queries as plain SQL over the same tables, where SQL can say them."""
+    found = oracle.all_queries()
+    if llm:
+        found.update(llm.ORACLE_SQL)
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found

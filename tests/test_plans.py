@@ -13,7 +13,7 @@ import __spark_entry__ as entry
 from wardline.operators import cohort, death, expansion, history, labs, scope, severity
 from wardline.operators.tables import TABLES
 from wardline.plans.report import raw_table
-from wardline.plans.storage import fits_broadcast, materialize
+from wardline.storage import fits_broadcast, materialize
 
 
 def plan(df) -> str:

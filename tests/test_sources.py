@@ -8,7 +8,7 @@ from conftest import rows, settings
 from wardline import SiteConfig, run_report
 from wardline.operators import cohort
 from wardline.operators.tables import TABLES
-from wardline.plans.storage import fits_broadcast
+from wardline.storage import fits_broadcast
 from wardline.sources import maps, readers
 
 

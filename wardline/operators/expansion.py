@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.operators.scope import lookup
-from wardline.plans.storage import fits_broadcast, materialize
+from wardline.storage import fits_broadcast, materialize
 
 SEPARATOR = "\\"
 

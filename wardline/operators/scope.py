@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wardline.config import SiteConfig
 from wardline.functions.clinical import severe_by_code
-from wardline.plans.storage import fits_broadcast
+from wardline.storage import fits_broadcast
 
 SALTS = 32
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from wardline.operators import expansion
-from wardline.plans.storage import materialize
+from wardline.storage import materialize
 from wardline.sources.maps import Maps
 from wardline.sources.readers import Sources
 

@@ -20,7 +20,7 @@ from wardline.operators.tables import (
     TABLES,
     TableSpec,
 )
-from wardline.plans.storage import materialize
+from wardline.storage import materialize
 from wardline.plans.study import Study
 from wardline.sources.maps import Maps
 from wardline.sources.readers import Sources

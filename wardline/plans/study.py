@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from wardline.config import SiteConfig
 from wardline.operators import calendar, cohort as cohort_steps, death, severity
 from wardline.operators.scope import facts_of, of_patients, report_facts
-from wardline.plans.storage import fits_broadcast, materialize
+from wardline.storage import fits_broadcast, materialize
 from wardline.sources.maps import Maps
 from wardline.sources.readers import Sources
 

@@ -7,6 +7,7 @@ the loss of any executor, and gives the planner the true size of the table.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,12 +18,13 @@ def scratch_folder(spark: SparkSession) -> str:
     """This application's folder below the shared checkpoint folder.
 
     ``spark.checkpoint.dir`` rules.  Only where it is unset, a folder set on the context
-    serves; a session on one machine, as in tests, gets a temporary one.
+    serves.  A session whose executor is the driver itself (``local`` or ``local[n]``, as in
+    tests) gets a temporary one; every other master must name a shared folder.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
         root = context.getCheckpointDir()
