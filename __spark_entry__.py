@@ -47,7 +47,7 @@ from wardline.sources.maps import Maps, local_rows  # noqa: E402
 
 try:  # the training-data operators and their pipeline can be left out of an installation
     import corpus_pipeline  # noqa: E402
-    from wardline.llm import queries as llm  # noqa: E402
+    import wardline.llm.queries as llm  # noqa: E402
 except ModuleNotFoundError as error:
     if error.name not in ("corpus_pipeline", "wardline.llm", "wardline.llm.queries"):
         raise
