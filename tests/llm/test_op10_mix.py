@@ -1,0 +1,144 @@
+import itertools
+import random
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from wardline.llm import op10_source_mix as op10
+from wardline.llm import queries
+
+from .conftest import odd_rows, prose
+
+
+def plain_targets(sizes):
+    """Shares by weight, the excess shared again."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(order)}
+    capped = set()
+    while True:
+        left = sum(sizes.values()) - sum(3 * sizes[s] for s in capped)
+        open_ = [s for s in order if s not in capped]
+        share = {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_}
+        over = [s for s in open_ if share[s] > 3 * sizes[s]]
+        if not over:
+            return share | {s: 3.0 * sizes[s] for s in capped}
+        capped.update(over)
+
+
+def check(rows, got, close=0.02):
+    """Contract of the mix over rows (doc_id, text, lang, source)."""
+    sizes, count = defaultdict(int), defaultdict(list)
+    for doc, text, *rest in rows:
+        n = len((text or "").encode().split())
+        sizes[rest[1]] += n
+        count[doc].append((n, rest[1]))
+    wanted = plain_targets(sizes)
+    taken, biggest = defaultdict(int), defaultdict(int)
+    assert len(got) == len(rows)
+    for r in got:
+        n, source = next(x for x in count[r.doc_id] if x[0] == r["size"])
+        assert r.source_size == sizes[source] and r.target == pytest.approx(wanted[source])
+        assert 0 <= r.taken <= 3 * n and (n == 0 or r.taken % n == 0)
+        taken[source] += r.taken
+        biggest[source] = max(biggest[source], n)
+    for s in sizes:
+        assert abs(taken[s] - wanted[s]) <= max(close * wanted[s], biggest[s] / 2 + 1), s
+
+
+def test_targets():
+    sizes = {"a": 100, "b": 10, "c": 1000, None: 5}
+    got = op10.targets(sizes, {"a": 5, "b": 2, "c": 1, None: 5}, total=1115.0)
+    assert got == pytest.approx(plain_targets(sizes))
+    assert sum(got.values()) == pytest.approx(1115)
+    assert op10.targets({"a": 0}, {"a": 5}, 0.0) == {"a": 0.0}
+    assert op10.targets({}, {}, 0.0) == {}
+
+
+def cost(patterns, flows):
+    """Price of a routing: copy k of a pattern's words costs k - 1 a word."""
+    total = 0.0
+    for p, n in patterns.items():
+        words, k = sum(flows[p].values()), 0
+        while words > 1e-9:
+            total += k * min(words, n)
+            words, k = words - n, k + 1
+    return total
+
+
+def test_flow_is_cheapest():
+    """Against every routing in steps of ten words."""
+    patterns = {("a",): 20, ("a", "b"): 30, ("b", "c"): 20, ("c",): 10}
+    wanted = {"a": 40.0, "b": 30.0, "c": 20.0}
+    flows = op10.route(patterns, wanted)
+    for s, w in wanted.items():
+        assert sum(f.get(s, 0) for f in flows.values()) == pytest.approx(w)
+    arcs = [(p, s) for p in patterns for s in p]
+    best = None
+    for amounts in itertools.product(range(0, 50, 10), repeat=len(arcs)):
+        sent = defaultdict(dict)
+        for (p, s), x in zip(arcs, amounts):
+            sent[p][s] = float(x)
+        if any(sum(sent[p].get(s, 0) for p in patterns) != w for s, w in wanted.items()):
+            continue
+        if all(sum(sent[p].values()) <= 3 * n for p, n in patterns.items()):
+            price = cost(patterns, sent)
+            best = price if best is None else min(best, price)
+    assert cost(patterns, flows) == pytest.approx(best)
+
+
+def test_mix_of_many_documents(docs):
+    rng = random.Random(1)
+    rows = [(k, prose(k, rng.randrange(1, 90)), "en", rng.choice(["a", "a", "a", "b", "c", "d", None])) for k in range(900)]
+    first = op10.source_mix(docs(rows, clashing=True)).collect()
+    check(rows, first)
+    again = op10.source_mix(docs(rows[::-1])).collect()
+    assert sorted(map(str, first)) == sorted(map(str, again))
+
+
+def test_odd_rows(docs):
+    rows = odd_rows(500)
+    check(rows, op10.source_mix(docs(rows, clashing=True)).collect(), close=1.0)
+    assert op10.source_mix(docs([])).collect() == []
+    assert op10.mixed(docs([])).collect() == []
+    nothing = op10.source_mix(docs([(1, None, "en", "a"), (2, "", "en", None)])).collect()
+    assert [(r["size"], r.target, r.taken) for r in nothing] == [(0, 0.0, 0)] * 2
+
+
+def test_rows_of_the_mix(docs):
+    rows = [(k, prose(k, 20 + k % 30), "en", "abc"[k % 3]) for k in range(90)] + [(500, None, None, None)]
+    df = docs(rows, clashing=True)
+    got = op10.mixed(df)
+    assert got.columns == df.columns
+    copies = defaultdict(int)
+    for r in got.collect():
+        copies[r["doc_id"]] += 1
+    want = {r.doc_id: r.taken // r["size"] for r in op10.source_mix(df).collect() if r.taken}
+    assert dict(copies) == want and max(want.values()) <= 3
+
+
+def test_overlapping_sources(docs):
+    rng = random.Random(2)
+    rows = [(k, prose(k, rng.randrange(5, 60))) for k in range(600)]
+    member = {k: sorted(rng.sample("abcd", rng.choice([1, 1, 2, 3]))) for k, _ in rows}
+    df = docs(rows)
+    listed = F.element_at(F.create_map(*(x for k, s in member.items() for x in (F.lit(k), F.array(*map(F.lit, s))))), F.col("doc_id"))
+    got = op10.source_mix(df.limit(600), listed).collect()
+    sizes = {k: len(t.split()) for k, t in rows}
+    taken, copies, wanted = defaultdict(int), defaultdict(int), {}
+    for r in got:
+        assert r.source in member[r.doc_id] and r.taken % r["size"] == 0
+        taken[r.source] += r.taken
+        copies[r.doc_id] += r.taken // r["size"]
+        wanted[r.source] = r.target
+    assert max(copies.values()) <= 4 and sum(v > 3 for v in copies.values()) < 10
+    assert sum(wanted.values()) == pytest.approx(sum(sizes.values()))
+    for s, w in wanted.items():
+        assert abs(taken[s] - w) < 0.05 * w
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_query(spark, sf):
+    path = f"/root/testdata/{sf}"
+    rows = [tuple(r) for r in queries.documents(spark, path).select("doc_id", "text", "lang", "source").collect()]
+    check(rows, queries.op10_source_mix(spark, path).collect(), close=0.02)

@@ -1,0 +1,178 @@
+import tempfile
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from wardline.llm import op1_token_shards as op1
+from wardline.llm import op6_token_counts as op6
+from wardline.llm import queries
+from wardline.storage import materialize
+
+from .conftest import odd_rows, prose
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+TOKENIZER = Tokenizer.from_file(PATH)
+AS_TEXT = Tokenizer.from_file(PATH)
+AS_TEXT.encode_special_tokens = True
+
+
+@given(st.integers(1, 32), st.data())
+@settings(max_examples=60, deadline=None)
+def test_packing_round_trip(width, data):
+    ids = np.array(data.draw(st.lists(st.integers(0, 2**width - 1), max_size=200)), np.uint32)
+    packed = op1.pack(ids, width)
+    assert len(packed) == -(-len(ids) * width // 8)
+    first = data.draw(st.integers(0, len(ids)))
+    count = data.draw(st.integers(0, len(ids) - first))
+    assert op1.unpack(packed, width, first, count).tolist() == ids[first : first + count].tolist()
+
+
+def test_packing_beyond_one_slice():
+    ids = np.random.default_rng(0).integers(0, 2**17, 200_001).astype(np.uint32)
+    packed = op1.pack(ids, 17)
+    assert (op1.unpack(packed, 17, 0, len(ids)) == ids).all()
+    assert (op1.unpack(packed, 17, 65_530, 70_000) == ids[65_530:135_530]).all()
+
+
+def test_an_id_too_wide_is_refused():
+    with pytest.raises(ValueError):
+        op1.pack(np.array([8], np.uint32), 3)
+
+
+@pytest.mark.parametrize(("vocabulary", "bits"), [(1, 1), (2, 1), (3, 2), (32_000, 15), (49_408, 16), (65_537, 17)])
+def test_fewest_bits(vocabulary, bits):
+    assert op1.bit_width(vocabulary) == bits
+
+
+ENCODE = op1.word_encoder(PATH)
+ENCODE_AS_TEXT = op1.word_encoder(PATH, special_as_text=True)
+PIECES = ["a", "The", "the,", "the.", "don't", "'s", " ", "\n", "\x0b", "\x1c", "é", "É.", "ÉCOLE", "İ", "ΟΔΟΣ", "ﬁ", "́", "!,", "..", "1.5",
+          "<|endoftext|>", "<|ENDOFTEXT|>", "<", "|", "漢字", "\U0001f600", " ", "ŉ", "Ǆ", "ß", ",", "x,y"]
+
+
+@given(st.lists(st.sampled_from(PIECES) | st.text(max_size=6), max_size=25))
+@settings(max_examples=300, deadline=None)
+def test_words_give_the_ids_of_the_whole_text(parts):
+    text = "".join(parts).encode("utf-8", "replace").decode()
+    assert ENCODE([text])[0].tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
+    assert ENCODE_AS_TEXT([text])[0].tolist() == AS_TEXT.encode(text, add_special_tokens=False).ids
+
+
+def _index(rows):
+    """What the index must say, from plain encoding in order."""
+    found, start = [], 0
+    for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        ids = np.array([*TOKENIZER.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+        found.append((doc_id, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    return found
+
+
+def _plain(rows):
+    return sorted((tuple(r)[:4] for r in rows), key=lambda r: r[1])
+
+
+def test_index_of_odd_rows(spark, docs):
+    rows = odd_rows()
+    got = queries.token_index(spark, docs(rows, clashing=True)).collect()
+    assert _plain(got) == _index([r[:2] for r in rows])
+
+
+def test_empty_table(spark, docs):
+    assert queries.token_index(spark, docs([])).collect() == []
+
+
+def test_random_access(spark, docs):
+    rows = [(i, prose(i, 50 + 40 * i)) for i in range(30)]
+    path = queries.fresh_folder(spark, "t")
+    op1.write_shards(docs(rows), path, lambda: op1.word_encoder(PATH), queries.VOCABULARY, 2, block_ids=500)
+    blocks = op1.read_blocks(spark, path)
+    assert blocks.count() > 30 / 4
+    stream = [i for _, t in rows for i in [*TOKENIZER.encode(t, add_special_tokens=False).ids, 2]]
+    for start, count in [(0, 10), (499, 3), (1234, 5000), (len(stream) - 5, 5), (17, 0)]:
+        assert op1.read_ids(blocks, start, count).tolist() == stream[start : start + count]
+
+
+def test_other_tokenizer_file(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encode = op1.text_encoder(path)
+    texts = ["Hello  world", "", "é\n\n"]
+    assert [e.tolist() for e in encode(texts)] == [Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids for t in texts]
+
+
+# Token counts
+
+
+def _counts(spark, streams, block_ids, kind="<u2", separator=7):
+    """Operator's rows for flat streams cut to blocks of ``block_ids``."""
+    rows = []
+    for file, ids in streams.items():
+        for block, at in enumerate(range(0, len(ids), block_ids)):
+            rows.append((file, block, bytearray(np.array(ids[at : at + block_ids], kind).tobytes())))
+    blocks = spark.createDataFrame(rows, "file string, block long, ids binary")
+    found = materialize(op6.find_separators(blocks, separator, kind), "found")
+    return sorted(tuple(r) for r in op6.token_counts(found).collect())
+
+
+def _plain_counts(streams, separator=7):
+    rows = []
+    for file, ids in streams.items():
+        start, n = 0, 0
+        for i, x in enumerate(ids):
+            if x == separator:
+                rows.append((file, n, start, i - start, True))
+                start, n = i + 1, n + 1
+        if start < len(ids):
+            rows.append((file, n, start, len(ids) - start, False))
+    return sorted(rows)
+
+
+@pytest.mark.parametrize("block_ids", [1, 3, 64, 10_000])
+def test_counts_by_separators(spark, block_ids, monkeypatch):
+    monkeypatch.setattr(op6, "GROUP", 4)
+    rng = np.random.default_rng(block_ids)
+    n = 300 if block_ids < 64 else 3000
+    streams = {
+        "a": rng.integers(0, 40, n).tolist(), "b": [7] * 9, "c": [1] * 50, "d": [7], "e": [1, 2, 7, 7, 3], "f": [],
+        "g": [5] * (n // 2) + [7] + [6] * (n // 2),
+    }
+    assert _counts(spark, streams, block_ids) == _plain_counts(streams)
+
+
+def test_counts_of_no_files(spark):
+    assert _counts(spark, {}, 4) == []
+
+
+def test_binary_files(spark):
+    folder = tempfile.mkdtemp(prefix="flat-")
+    ids = np.array([3, 4, 7, 5, 7, 9], "<u4")
+    ids.tofile(f"{folder}/x.bin")
+    blocks = op6.read_binary(spark, folder, "<u4", block_ids=2)
+    found = materialize(op6.find_separators(blocks, 7, "<u4"), "found")
+    got = sorted(tuple(r)[1:] for r in op6.token_counts(found).collect())
+    assert got == [(0, 0, 2, True), (1, 3, 1, True), (2, 5, 1, False)]
+
+
+def test_documents_counted_in_flat_files(spark, docs):
+    rows = [*odd_rows(), (11, "a <|endoftext|> b")]
+    path = queries.fresh_folder(spark, "t")
+    encoder = lambda: op1.word_encoder(PATH, special_as_text=True)
+    op6.write_flat(docs(rows, clashing=True), path, encoder, queries.END_OF_TEXT, block_ids=100)
+    found = materialize(op6.find_separators(op6.read_flat(spark, path), queries.END_OF_TEXT), "found")
+    got = op6.token_counts(found).join(op6.document_order(spark, path), ["file", "ordinal"]).select("doc_id", "n_tokens").collect()
+    want = [(r[0], len(AS_TEXT.encode(r[1] or "", add_special_tokens=False).ids)) for r in rows]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
+
+
+def test_queries_over_the_smallest_tables(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = queries.documents(spark, sf).select("doc_id", "text").collect()
+    assert _plain(queries.op1_token_shards(spark, sf).collect()) == _index([tuple(r) for r in rows])
+    got = {r.doc_id: r.n_tokens for r in queries.op6_token_counts(spark, sf).collect()}
+    assert got == {r.doc_id: len(AS_TEXT.encode(r.text, add_special_tokens=False).ids) for r in rows}

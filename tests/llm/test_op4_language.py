@@ -1,0 +1,96 @@
+import zlib
+
+import numpy as np
+import pytest
+
+from wardline.llm import op4_language_id as op4
+from wardline.llm import queries
+
+from .conftest import odd_rows
+
+SMALL = "/root/testdata/sf0.01"
+
+
+def held_out(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 4 == 2
+
+
+def test_held_out_rows_are_recognised(spark):
+    truth = {r.doc_id: r.lang for r in queries.documents(spark, SMALL).collect()}
+    got = queries.op4_language_id(spark, SMALL).collect()
+    assert {r.doc_id for r in got} == set(truth)
+    assert all(r.held_out == held_out(r.doc_id) for r in got)
+    test = [r for r in got if r.held_out]
+    right = sum(r.lang_pred == truth[r.doc_id] for r in test)
+    assert len(test) > 200 and right / len(test) > 0.98
+    assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_only_rows_that_are_not_held_out_teach(spark, docs):
+    rows = [(i, "aaa bbb" if held_out(i) else "xyz xyz", "no" if held_out(i) else "yes") for i in range(40)]
+    model = op4.train(docs(rows))
+    assert model.languages == ["yes"]
+
+
+def plain_score(model, text):
+    """Log-likelihoods by counting n-grams one at a time."""
+    lower = "".join(c if c.isascii() is False or "a" <= c <= "z" else " " for c in text.lower() + " ")
+    total = np.zeros(len(model.languages))
+    for n in op4.ORDERS:
+        padded = " " * (n - 1) + lower
+        for i in range(len(lower)):
+            gram = np.array([ord(c) for c in padded[i : i + n]], np.uint32)
+            total += model.matrix[op4._buckets(gram, n)[-1]]
+    return total
+
+
+def test_batch_scores_are_sums_over_ngrams(spark, docs, monkeypatch):
+    rows = [(i, t, l) for i in range(60) for t, l in [("the cat and the dog", "en"), ("der hund und die katze", "de")]]
+    model = op4.train(docs(rows))
+    texts = ["the dog", "", "Die KATZE!", "été", "a" * 500, "x y z 123", "der hund und die katze " * 20]
+    monkeypatch.setattr(op4, "_SLICE", 64)
+    total, counts = model.likelihoods(texts)
+    for k, text in enumerate(texts):
+        assert total[k] == pytest.approx(plain_score(model, text), rel=1e-5)
+        assert counts[k] == 3 * (len(text) + 1)
+    assert [p for p, _ in model.predict(texts)][:3] == ["en", "und", "de"]
+
+
+def test_training_slices_do_not_change_the_model(docs, monkeypatch):
+    rows = [(i, f"the cat sat on the mat {i} " * 9, "en") for i in range(20)]
+    a = op4.train(docs(rows))
+    monkeypatch.setattr(op4, "_SLICE", 7)
+    assert np.allclose(a.matrix, op4.train(docs(rows)).matrix)
+
+
+def test_odd_rows(docs):
+    rows = odd_rows(20_000)
+    df = docs(rows, clashing=True)
+    got = op4.language_id(df).collect()
+    assert len(got) == len(rows)
+    by_text = {r[1]: r for r in rows}
+    assert by_text
+    for r in got:
+        text = next(x[1] for x in rows if x[0] == r.doc_id)
+        assert (r.lang_pred == "und") == (not op4.has_letter(text))
+        if r.lang_pred == "und":
+            assert r.score == 0.0
+        assert r.held_out == (r.doc_id is not None and held_out(r.doc_id))
+    kept = op4.in_known_language(df)
+    assert kept.columns == df.columns
+    assert all(op4.has_letter(r["text"]) for r in kept.collect())
+
+
+def test_nothing_to_learn(docs):
+    assert [(r.lang_pred, r.score) for r in op4.language_id(docs([(1, "abc")])).collect()] == [("und", 0.0)]
+    assert op4.language_id(docs([])).collect() == []
+    assert op4.in_known_language(docs([])).collect() == []
+
+
+def test_sample_is_bounded_and_repeatable(docs):
+    rows = [(i, "abc", "en" if i % 10 else "de") for i in range(4000)]
+    a = op4.sample(docs(rows), 300).groupBy("lang").count().collect()
+    b = op4.sample(docs(rows), 300).groupBy("lang").count().collect()
+    found = {r["lang"]: r["count"] for r in a}
+    assert found == {r["lang"]: r["count"] for r in b}
+    assert 200 < found["en"] < 400 and 200 < found["de"] <= 310

@@ -16,11 +16,9 @@ whole, with its ids, as Spark holds the row itself; nothing else grows with the
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +26,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-CACHED_WORDS = 400_000
+from wardline.llm.words import groups
+
+CACHED_WORDS = 1_000_000
 
 BLOCKS = (
     "shard int, block int, first long, width int, doc_ids array<long>, offsets array<long>, payload binary"
@@ -38,7 +38,7 @@ INDEX = "doc_id long, shard int, block int, at long, n_tokens long, ids_crc32 lo
 Encoder = Callable[[list[str]], list[np.ndarray]]
 
 
-def _from_schema(ddl: str) -> pa.Schema:
+def arrow_schema(ddl: str) -> pa.Schema:
     kinds = {
         "int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "double": pa.float64(),
         "string": pa.string(), "boolean": pa.bool_(), "array<long>": pa.list_(pa.int64()),
@@ -47,50 +47,75 @@ def _from_schema(ddl: str) -> pa.Schema:
 
 
 class _Words(dict):
-    """Ids of a word, as bytes; kept for the words met before, up to a fixed number."""
+    """Ids of a word, as bytes; kept for the words met first, up to a fixed number.
+
+    A full stop or comma after an ASCII letter is a token of its own, so such words are
+    put together from two.  Unknown words of letters alone are encoded together, as one
+    text: every id that ends a word ends one of them.
+    """
 
     def __init__(self, tokenizer) -> None:
         super().__init__()
         self.tokenizer = tokenizer
+        vocabulary = tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
+        if len(word) > 1 and word[-1] in b".," and 97 <= word[-2] <= 122:
+            return self[word[:-1]] + self[word[-1:]]
         ids = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids
-        value = self[word] = array("I", ids).tobytes()
+        value = array("I", ids).tobytes()
+        if len(self) < CACHED_WORDS:
+            self[word] = value
         return value
 
+    def learn(self, words: list[bytes]) -> None:
+        """Encode the unknown ones among these words."""
+        new = {w[:-1] if w[-1] in b".," else w for w in words if w not in self}
+        plain = [w for w in map(bytes.decode, new) if w.isalpha() and max(w) < "\u0250" and w.lower().isalpha()]
+        if not plain or len(self) >= CACHED_WORDS:
+            return
+        ids = np.array(self.tokenizer.encode(" ".join(plain), add_special_tokens=False).ids, np.uint32)
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) == len(plain):
+            joined, at = ids.tobytes(), (4 * stops).tolist()
+            self.update((w.encode(), joined[a:b]) for w, a, b in zip(plain, [0, *at], at))
+
 
-# A full stop or comma after an ASCII letter starts a token of its own, so a space there changes nothing.
-_MARK = re.compile(rb"(?<=[a-z])([.,])")
-# What the short cut over words leaves to the tokenizer: special tokens and control characters.
-_SPECIAL = re.compile(rb"<\||[\x00-\x08\x0b-\x1f]")
+_CONTROL = bytes([*range(0x09), *range(0x0B, 0x20)])
 
 
-def word_encoder(path: str) -> Encoder:
+def _by_words(data: bytes) -> bool:
+    """Whether a text's words can be encoded one by one: no special tokens or control characters."""
+    return b"<|" not in data and len(data.translate(None, _CONTROL)) == len(data)
+
+
+def word_encoder(path: str, special_as_text: bool = False) -> Encoder:
     """An encoder for a vocabulary that lower-cases, drops white space and splits letters from marks.
 
     The tokenizers library encodes each word once and its ids are kept, as texts repeat
     words far more often than they bring new ones.  The ids are those of the whole text:
-    such a vocabulary never joins characters across white space.
+    such a vocabulary never joins characters across white space.  With ``special_as_text``
+    no text can bring a special token's id into the stream.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = special_as_text
     words = _Words(tokenizer)
 
     def encode(texts: list[str]) -> list[np.ndarray]:
-        found = []
-        for text in texts:
-            data = text.encode("utf-8")
-            if _SPECIAL.search(data):
-                ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-            else:
-                spaced = _MARK.sub(rb" \1", data.lower())
-                ids = np.frombuffer(b"".join(map(words.__getitem__, spaced.split())), np.uint32)
-            found.append(ids)
-        return found
+        encoded = [text.encode("utf-8") for text in texts]
+        split = [data.lower().split() if _by_words(data) else None for data in encoded]
+        words.learn([w for found in split if found for w in found])
+        return [
+            np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+            if found is None
+            else np.frombuffer(b"".join(map(words.__getitem__, found)), np.uint32)
+            for text, found in zip(texts, split)
+        ]
 
     return encode
 
@@ -142,6 +167,13 @@ def unpack(payload: bytes, width: int, first: int, count: int) -> np.ndarray:
     return found
 
 
+def encoded(batch: pa.RecordBatch, encode: Encoder) -> Iterator[tuple[int, np.ndarray]]:
+    """Ids of the documents of a batch (doc_id, text), some texts at a time."""
+    doc_ids = batch.column(0).to_pylist()
+    for first, texts in groups(batch.column(1), most=1_000_000):
+        yield from zip(doc_ids[first:], encode([text or "" for text in texts]))
+
+
 def write_shards(
     docs: DataFrame, path: str, encoder: Callable[[], Encoder], vocabulary: int, end_id: int,
     block_ids: int = 1 << 16,
@@ -151,7 +183,7 @@ def write_shards(
     Texts are dealt to shards by ranges of ``doc_id``; rows that share an id are told apart
     by a hash of the text.  ``encoder`` is called once per task.
     """
-    width, schema = bit_width(vocabulary), _from_schema(BLOCKS)
+    width, schema = bit_width(vocabulary), arrow_schema(BLOCKS)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, shard = encoder(), TaskContext.get().partitionId()
@@ -168,8 +200,7 @@ def write_shards(
             )
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encode([text.as_py() or ""])[0]
+            for doc_id, ids in encoded(batch, encode):
                 doc_ids.append(doc_id)
                 lengths.append(len(ids) + 1)
                 parts += (ids, end)
@@ -206,7 +237,7 @@ def document_index(blocks: DataFrame) -> DataFrame:
 
     Ids are unpacked and summed block by block where the blocks are read.
     """
-    schema = _from_schema(INDEX)
+    schema = arrow_schema(INDEX)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -7,9 +7,10 @@
    compared with the smallest one it meets in any bucket, on full sets.
 4. Links found make components.  Only buckets that still hold several components need
    more: small ones compare classes of different components; in large ones, classes first
-   have to share a rare shingle of their sets (a prefix in order of frequency, which no
-   pair above the threshold lacks).  So a group of copies costs one comparison per class,
-   and a passage that many texts share costs none.
+   have to meet under a rare shingle at places and sizes that still allow a link (which
+   no pair above the threshold lacks).  So a group of copies costs one comparison per
+   class, and neither a passage that many texts share nor copies that drifted too far
+   apart cost all their pairs.
 5. Every link decides on ``100 * intersection >= percent * union`` of full sets.
 
 A pair at the threshold is missed with a chance of 1e-6 (more alike pairs with less);
@@ -23,19 +24,20 @@ Repeated rows share their id and so their component.  Other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.llm.words import CirculantMinHash, WordHashes, band_keys, bands, groups, shingle_hashes, words_of
 from wardline.storage import materialize
 
 ROWS_PER_BAND = 5
-SMALL_BUCKET = 32  # classes; above, a rare shingle must be shared before two classes are compared
+SMALL_BUCKET = 8  # classes; above, early shingles must be shared before two classes are compared
 
 SKETCH = "doc_id long, n_shingles long, set_hi long, set_lo long, band_keys array<long>"
 SETS = "rep long, n_shingles long, shingles array<long>"
@@ -176,23 +178,42 @@ def _cross(members: DataFrame) -> DataFrame:
     return b.join(a, "key").filter((F.col("v") < F.col("u")) & (F.col("lu") != F.col("lv"))).select("u", "v").distinct()
 
 
-def _by_rare_shingle(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Members (key, rep) of new buckets: one for each shingle in the prefix of a set.
+def _size_range(size: Column) -> Column:
+    """Sizes in ranges whose ends differ by a fiftieth."""
+    return F.floor(F.log(size.cast("double")) / math.log(1.02)).cast("int")
 
-    Shingles are ordered by how many of these sets hold them, rare ones first.  Of n
-    shingles, the first n - ceil(percent * n / 100) + 1 are the prefix; two sets above the
-    threshold share one of theirs.
+
+def _by_rare_shingles(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) of members (rep, label) with different labels that may be alike enough.
+
+    Shingles are ordered by how many of these sets hold them, rare ones first.  Let two
+    sets of m <= n shingles be alike enough, so that they share at least
+    ``percent / (100 + percent) * (m + n)``.  The first one they share then comes early in
+    both: so early in the smaller one that ``2 * percent / (100 + percent) * m`` follow, and
+    in the larger one that enough follow for a partner of size m.  So each set is kept under
+    its early shingles with its own size, and looked for under its early shingles with
+    every range of sizes that the shingle's place still allows.
     """
-    mine = sets.join(members.select("rep").distinct(), "rep", "left_semi")
-    each = mine.select("rep", "n_shingles", F.explode("shingles").alias("key"))
+    mine = sets.join(members.distinct(), "rep")
+    each = mine.select("rep", "label", F.col("n_shingles").alias("n"), F.explode("shingles").alias("key"))
     held = each.groupBy("key").agg(F.count("*").alias("held")).filter("held > 1")
     place = F.row_number().over(Window.partitionBy("rep").orderBy(F.coalesce("held", F.lit(1)), "key"))
-    length = F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100.0) + 1
-    return (
-        each.join(held, "key", "left").withColumn("place", place)
-        .filter((F.col("place") <= length) & F.col("held").isNotNull())
-        .select("key", "rep")
+    n, p = F.col("n"), F.col("p")
+    early = n - F.ceil(n * percent / 100.0) + 1
+    ranked = each.join(held, "key", "left").withColumn("p", place).filter((p <= early) & F.col("held").isNotNull())
+    ranked = materialize(ranked.select("key", "rep", "label", "n", "p"), "ranked")
+    kept = ranked.filter(p <= n - F.ceil(n * (2.0 * percent) / (100 + percent)) + 1).select(
+        "key", _size_range(n).alias("range"), F.col("rep").alias("a"), F.col("label").alias("la"), n.alias("m"), p.alias("q")
+    )
+    least = F.ceil(n * percent / 100.0)
+    most = F.least(n, F.floor((n - p + 1) * (100.0 + percent) / percent) - n)
+    sought = ranked.withColumns({"least": least, "most": most}).filter("least <= most")
+    sought = sought.withColumn("range", F.explode(F.sequence(_size_range(F.col("least")), _size_range(F.col("most")))))
+    enough = (1 + F.least(F.col("m") - F.col("q"), n - p)) * (100 + percent) >= percent * (F.col("m") + n)
+    met = sought.join(kept, ["key", "range"]).filter(
+        (F.col("m") <= n) & (F.col("la") != F.col("label")) & enough
     )
+    return met.select(F.greatest("a", "rep").alias("u"), F.least("a", "rep").alias("v")).distinct()
 
 
 def _labels(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
@@ -212,8 +233,7 @@ def _labels(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> Da
     pairs = _cross(left.filter(F.col("n") <= SMALL_BUCKET))
     large = left.filter(F.col("n") > SMALL_BUCKET)
     if not large.isEmpty():
-        finer, unsettled = _several(_by_rare_shingle(large, sets, percent), labels)
-        pairs = pairs.union(_cross(finer.join(unsettled.select("key"), "key"))).distinct()
+        pairs = pairs.union(_by_rare_shingles(large.select("rep", "label"), sets, percent)).distinct()
     more = materialize(verified(pairs.join(stars, ["u", "v"], "left_anti"), sets, percent), "links")
     return labels if more.isEmpty() else components(links.union(more))
 
