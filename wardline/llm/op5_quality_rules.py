@@ -17,6 +17,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardline.llm.words import once
+
 WHITE = r"[\x20\x09-\x0D]+"
 WHITE_CHARACTERS = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -82,8 +84,7 @@ def measures(docs: DataFrame) -> DataFrame:
     lines = F.filter(F.split("_text", "\n"), lambda x: F.btrim(x, F.lit(WHITE_CHARACTERS)) != "")
     df = df.withColumn("_lines", lines)
     stop = F.size(F.filter("_words", lambda w: w.isin(STOP_WORDS)))
-    counts = df.select(
-        "doc_id",
+    counts = F.struct(
         F.col("_n").cast("long").alias("n_words"),
         F.length(F.regexp_replace("_text", WHITE, "")).cast("long").alias("word_chars"),
         F.length(F.regexp_replace("_text", f"[^{SYMBOLS}]+", "")).cast("long").alias("n_symbols"),
@@ -92,6 +93,7 @@ def measures(docs: DataFrame) -> DataFrame:
         "n_repeat_words",
         F.when(F.col("_n") > 0, stop).otherwise(0).cast("long").alias("n_stop_words"),
     )
+    counts = df.select("doc_id", once(counts).alias("_counts")).select("doc_id", "_counts.*")
 
     def ratio(a: str, b: str) -> Column:
         return F.try_divide(F.col(a).cast("double"), F.col(b).cast("double"))
@@ -135,8 +137,8 @@ def _literals(values: list[str]) -> str:
 ORACLE_SQL = f"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 split AS (
-  SELECT *, list_filter(regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+'), w -> w <> '') AS words,
-    list_filter(string_split(text, chr(10)), l -> regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines
+  SELECT *, list_filter(regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words,
+    list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines
   FROM docs),
 windows AS (
   SELECT r, i, list_slice(words, i, i + 4) AS w
@@ -148,12 +150,12 @@ covered AS (
   FROM repeated, (SELECT unnest(range(0, 5)) AS k) GROUP BY r),
 counts AS (
   SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
-    CAST(coalesce(list_sum(list_transform(words, w -> length(w))), 0) AS BIGINT) AS word_chars,
+    CAST(coalesce(list_sum(list_transform(words, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
     CAST(length(regexp_replace(text, '[^{SYMBOLS}]', '', 'g')) AS BIGINT) AS n_symbols,
     CAST(len(lines) AS BIGINT) AS n_lines,
     CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
     CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words,
-    len(list_filter(words, w -> w IN ({_literals(STOP_WORDS)}))) AS n_stop
+    len(list_filter(words, lambda w: w IN ({_literals(STOP_WORDS)}))) AS n_stop
   FROM split LEFT JOIN covered c USING (r)),
 judged AS (
   SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,

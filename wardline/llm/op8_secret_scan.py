@@ -24,16 +24,18 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardline.llm.words import once
+
 WINDOW = 20
 _BLOCK = 256  # matches whose places are summed up together
 
 
 class Kind(NamedTuple):
-    """``pattern`` finds matches from left to right; those of ``test`` count."""
+    """``pattern`` finds matches from left to right.  Where it has a group, the group's length decides."""
 
     name: str
     pattern: str
-    test: str | None = None
+    least: int = 0
 
 
 ASSIGN = (
@@ -42,7 +44,7 @@ ASSIGN = (
 )
 
 KINDS = (
-    Kind("assign", ASSIGN + r"[A-Za-z0-9+/_.=-]+", "(?s).*[A-Za-z0-9+/_.=-]{12}$"),
+    Kind("assign", ASSIGN + r"([A-Za-z0-9+/_.=-]+)", 12),
     Kind("access", "AKIA[A-Z0-9]{14,}"),
     Kind("hex", "[0-9a-f]{16,}"),
 )
@@ -158,8 +160,8 @@ def _hot_part(string: Column, window: int) -> Column:
     return F.aggregate(pairs, start, step, lambda a: F.struct(a["first"].alias("first"), a["last"].alias("last")))
 
 
-def _found_matches(test: str):
-    return lambda x: x["found"].rlike(test)
+def _long_enough(kind: Kind):
+    return lambda x: F.length(F.regexp_extract(x["found"], f"^{kind.pattern}$", 1)) >= kind.least
 
 
 def _outside(spans: str):
@@ -176,8 +178,8 @@ def _with_spans(docs: DataFrame) -> DataFrame:
     df = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     for kind in (*KINDS, CANDIDATE):
         df = _add_matches(df, "text", kind.pattern, kind.name)
-        if kind.test:
-            df = df.withColumn(kind.name, F.filter(kind.name, _found_matches(kind.test)))
+        if kind.least:
+            df = df.withColumn(kind.name, F.filter(kind.name, _long_enough(kind)))
     allowed = "^(?:" + "|".join(f"(?:{a})" for a in ALLOWED) + ")$"
     suspects = F.filter(CANDIDATE.name, lambda x: ~x["found"].rlike(allowed))
     df = df.withColumn(CANDIDATE.name, F.when(F.size(suspects) > 0, suspects))
@@ -212,9 +214,9 @@ def secret_scan(docs: DataFrame) -> DataFrame:
     """Spans of every text: counts by kind, digest of the patterned spans, and all spans."""
     base = [k.name for k in KINDS]
     count = lambda name: F.coalesce(F.size(name), F.lit(0)).cast("long")
-    return _with_spans(docs).select(
-        "doc_id",
+    found = F.struct(
         *(F.greatest(count(n), F.lit(0).cast("long")).alias(f"n_{n}") for n in base),
         F.sha2(_listed(base), 256).alias("base_sha256"),
         _listed([*base, CANDIDATE.name]).alias("spans"),
     )
+    return _with_spans(docs).select("doc_id", once(found).alias("found")).select("doc_id", "found.*")

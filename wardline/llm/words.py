@@ -136,6 +136,11 @@ def groups(texts: pa.Array, most: int = 2_000_000) -> Iterator[tuple[int, list[s
         yield first, found
 
 
-def salt(parts: int, *columns: Column) -> Column:
-    """A number below ``parts`` that depends on the given columns only."""
-    return F.pmod(F.xxhash64(*columns), F.lit(parts)).cast("int")
+def once(column: Column) -> Column:
+    """A costly column that filters on it, or on what is made of it, do not compute again.
+
+    Spark moves filters below deterministic columns by copying their expressions, which
+    multiplies the work of nested ones.  The condition is always true; it only keeps that
+    from happening.
+    """
+    return F.when(F.spark_partition_id() >= 0, column)
