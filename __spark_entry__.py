@@ -58,8 +58,8 @@ POSITIVE_CODES = ["LOINC:COVID19POS", "LOCAL:COVIDPOS2"]
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def study(spark: SparkSession, sf_dir: str, **settings) -> Study:
-    tables = testdata.sources(spark, sf_dir)
+def study(spark: SparkSession, sf_dir: str, years_apart: bool = False, **settings) -> Study:
+    tables = testdata.sources(spark, sf_dir, years_apart)
     return Study(tables, testdata.maps(spark, tables.concepts), testdata.config(**settings))
 
 
@@ -117,8 +117,7 @@ def _expanded_meds(s: Study) -> DataFrame:
 def _site_stamped(s: Study) -> DataFrame:
     parts = [
         privacy.with_site(raw_table(s, spec), s.cfg)
-        .groupBy(F.lit(spec.name).alias("table_name"), "siteid")
-        .agg(F.count("*").alias("n_rows"))
+        .select(F.lit(spec.name).alias("table_name"), "siteid", F.concat_ws("|", *spec.key).alias("key"))
         for spec in TABLES
     ]
     return reduce(DataFrame.unionByName, parts)
@@ -213,7 +212,7 @@ def queries() -> dict[str, Query]:
         "cohort": _over_study(lambda s: cohort.cohort(s.index_events, s.admissions)),
         "cohort_by_result": _over_study(_cohort_by_result),
         "severe_events": _over_study(
-            lambda s: severity.severe_events(s.sources.facts, s.admitted, s.lab_map, s.med_map, s.cfg)
+            lambda s: severity.severe_events(s.facts, s.admitted, s.lab_map, s.med_map, s.cfg, s.first_admission)
         ),
         "cohort_severe": _over_study(lambda s: s.severe_cohort),
         "cohort_death": _over_study(
@@ -223,6 +222,9 @@ def queries() -> dict[str, Query]:
         "date_list": _over_study(lambda s: calendar.date_list(s.admitted, s.cfg.as_of)),
         "demographics_attrs": _over_study(_attrs),
         "demographics_attrs_birth_date": _over_study(_attrs, age_source="birth_date"),
+        "daily_counts_long": _over_study(_raw(DAILY), years_apart=True),
+        "clinical_course_long": _over_study(_raw(COURSE), years_apart=True),
+        "diagnoses_icd10_only": _over_study(_raw(DIAGNOSES), code_prefix_icd9cm=""),
         "daily_counts_no_death": _over_study(_raw(DAILY), death_data_accurate=False),
         "demographics_birth_date": _over_study(_raw(DEMOGRAPHICS), age_source="birth_date"),
         "demographics_dedupe": _over_study(_raw(DEMOGRAPHICS), dedupe_race=True),

@@ -14,7 +14,7 @@ import argparse
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from wardline.operators.cohort import index_events_by_result
 from wardline.plans.maps import grow_maps
@@ -24,10 +24,13 @@ from wardline.sources import maps, readers
 
 def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="wardline", description="Cohort report of one site")
-    parser.add_argument("--tables", required=True, help="folder of the clinical tables (parquet)")
+    parser.add_argument("--tables", required=True, help="folder of the clinical tables, or the catalog's database")
     parser.add_argument("--config", required=True, help="one-row CSV of the site's settings")
     parser.add_argument("--as-of", required=True, type=date.fromisoformat, help="the run's today")
     parser.add_argument("--out", required=True, help="folder for the CSV files")
+    parser.add_argument("--format", choices=["parquet", "csv", "catalog"], default="parquet", help="of the tables")
+    parser.add_argument("--time-zone", default="UTC", help="zone that the tables' timestamps are read in")
+    parser.add_argument("--text-ids", action="store_true", help="patient ids of CSV extracts are text")
     parser.add_argument("--maps", help="folder of the site's own map files")
     parser.add_argument("--rxnorm", help="CSV med_class,code for the default medication map")
     parser.add_argument("--positive-path", help="concept path whose codes are positive tests")
@@ -43,11 +46,31 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
+def read_sources(spark: SparkSession, args: argparse.Namespace) -> readers.Sources:
+    if args.format == "csv":
+        return readers.read_csv(spark, args.tables, args.text_ids)
+    if args.format == "catalog":
+        names = ("observation_fact", "visit_dimension", "patient_dimension", "concept_dimension")
+        return readers.read_tables(spark, *[f"{args.tables}.{name}" for name in names])
+    return readers.read_parquet(spark, args.tables)
+
+
+def print_table(name: str, table: DataFrame) -> None:
+    """Every row of a report table, tab-separated, below its name and columns."""
+    print(f"# {name}")
+    print(*table.columns, sep="\t")
+    for row in table.toLocalIterator():
+        print(*["" if v is None else v for v in row], sep="\t")
+
+
 def main(argv: Sequence[str] | None = None) -> list[str]:
     """Run the report and return the paths of its files."""
     args = arguments(argv)
     spark = SparkSession.builder.appName("wardline").getOrCreate()
-    tables = readers.read_parquet(spark, args.tables)
+    spark.conf.set("spark.sql.session.timeZone", args.time_zone)
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    tables = read_sources(spark, args)
     if args.maps:
         names = ("code_map", "lab_map", "med_map")
         site_maps = maps.read_maps(spark, *[f"{args.maps}/{name}.csv" for name in names])
@@ -70,11 +93,11 @@ def main(argv: Sequence[str] | None = None) -> list[str]:
     positives = None
     if args.positive_codes:
         positives = index_events_by_result(tables.facts, args.positive_codes, args.positive_text)
-    report = run_report(tables, site_maps, cfg, positives)
-    written = report.write(args.out)
-    if cfg.output_as_columns:
-        for table in report.tables().values():
-            table.show(truncate=False)
+    with run_report(tables, site_maps, cfg, positives) as report:
+        written = report.write(args.out)
+        if cfg.output_as_columns:
+            for name, table in report.tables().items():
+                print_table(name, table)
     return written
 
 

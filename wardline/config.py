@@ -65,13 +65,19 @@ class SiteConfig:
     def from_table(cls, config: DataFrame, as_of: date, **choices) -> SiteConfig:
         """Read the settings from a config table, which must hold exactly one row.
 
-        Column names are matched without regard to case; flags may be stored as
-        0/1; a null leaves the default in place.
+        Column names are matched without regard to case; flags may be stored as 0/1.  A
+        missing column or a null leaves the default in place, but an empty or null code
+        prefix switches that code version off: many databases and CSV readers make no
+        difference between the two.
         """
         rows = config.limit(2).collect()
         if len(rows) != 1:
             raise ValueError("the config table must hold exactly one row")
-        stored = {k.lower(): v for k, v in rows[0].asDict().items() if v is not None}
+        stored = {
+            k.lower(): "" if v is None and k.lower().startswith("code_prefix_") else v
+            for k, v in rows[0].asDict().items()
+        }
+        stored = {k: v for k, v in stored.items() if v is not None}
         settings = {}
         for f in fields(cls):
             if f.name in stored and f.name != "as_of":

@@ -7,18 +7,15 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-CALENDAR_DAYS = 1000
 
-
-def date_list(cohort: DataFrame, as_of: date, cap: int = CALENDAR_DAYS) -> DataFrame:
-    """Every day from the first admission to ``as_of``, at most ``cap`` of them.
+def date_list(cohort: DataFrame, as_of: date) -> DataFrame:
+    """Every day from the first admission to ``as_of``, however many those are.
 
     An empty cohort, or one that starts after ``as_of``, has no calendar.
     """
     first = cohort.agg(F.min("admission_date").alias("first"))
-    last = F.least(F.lit(as_of), F.date_add("first", cap - 1))
     return first.filter(F.col("first") <= F.lit(as_of)).select(
-        F.explode(F.sequence(F.col("first"), last)).alias("d")
+        F.explode(F.sequence(F.col("first"), F.lit(as_of))).alias("d")
     )
 
 

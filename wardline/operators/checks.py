@@ -116,12 +116,12 @@ def _broken(rule: Rule) -> Column:
 def check_rules(df: DataFrame, table: str, rules: list[Rule]) -> DataFrame:
     """Violations: (table_name, rule, column_names, value, n_rows), empty when all hold.
 
-    ``value`` is the repeated key, or the value that breaks a rule (null for a missing
-    one).  Rules about single values share one pass; each key is grouped on its own.
+    ``value`` is the repeated key (its missing parts as ``null``), or the value that breaks
+    a rule (null for a missing one).  Rules about single values share one pass; each key is grouped on its own.
     """
 
     def text(columns: tuple[str, ...]) -> Column:
-        return F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
+        return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in columns])
 
     names = ("table_name", "rule", "column_names", "value")
     parts = []

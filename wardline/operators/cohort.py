@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions.clinical import first_day
 from wardline.operators.scope import join_codes, lookup
+from wardline.storage import fits_broadcast
 
 
 def index_events(facts: DataFrame, code_map: DataFrame, code: str = "covidpos") -> DataFrame:
@@ -35,8 +36,9 @@ def admissions(
 ) -> DataFrame:
     """Distinct inpatient stays that start no earlier than ``lookback`` days before the index.
 
-    Stays are made distinct before the join.  A patient may bring several index days:
-    the earliest one decides, as any of them may admit a stay.
+    Stays of patients without an index event are dropped before the rest are made
+    distinct.  A patient may bring several index days: the earliest one decides, as any of
+    them may admit a stay.
     """
     inpatient = code_map.filter(F.col("code") == "inpatient").select(
         F.col("local_code").alias("inout_cd")
@@ -48,19 +50,19 @@ def admissions(
         ["patient_num", "start_date"],
         "left_semi",
     )
-    stays = (
-        found.select(
-            "patient_num",
-            first_day("start_date").alias("admission_date"),
-            F.coalesce(F.to_date("end_date"), F.lit(as_of)).alias("discharge_date"),
-        )
-        .distinct()
+    stays = found.select(
+        "patient_num",
+        first_day("start_date").alias("admission_date"),
+        F.coalesce(F.to_date("end_date"), F.lit(as_of)).alias("discharge_date"),
     )
     earliest = positives.groupBy("patient_num").agg(F.min("covid_pos_date").alias("covid_pos_date"))
+    if fits_broadcast(positives):
+        earliest = F.broadcast(earliest)  # no larger than the positives
     return (
         stays.join(earliest, "patient_num")
         .filter(F.col("admission_date") >= F.date_sub("covid_pos_date", lookback))
         .select("patient_num", "admission_date", "discharge_date")
+        .distinct()
     )
 
 

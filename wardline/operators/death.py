@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions.clinical import first_day
-from wardline.operators.scope import of_patients
+from wardline.operators.scope import lookup
 
 
 def death_dates(cohort: DataFrame, patients: DataFrame, accurate: bool = True) -> DataFrame:
@@ -17,8 +17,9 @@ def death_dates(cohort: DataFrame, patients: DataFrame, accurate: bool = True) -
     """
     if not accurate:
         return cohort
+    dead = patients.filter(F.col("death_date").isNotNull() | (F.col("vital_status_cd") == "Y"))
     deceased = (
-        patients.filter(F.col("death_date").isNotNull() | (F.col("vital_status_cd") == "Y"))
+        lookup(dead, cohort.select("patient_num"), "patient_num", ["death_date"], "left_semi")
         .groupBy("patient_num")
         .agg(F.max(F.to_date("death_date")).alias("recorded"), F.lit(True).alias("deceased"))
     )
@@ -38,12 +39,14 @@ def correct_death_by_last_fact(cohort: DataFrame, facts: DataFrame) -> DataFrame
     """Move a death date to the last fact when facts were recorded after it.
 
     A fact later on the day of death is after its midnight but leaves the same day, so
-    the larger of the two days is the answer.  Each patient's facts shrink to their
-    last day before the join.
+    the larger of the two days is the answer.  Facts of others are dropped first, then
+    each patient's facts shrink to their last day before the join.
     """
-    deceased = cohort.filter(F.col("death_date").isNotNull())
+    deceased = cohort.filter(F.col("death_date").isNotNull()).select("patient_num")
     last = (
-        of_patients(facts.select("patient_num", "start_date"), deceased)
+        lookup(
+            facts.select("patient_num", "start_date"), deceased, "patient_num", ["start_date"], "left_semi"
+        )
         .groupBy("patient_num")
         .agg(first_day(F.max("start_date")).alias("last_day"))
     )

@@ -11,6 +11,7 @@ from wardline.config import SiteConfig
 from wardline.functions.clinical import age_band, age_in_years
 from wardline.operators.daily import NOT_AVAILABLE
 from wardline.operators.scope import facts_of, join_codes, lookup
+from wardline.storage import fits_broadcast
 
 SEXES = ["male", "female"]
 RACES = ["american_indian", "asian", "black", "hawaiian_pacific_islander", "white"]
@@ -55,14 +56,16 @@ def known_attributes(
 ) -> DataFrame:
     """One row per patient and recorded attribute: sex, age group or race, the others null.
 
-    A race recorded n times gives n rows.  With ``counted`` those rows are kept as one
-    row and a count ``n``, formed before anything is shuffled by patient.
+    A race recorded n times gives n rows.  With ``counted`` rows carry a count ``n`` and
+    equal ones may be one row, formed before a shuffle by patient where there is one.
     ``cfg.dedupe_race`` keeps one.
     """
     everyone = cohort.select("patient_num")
 
     def of_cohort(rows: DataFrame) -> DataFrame:
-        if counted:
+        if counted and fits_broadcast(everyone):  # the count over patients combines on the map side
+            rows = rows.withColumn("n", F.lit(1).cast("long"))
+        elif counted:
             rows = rows.groupBy(rows.columns).agg(F.count("*").alias("n"))
         return rows.join(everyone, "patient_num", "left_semi")
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.config import SiteConfig
 from wardline.functions.clinical import closing_day, first_day
-from wardline.operators.scope import join_codes, of_patients, on_or_after
+from wardline.operators.scope import LOOKBACK_DAYS, join_codes, within
 
-LOOKBACK_DAYS = 365
 GAP_DAYS = 15
 ICD_CHARS = 3
 
@@ -45,10 +46,13 @@ def _before_and_since(events: DataFrame, cohort: DataFrame, keys: list[str]) ->
     return flags.groupBy(keys).agg(*[F.sum(s).alias(n) for s, n in zip(sums, HISTORY_COUNTS)])
 
 
-def diagnoses(facts: DataFrame, cohort: DataFrame, cfg: SiteConfig) -> DataFrame:
+def diagnoses(
+    facts: DataFrame, cohort: DataFrame, cfg: SiteConfig, first: date | None = None
+) -> DataFrame:
     """Patients per three-character ICD code and version; both versions in one pass.
 
-    An empty prefix switches a version off.
+    An empty prefix switches a version off.  ``first`` as in
+    :func:`~wardline.operators.severity.severe_events`.
     """
     concept = F.col("concept_cd")
     prefixes = {9: cfg.code_prefix_icd9cm, 10: cfg.code_prefix_icd10cm}
@@ -65,16 +69,18 @@ def diagnoses(facts: DataFrame, cohort: DataFrame, cfg: SiteConfig) -> DataFrame
     none = F.lit(None).cast("struct<icd_code_3chars:string,icd_version:int>")
     codes = F.array_compact(F.array(none, *[code(v, p) for v, p in prefixes.items()]))
     events = (
-        on_or_after(of_patients(facts, cohort), cohort, -LOOKBACK_DAYS)
+        facts.filter(within(first, -LOOKBACK_DAYS))
         .filter(coded)
         .select("patient_num", "start_date", F.inline(codes))
     )
     return _before_and_since(events, cohort, ["icd_code_3chars", "icd_version"])
 
 
-def medications(facts: DataFrame, cohort: DataFrame, med_map: DataFrame) -> DataFrame:
-    """Patients per medication class."""
+def medications(
+    facts: DataFrame, cohort: DataFrame, med_map: DataFrame, first: date | None = None
+) -> DataFrame:
+    """Patients per medication class.  ``first`` as in :func:`diagnoses`."""
     classes = med_map.select(F.col("local_med_code").alias("concept_cd"), "med_class").distinct()
-    recent = on_or_after(of_patients(facts, cohort), cohort, -LOOKBACK_DAYS)
+    recent = facts.filter(within(first, -LOOKBACK_DAYS))
     events = join_codes(recent.select("patient_num", "concept_cd", "start_date"), classes)
     return _before_and_since(events, cohort, ["med_class"])

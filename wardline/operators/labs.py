@@ -2,29 +2,34 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions.clinical import SEVERE_LOINCS, first_day
 from wardline.operators.daily import NOT_AVAILABLE
-from wardline.operators.scope import join_codes, of_patients, on_or_after
+from wardline.operators.scope import join_codes, within
 
 LOG_OFFSET = 0.5
 VALUE_COLUMNS = ["mean_value", "stdev_value", "mean_log_value", "stdev_log_value"]
 
 
-def labs(facts: DataFrame, cohort: DataFrame, lab_map: DataFrame, min_day: int = 0) -> DataFrame:
+def labs(
+    facts: DataFrame, cohort: DataFrame, lab_map: DataFrame, min_day: int = 0, first: date | None = None
+) -> DataFrame:
     """Count, mean and spread of each lab by day since admission, all and ever severe.
 
     Values are scaled and averaged per patient and day first, before they meet the
     cohort; the day tables are then averaged over patients.  ``min_day`` opens the
-    window (-60 also counts the two months before admission).
+    window (-60 also counts the two months before admission).  ``first`` as in
+    :func:`~wardline.operators.severity.severe_events`.
     """
     scales = lab_map.filter(~F.col("loinc").isin(SEVERE_LOINCS)).select(
         F.col("local_lab_code").alias("concept_cd"), "loinc", "scale_factor", "lab_units"
     )
     value = F.col("nval_num") * F.col("scale_factor")
-    recent = on_or_after(of_patients(facts, cohort), cohort, min_day)
+    recent = facts.filter(within(first, min_day))
     per_day = (
         join_codes(recent.filter(F.col("nval_num") >= 0), scales)
         .groupBy("patient_num", "loinc", "lab_units", first_day("start_date").alias("day"))

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from wardline.functions.text import csv_field
 from wardline.operators.tables import TableSpec
+from wardline.storage import file_system, remove
 
-LAST_LINE = 9999999
+LAST_LINE = 9999999  # number of the blank last line; larger tables give it the next one
 
 
 def _order(spec: TableSpec) -> list[Column]:
@@ -30,18 +31,18 @@ def as_csv_lines(df: DataFrame, spec: TableSpec) -> DataFrame:
 
     Line 0 is the header and the last line is blank.  Read in order of ``i``.
     """
-    spark = df.sparkSession
     types = {f.name: f.dataType for f in df.schema}
     fields = [csv_field(c, types[c]) for c in spec.with_site]
     body = df.select(
         F.row_number().over(Window.orderBy(*_order(spec))).alias("i"),
         F.concat_ws(",", *fields).alias("s"),
     )
-    ends = spark.range(1).select(
+    last = F.greatest(F.lit(LAST_LINE), F.col("n").cast("int") + 1)
+    ends = df.agg(F.count("*").alias("n")).select(
         F.inline(
             F.array(
                 F.struct(F.lit(0).alias("i"), F.lit(",".join(spec.with_site)).alias("s")),
-                F.struct(F.lit(LAST_LINE).alias("i"), F.lit("").alias("s")),
+                F.struct(last.alias("i"), F.lit("").alias("s")),
             )
         )
     )
@@ -56,18 +57,19 @@ def write_report(lines: DataFrame, directory: str, name: str) -> str:
     """Write CSV lines as one file ``directory/name`` and return its path.
 
     Spark writes a part file beside the target, which the file system then renames, so
-    readers see the whole file or none.
+    readers see the whole file or none.  An existing file is never replaced.
     """
     spark = lines.sparkSession
     staging = f"{directory.rstrip('/')}/_{name}-{uuid.uuid4().hex}"
     target = f"{directory.rstrip('/')}/{name}"
-    lines.coalesce(1).sortWithinPartitions("i").select("s").write.text(staging)
-
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    files = path(directory).getFileSystem(spark._jsc.hadoopConfiguration())
-    part = files.globStatus(path(f"{staging}/part-*"))[0].getPath()
-    if files.exists(path(target)):
+    files, where = file_system(spark, target)
+    if files.exists(where):
         raise FileExistsError(target)
-    files.rename(part, path(target))
-    files.delete(path(staging), True)
+    try:
+        lines.coalesce(1).sortWithinPartitions("i").select("s").write.text(staging)
+        part = files.globStatus(file_system(spark, f"{staging}/part-*")[1])[0].getPath()
+        if not files.rename(part, where):
+            raise OSError(f"{target} could not be written")
+    finally:
+        remove(spark, staging)
     return target

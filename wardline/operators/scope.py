@@ -2,38 +2,37 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.config import SiteConfig
 from wardline.functions.clinical import severe_by_code
 from wardline.storage import fits_broadcast
 
-SALTS = 32
+LOOKBACK_DAYS = 365  # how long before admission diagnoses and medications count
+SALTS_CONF = "wardline.salts"
+SALTS = 32  # parts a key's rows are dealt to where nothing else is set
 
 
-def of_patients(facts: DataFrame, patients: DataFrame) -> DataFrame:
-    """Drop other patients' facts where that costs no shuffle.
+def salts(rows: DataFrame) -> int:
+    """Parts that one key's rows are dealt to: ``wardline.salts`` of the session.
 
-    Only an early reduction: every caller joins to the patients afterwards anyway.  A
-    cohort too large to broadcast is left to that join, which sees aggregated rows.
+    Set it to the rows of the hottest key over what a task should hold.
     """
-    keys = patients.select("patient_num")
-    return facts.join(keys, "patient_num", "left_semi") if fits_broadcast(keys) else facts
+    return max(1, int(rows.sparkSession.conf.get(SALTS_CONF, str(SALTS))))
 
 
-def on_or_after(facts: DataFrame, cohort: DataFrame, days: int) -> DataFrame:
-    """Drop facts older than any cohort member's window.
+def within(first: date | None, days: int) -> Column:
+    """Facts no older than ``days`` after the first admission of any cohort member.
 
-    One date is read from the cohort (which should be a written table) and becomes a
-    literal: only literals reach the scan, where they skip files and row groups.
+    The date is a literal, as only literals reach the scan, where they skip files and row
+    groups.  Without a date nothing is left out.
     """
-    first = cohort.agg(F.min("admission_date")).first()[0]
     if first is None:
-        return facts.filter(F.lit(False))
-    return facts.filter(F.col("start_date") >= F.lit(first + timedelta(days=days)))
+        return F.lit(True)
+    return F.col("start_date") >= F.lit(first + timedelta(days=days))
 
 
 def lookup(
@@ -48,8 +47,9 @@ def lookup(
     """
     if fits_broadcast(table):
         return rows.join(table, key, how)
-    spread = rows.withColumn("salt", F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int"))
-    copies = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    parts = salts(rows)
+    spread = rows.withColumn("salt", F.pmod(F.xxhash64(*spread_by), F.lit(parts)).cast("int"))
+    copies = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     return spread.join(copies, [key, "salt"], how).drop("salt")
 
 
@@ -65,23 +65,33 @@ def facts_of(facts: DataFrame, patients: DataFrame) -> DataFrame:
 
 
 def report_facts(
-    facts: DataFrame, code_map: DataFrame, lab_map: DataFrame, med_map: DataFrame, cfg: SiteConfig
+    facts: DataFrame,
+    code_map: DataFrame,
+    lab_map: DataFrame,
+    med_map: DataFrame,
+    cfg: SiteConfig,
+    first: date | None = None,
 ) -> DataFrame:
     """Facts that any table of the report can use: mapped codes, diagnoses, severe procedures.
 
-    Only the last-fact date of the deceased needs more than these.
+    Codes of the code map (races) count at any age.  All others count from the earliest
+    day that a window of a cohort first admitted on ``first`` opens.
     """
     concept = F.col("concept_cd")
     mapped = (
-        code_map.select("local_code")
-        .union(lab_map.select("local_lab_code"))
-        .union(med_map.select("local_med_code"))
-        .distinct()
-        .toDF("concept_cd")
-        .withColumn("mapped", F.lit(True))
+        code_map.select(F.col("local_code").alias("concept_cd"), F.lit(True).alias("ever"))
+        .union(lab_map.select("local_lab_code", F.lit(False)))
+        .union(med_map.select("local_med_code", F.lit(False)))
+        .groupBy("concept_cd")
+        .agg(F.max("ever").alias("ever"))
     )
-    wanted = F.col("mapped") | severe_by_code(concept, cfg)
+    wanted = F.col("ever").isNotNull() | severe_by_code(concept, cfg)
     for prefix in (cfg.code_prefix_icd9cm, cfg.code_prefix_icd10cm):
         if prefix:
             wanted = wanted | concept.startswith(prefix)
-    return join_codes(facts, mapped, "left").filter(wanted).select(facts.columns)
+    opens = within(first, min(-LOOKBACK_DAYS, cfg.lab_min_day))
+    return (
+        join_codes(facts, mapped, "left")
+        .filter(wanted & (F.coalesce("ever", F.lit(False)) | opens))
+        .select(facts.columns)
+    )

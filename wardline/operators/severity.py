@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from wardline.functions.clinical import (
     first_day,
     severe_by_code,
 )
-from wardline.operators.scope import join_codes, of_patients, on_or_after
+from wardline.operators.scope import join_codes, within
 
 
 def severe_concepts(lab_map: DataFrame, med_map: DataFrame) -> DataFrame:
@@ -23,15 +25,21 @@ def severe_concepts(lab_map: DataFrame, med_map: DataFrame) -> DataFrame:
 
 
 def severe_events(
-    facts: DataFrame, cohort: DataFrame, lab_map: DataFrame, med_map: DataFrame, cfg: SiteConfig
+    facts: DataFrame,
+    cohort: DataFrame,
+    lab_map: DataFrame,
+    med_map: DataFrame,
+    cfg: SiteConfig,
+    first: date | None = None,
 ) -> DataFrame:
     """First day at or after admission with evidence of severe illness.
 
     One pass over the facts finds both mapped codes and code patterns; what is left is
-    one row per patient and day before it meets the cohort.
+    one row per patient and day before it meets the cohort.  ``first`` is the cohort's
+    first admission, if known: older facts are then left out where they are read.
     """
     mapped = severe_concepts(lab_map, med_map).withColumn("mapped", F.lit(True))
-    recent = on_or_after(of_patients(facts, cohort), cohort, 0)
+    recent = facts.filter(within(first, 0))
     days = (
         join_codes(recent.select("patient_num", "concept_cd", "start_date"), mapped, "left")
         .filter(F.col("mapped") | severe_by_code(F.col("concept_cd"), cfg))

@@ -20,7 +20,6 @@ from wardline.operators.tables import (
     TABLES,
     TableSpec,
 )
-from wardline.storage import materialize
 from wardline.plans.study import Study
 from wardline.sources.maps import Maps
 from wardline.sources.readers import Sources
@@ -38,9 +37,13 @@ BUILDERS: dict[str, Callable[[Study], DataFrame]] = {
     DAILY.name: lambda s: daily.daily_counts(s.dates, s.admissions, s.cohort, s.cfg),
     COURSE.name: lambda s: daily.clinical_course(s.dates, s.admissions, s.severe_cohort),
     DEMOGRAPHICS.name: _demographics,
-    LABS.name: lambda s: labs.labs(s.facts, s.severe_cohort, s.lab_map, s.cfg.lab_min_day),
-    DIAGNOSES.name: lambda s: history.diagnoses(s.facts, s.severe_cohort, s.cfg),
-    MEDICATIONS.name: lambda s: history.medications(s.facts, s.severe_cohort, s.med_map),
+    LABS.name: lambda s: labs.labs(
+        s.facts, s.severe_cohort, s.lab_map, s.cfg.lab_min_day, s.first_admission
+    ),
+    DIAGNOSES.name: lambda s: history.diagnoses(s.facts, s.severe_cohort, s.cfg, s.first_admission),
+    MEDICATIONS.name: lambda s: history.medications(
+        s.facts, s.severe_cohort, s.med_map, s.first_admission
+    ),
 }
 
 
@@ -59,7 +62,7 @@ class Report:
     def _compute(self, spec: TableSpec) -> DataFrame:
         cfg = self.study.cfg
         protected = privacy.protect(raw_table(self.study, spec), spec, cfg)
-        return materialize(privacy.with_site(protected, cfg), spec.name)
+        return self.study._write(privacy.with_site(protected, cfg), spec.name)
 
     def table(self, spec: TableSpec) -> DataFrame:
         """One protected table with the site id in front."""
@@ -95,8 +98,21 @@ class Report:
             found.update({f"{name}CSV": lines for name, lines in self.csv_lines().items()})
         return found
 
+    def close(self) -> None:
+        """Remove every table that the report and its study have written."""
+        self._tables.clear()
+        self.study.close()
+
+    def __enter__(self) -> Report:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.close()
+
     def write(self, directory: str) -> list[str]:
-        """One CSV file per table in ``directory``; returns their paths."""
+        """One CSV file per table in ``directory``, if the site asks for CSV; returns their paths."""
+        if not self.study.cfg.output_as_csv:
+            return []
         self.compute()
         siteid = self.study.cfg.siteid
         return [

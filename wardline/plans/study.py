@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wardline.config import SiteConfig
 from wardline.operators import calendar, cohort as cohort_steps, death, severity
-from wardline.operators.scope import facts_of, of_patients, report_facts
-from wardline.storage import fits_broadcast, materialize
+from wardline.operators.scope import facts_of, report_facts
+from wardline.storage import fits_broadcast, remove, write_table
 from wardline.sources.maps import Maps
 from wardline.sources.readers import Sources
 
@@ -17,7 +19,8 @@ from wardline.sources.readers import Sources
 class Study:
     """Sources, maps and settings of one run, and the steps derived from them.
 
-    A property runs its step when first read.  ``positives`` replaces the index events
+    A property runs its step when first read; the tables it writes stay until the study is
+    closed (it is a context manager).  ``positives`` replaces the index events
     found through the code map, for sites that find them otherwise.
     """
 
@@ -28,80 +31,83 @@ class Study:
         self.maps = maps
         self.cfg = cfg
         self._positives = positives
+        self._written: list[tuple[SparkSession, str]] = []
 
     @cached_property
     def code_map(self) -> DataFrame:
         """Written, so that its size is known and facts never shuffle to meet it."""
-        return _sized(self.maps.code_map, "code_map")
+        return self._sized(self.maps.code_map, "code_map")
 
     @cached_property
     def lab_map(self) -> DataFrame:
-        return _sized(self.maps.lab_map, "lab_map")
+        return self._sized(self.maps.lab_map, "lab_map")
 
     @cached_property
     def med_map(self) -> DataFrame:
-        return _sized(self.maps.med_map, "med_map")
+        return self._sized(self.maps.med_map, "med_map")
 
     @cached_property
     def index_events(self) -> DataFrame:
         found = self._positives
         if found is None:
             found = cohort_steps.index_events(self.sources.facts, self.code_map)
-        return materialize(found, "index_events")
+        return self._write(found, "index_events")
 
     @cached_property
     def admissions(self) -> DataFrame:
         stays = cohort_steps.admissions(
             self.sources.visits, self.index_events, self.code_map, self.cfg.as_of
         )
-        return materialize(stays, "admissions")
+        return self._write(stays, "admissions")
 
     @cached_property
     def admitted(self) -> DataFrame:
         """The cohort before anyone is classified."""
-        return materialize(cohort_steps.cohort(self.index_events, self.admissions), "admitted")
+        return self._write(cohort_steps.cohort(self.index_events, self.admissions), "admitted")
 
     @cached_property
-    def cohort_fits_broadcast(self) -> bool:
-        return fits_broadcast(self.admitted.select("patient_num"))
+    def first_admission(self) -> date | None:
+        """The cohort's first admission, read once; it becomes a literal in later steps."""
+        return self.admitted.agg(F.min("admission_date")).first()[0]
 
     @cached_property
     def facts(self) -> DataFrame:
-        """The cohort's facts, written once: later steps read these, not the whole table.
+        """The cohort's facts that the report can use, written once: later steps read these.
 
-        Facts of any age stay in, as some steps have no lower bound.  A small cohort is
-        broadcast and the facts do not move.  For a large one the facts have to be
-        shuffled by patient, so only those the report can use are, and salted.
+        The same rows for cohorts of any size; a cohort too large to broadcast changes how
+        the facts meet it, not which are kept.
         """
         facts = self.sources.facts.select("patient_num", "concept_cd", "start_date", "nval_num")
-        if self.cohort_fits_broadcast:
-            mine = of_patients(facts, self.admitted)
-        else:
-            usable = report_facts(facts, self.code_map, self.lab_map, self.med_map, self.cfg)
-            mine = facts_of(usable, self.admitted)
-        return materialize(mine, "facts", cluster_by="concept_cd")
+        usable = report_facts(
+            facts, self.code_map, self.lab_map, self.med_map, self.cfg, self.first_admission
+        )
+        return self._write(facts_of(usable, self.admitted), "facts", cluster_by="concept_cd")
 
     @cached_property
     def severe_cohort(self) -> DataFrame:
         """The cohort with severe illness flagged: all that five of the six tables need."""
         events = severity.severe_events(
-            self.facts, self.admitted, self.lab_map, self.med_map, self.cfg
+            self.facts, self.admitted, self.lab_map, self.med_map, self.cfg, self.first_admission
         )
-        return materialize(severity.flag_severe(self.admitted, events), "severe_cohort")
+        return self._write(severity.flag_severe(self.admitted, events), "severe_cohort")
 
     @cached_property
     def cohort(self) -> DataFrame:
-        """The cohort with death dates as well."""
+        """The cohort with death dates as well.
+
+        The last fact of a deceased patient may have any code, so it is looked for in all
+        facts, from the first death on.
+        """
         cfg = self.cfg
         dated = death.death_dates(self.severe_cohort, self.sources.patients, cfg.death_data_accurate)
         if cfg.death_data_accurate and cfg.correct_death_by_last_fact:
-            if self.cohort_fits_broadcast:
-                facts = self.facts
-            else:  # the written facts lack codes that no table uses
-                facts = self.sources.facts
-                dated = materialize(dated, "deceased")
-            dated = death.correct_death_by_last_fact(dated, facts)
-        return materialize(dated, "cohort")
+            dated = self._write(dated, "deceased")
+            first = dated.agg(F.min("death_date")).first()[0]
+            facts = self.sources.facts
+            if first is not None:
+                facts = facts.filter(F.col("start_date") >= F.lit(first))
+                dated = death.correct_death_by_last_fact(dated, facts)
+        return self._write(dated, "cohort")
 
     @cached_property
     def dates(self) -> DataFrame:
@@ -114,5 +120,21 @@ class Study:
         return self
 
 
-def _sized(table: DataFrame, name: str) -> DataFrame:
-    return table if fits_broadcast(table) else materialize(table, name)
+    def _write(self, df: DataFrame, name: str, cluster_by: str | None = None) -> DataFrame:
+        path = write_table(df, name, cluster_by)
+        self._written.append((df.sparkSession, path))
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def _sized(self, table: DataFrame, name: str) -> DataFrame:
+        return table if fits_broadcast(table) else self._write(table, name)
+
+    def close(self) -> None:
+        """Remove every table this study has written."""
+        while self._written:
+            remove(*self._written.pop())
+
+    def __enter__(self) -> Study:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.close()

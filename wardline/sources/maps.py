@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardline.sources import schemas
+from wardline.sources.readers import strict_csv
 
 # Code map (code, local code).
 CODE_MAP_ROWS = [
@@ -102,6 +103,9 @@ REMDESIVIR_ROWS = [
 ]
 
 
+RXNORM = T.StructType([T.StructField("med_class", T.StringType()), T.StructField("code", T.StringType())])
+
+
 @dataclass(frozen=True)
 class Maps:
     """The three mapping tables of a site."""
@@ -158,14 +162,14 @@ def default_maps(spark: SparkSession, rxnorm: DataFrame | None = None) -> Maps:
 
 def read_rxnorm_classes(spark: SparkSession, path: str) -> DataFrame:
     """CSV with header ``med_class,code``."""
-    return spark.read.csv(path, header=True, schema="med_class string, code string")
+    return strict_csv(spark, path, RXNORM)
 
 
 def read_maps(spark: SparkSession, code_map: str, lab_map: str, med_map: str) -> Maps:
     """A site's own mapping files: CSV with header, columns as in the declared schemas."""
 
     def read(path: str, schema: T.StructType) -> DataFrame:
-        return spark.read.csv(path, header=True, schema=schema, enforceSchema=False)
+        return strict_csv(spark, path, schema)
 
     return Maps(
         read(code_map, schemas.CODE_MAP).distinct(),

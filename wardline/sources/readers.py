@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from wardline.config import SiteConfig
 from wardline.sources import schemas
@@ -42,11 +43,17 @@ def read_parquet(spark: SparkSession, directory: str) -> Sources:
     return Sources(*[spark.read.parquet(f"{directory}/{name}") for name in names])
 
 
-def read_csv(spark: SparkSession, directory: str) -> Sources:
-    """One CSV extract with header per table, read with the declared schemas."""
+def read_csv(spark: SparkSession, directory: str, text_ids: bool = False) -> Sources:
+    """One CSV extract with header per table, read with the declared schemas.
+
+    Headers must be those of the schema, in its order, and every value must parse; a file
+    that breaks this fails the job that reads it.  ``text_ids`` reads ``patient_num`` as text.
+    """
 
     def read(name, schema):
-        return spark.read.csv(f"{directory}/{name}.csv", header=True, schema=schema)
+        if text_ids:
+            schema = schemas.with_text_ids(schema)
+        return strict_csv(spark, f"{directory}/{name}.csv", schema)
 
     return Sources(
         read("observation_fact", schemas.OBSERVATION_FACT),
@@ -56,7 +63,12 @@ def read_csv(spark: SparkSession, directory: str) -> Sources:
     )
 
 
+def strict_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A CSV file whose header and values must fit the schema."""
+    return spark.read.csv(path, header=True, schema=schema, enforceSchema=False, mode="FAILFAST")
+
+
 def read_config(spark: SparkSession, path: str, as_of: date, **choices) -> SiteConfig:
     """A one-row CSV config table with header."""
-    table = spark.read.csv(path, header=True, schema=schemas.CONFIG, enforceSchema=False)
+    table = strict_csv(spark, path, schemas.CONFIG)
     return SiteConfig.from_table(table, as_of, **choices)

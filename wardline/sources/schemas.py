@@ -31,6 +31,15 @@ PATIENT_DIMENSION = _schema(
 )
 CONCEPT_DIMENSION = _schema(("concept_path", T.StringType()), ("concept_cd", T.StringType()))
 
+
+
+def with_text_ids(schema: T.StructType) -> T.StructType:
+    """The schema with ``patient_num`` as text."""
+    return T.StructType(
+        [T.StructField(f.name, T.StringType()) if f.name == "patient_num" else f for f in schema]
+    )
+
+
 CODE_MAP = _schema(("code", T.StringType()), ("local_code", T.StringType()))
 LAB_MAP = _schema(
     ("loinc", T.StringType()),

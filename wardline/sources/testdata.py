@@ -19,6 +19,7 @@ from wardline.sources import schemas
 from wardline.sources.maps import Maps, local_rows
 
 AS_OF = date(2020, 12, 31)
+YEARS_APART = 400  # days, for a calendar of several years
 
 # Concept of a fact by part key modulo 200: (last value of the range, concept).
 CONCEPT_RANGES = [
@@ -99,8 +100,8 @@ def _moment(day: Column, hour: Column) -> Column:
 
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    branches = " ".join(f"WHEN slot <= {last} THEN '{code}'" for last, code in CONCEPT_RANGES)
-    concept = F.expr(f"CASE {branches} END".replace("slot", "l_partkey % 200"))
+    branches = " ".join(f"WHEN l_partkey % 200 <= {last} THEN '{code}'" for last, code in CONCEPT_RANGES)
+    concept = F.expr(f"CASE {branches} END")
     value = (
         F.when(F.col("l_partkey") % 23 == 0, None)
         .when(F.col("l_quantity") > 48, -F.col("l_quantity"))
@@ -194,16 +195,24 @@ class TestTables:
 
     __test__ = False
 
-    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+    def __init__(self, spark: SparkSession, sf_dir: str, years_apart: bool = False) -> None:
         self._of = (spark, sf_dir)
+        self._years_apart = years_apart
+
+    def _dated(self, table: DataFrame, *columns: str) -> DataFrame:
+        """Patients' times ``YEARS_APART`` days earlier for each unit of their key modulo 4, if asked for."""
+        if not self._years_apart:
+            return table
+        back = F.make_dt_interval(F.col("patient_num") % 4 * YEARS_APART)
+        return table.withColumns({c: F.col(c) - back for c in columns})
 
     @cached_property
     def facts(self) -> DataFrame:
-        return facts(*self._of)
+        return self._dated(facts(*self._of), "start_date")
 
     @cached_property
     def visits(self) -> DataFrame:
-        return visits(*self._of)
+        return self._dated(visits(*self._of), "start_date", "end_date")
 
     @cached_property
     def patients(self) -> DataFrame:
@@ -214,8 +223,8 @@ class TestTables:
         return concepts(*self._of)
 
 
-def sources(spark: SparkSession, sf_dir: str) -> TestTables:
-    return TestTables(spark, sf_dir)
+def sources(spark: SparkSession, sf_dir: str, years_apart: bool = False) -> TestTables:
+    return TestTables(spark, sf_dir, years_apart)
 
 
 def positive_codes(spark: SparkSession, concept_table: DataFrame) -> DataFrame:

@@ -31,8 +31,8 @@ def scratch_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/wardline-{context.applicationId}"
 
 
-def materialize(df: DataFrame, name: str, cluster_by: str | None = None) -> DataFrame:
-    """Write ``df`` and return it as read back.
+def write_table(df: DataFrame, name: str, cluster_by: str | None = None) -> str:
+    """Write ``df`` to a new folder and return its path.
 
     ``cluster_by`` is for tables cut out of a much larger one: rows are first spread into
     files of even size, ordered by that column.  Without it each task of a large scan
@@ -44,7 +44,25 @@ def materialize(df: DataFrame, name: str, cluster_by: str | None = None) -> Data
     if cluster_by:
         df = df.hint("rebalance", cluster_by).sortWithinPartitions(cluster_by)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def materialize(df: DataFrame, name: str, cluster_by: str | None = None) -> DataFrame:
+    """Write ``df`` and return it as read back."""
+    path = write_table(df, name, cluster_by)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as it wants it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that :func:`write_table` made."""
+    files, where = file_system(spark, path)
+    files.delete(where, True)
 
 
 def fits_broadcast(df: DataFrame) -> bool:
