@@ -36,3 +36,9 @@ def test_every_table_has_its_key(make):
 def test_clean_tables_give_no_rows(make):
     code_map = make.code_map(("male", "M"), ("male", "Male"))
     assert rows(checks.check_rules(code_map, "code_map", checks.MAP_RULES["code_map"])) == []
+
+
+def test_null_parts_of_a_key_are_shown(spark):
+    df = spark.createDataFrame([(None, "a"), (None, "a"), ("a", None), ("a", None)], "x string, y string")
+    found = checks.check_rules(df, "t", [checks.unique("x", "y")])
+    assert sorted(r["value"] for r in found.collect()) == ["a|null", "null|a"]

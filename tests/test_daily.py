@@ -6,17 +6,26 @@ from conftest import rows, settings
 from wardline.operators import calendar, daily
 
 
-def _dates(members, as_of=date(2020, 12, 31), cap=1000):
-    return calendar.date_list(members, as_of, cap)
+def _dates(members, as_of=date(2020, 12, 31)):
+    return calendar.date_list(members, as_of)
 
 
-def test_calendar_is_capped_and_ends_today(make):
+def test_calendar_ends_today_however_long(make):
     members = make.cohort((1, "2020-01-01"), (2, "2020-02-01"))
     short = rows(_dates(members, date(2020, 1, 3)))
     assert short == [("2020-01-01",), ("2020-01-02",), ("2020-01-03",)]
     old = make.cohort((1, "2010-01-01"))
-    capped = rows(_dates(old))
-    assert len(capped) == 1000 and capped[-1] == ("2012-09-26",)
+    every = rows(_dates(old))
+    assert len(every) == 4018 and every[-1] == ("2020-12-31",)
+
+
+def test_patients_years_apart_are_all_counted(make):
+    members = make.cohort((1, "2017-01-01"), (2, "2020-11-01"))
+    stays = make.admissions((1, "2017-01-01", "2017-01-02"), (2, "2020-11-01", "2020-11-30"))
+    dates = _dates(members)
+    counts = rows(daily.daily_counts(dates, stays, members, settings()))
+    assert counts[-1][:2] == ("2020-12-31", 2) and len(counts) == 1461
+    assert rows(daily.clinical_course(dates, stays, members))[0][1] == 2
 
 
 def test_empty_cohort_gives_empty_tables(make):

@@ -1,6 +1,7 @@
 import os
 import tempfile
 
+import pytest
 from conftest import settings
 from pyspark.sql import functions as F
 
@@ -77,3 +78,20 @@ def test_protected_table_keeps_report_columns(spark):
     cfg = settings()
     done = output.as_table(privacy.with_site(privacy.protect(table, DIAGNOSES, cfg), cfg), DIAGNOSES)
     assert done.columns == DIAGNOSES.with_site
+
+
+def test_the_last_line_stays_last_in_a_long_table(spark, monkeypatch):
+    monkeypatch.setattr(output, "LAST_LINE", 3)
+    df = spark.range(10).selectExpr("'S' AS siteid", "DATE '2020-01-01' + CAST(id AS INT) AS calendar_date", *[
+        f"id AS {c}" for c in DAILY.counts
+    ])
+    lines = output.as_csv_lines(df, DAILY).collect()
+    assert [r.i for r in lines] == list(range(12)) and lines[-1].s == ""
+
+
+def test_a_failed_write_leaves_nothing(spark):
+    directory = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    bad = spark.range(1).selectExpr("id AS i", "CAST(raise_error('no') AS STRING) AS s")
+    with pytest.raises(Exception, match="no"):
+        output.write_report(bad, directory, "x.csv")
+    assert not os.listdir(directory)

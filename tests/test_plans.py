@@ -81,7 +81,7 @@ def test_date_bound_and_columns_reach_the_scan(spark, make):
         ),
     )
     members = _written(spark, make.cohort((1, "2021-06-01")))
-    found = plan(history.diagnoses(facts, members, settings()))
+    found = plan(history.diagnoses(facts, members, settings(), date(2021, 6, 1)))
     scan = next(line for line in found.split("\n") if "FileScan" in line and "concept_cd" in line)
     assert "GreaterThanOrEqual(start_date,2020-06-01" in scan
     assert "StringStartsWith" in scan
@@ -174,3 +174,47 @@ def test_hot_patient_and_hot_code(spark, make, threshold):
         assert {r.patient_num: r.death_date for r in moved.collect()} == last
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_the_same_facts_for_cohorts_of_any_size(spark):
+    kept = {}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for threshold in ("10MB", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            with entry.study(spark, SMALL) as study_:
+                kept[threshold] = (rows(study_.facts), rows(study_.cohort))
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert kept["10MB"] == kept["-1"] and kept["-1"][0]
+
+
+def test_a_hot_key_is_dealt_out(spark, no_broadcast):
+    """A third of all rows share a patient; no task gets more than a few parts of them."""
+    spark.conf.set(scope.SALTS_CONF, "64")
+    try:
+        facts = spark.range(30_000).selectExpr("IF(id % 3 = 0, 0, id) AS patient_num", "id AS concept_cd", "id AS start_date")
+        spread = scope.facts_of(facts, spark.range(30_000).toDF("patient_num"))
+        joined = spread.repartition(1).count()
+        assert joined == 30_000
+        salted = facts.filter("patient_num = 0").withColumn(
+            "salt", F.pmod(F.xxhash64("concept_cd", "start_date"), F.lit(scope.salts(facts)))
+        )
+        most = salted.groupBy("salt").count().agg(F.max("count")).first()[0]
+        assert most < 3 * 10_000 / 64
+    finally:
+        spark.conf.unset(scope.SALTS_CONF)
+
+
+def test_no_step_runs_a_job(spark, make):
+    """Operators only build plans."""
+    members = make.cohort((1, "2020-03-01"))
+    facts = make.facts((1, "C", "2020-03-02", 1.0))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plans", "plans")
+    severity.severe_events(facts, members, make.lab_map(), make.med_map(), settings(), date(2020, 3, 1))
+    labs.labs(facts, members, make.lab_map(), 0, date(2020, 3, 1))
+    history.diagnoses(facts, members, settings())
+    history.medications(facts, members, make.med_map())
+    assert not tracker.getJobIdsForGroup("plans")
+    spark.sparkContext.setJobGroup("", "")

@@ -187,3 +187,92 @@ def test_parquet_and_catalog_tables(spark, folder):
     for again in (readers.read_parquet(spark, folder), readers.read_tables(spark)):
         assert rows(again.facts) == rows(tables.facts)
         assert again.patients.columns == tables.patients.columns
+
+
+def test_an_empty_prefix_switches_a_version_off(spark, folder):
+    for k, empty in enumerate(("", '""')):
+        row = f"SITE1,1,0,0,1,{empty},ICD10:,ICD9PROC:,ICD10PROC:,0,0,0,0,0,1\n"
+        cfg = readers.read_config(spark, write(folder, f"e{k}.csv", CONFIG + row), date(2020, 6, 1))
+        assert (cfg.code_prefix_icd9cm, cfg.code_prefix_icd10cm) == ("", "ICD10:")
+    kept = SiteConfig.from_table(spark.createDataFrame([("S1",)], "siteid string"), date(2020, 6, 1))
+    assert kept.code_prefix_icd9cm == "DIAG|ICD9:"
+
+
+FACTS_HEADER = "patient_num,concept_cd,start_date,nval_num,tval_char\n"
+
+
+@pytest.mark.parametrize(
+    "line",
+    ["P1,C,2020-03-10 08:00:00,1,x", "1,C,03/01/2020,1,x", "1,C,2020-03-10 08:00:00,<5,x"],
+    ids=["id", "date", "value"],
+)
+def test_bad_values_fail(spark, folder, line):
+    site(spark, folder)
+    write(folder, "observation_fact.csv", FACTS_HEADER + line + "\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|parse"):
+        readers.read_csv(spark, folder).facts.collect()
+
+
+def test_swapped_columns_and_bad_scale_fail(spark, folder):
+    site(spark, folder)
+    write(folder, "visit_dimension.csv", "start_date,patient_num,end_date,inout_cd\n2020-03-10 08:00:00,1,,I\n")
+    with pytest.raises(Exception, match="header|schema"):
+        readers.read_csv(spark, folder).visits.collect()
+    write(folder, "lab.csv", "loinc,local_lab_code,scale_factor,lab_units,lab_name\na,b,\"1,5\",u,n\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|parse"):
+        maps.read_maps(spark, f"{folder}/code.csv", f"{folder}/lab.csv", f"{folder}/med.csv").lab_map.collect()
+
+
+def test_text_ids_through_all_tables(spark, folder):
+    tables, found = site(spark, folder)
+    with run_report(tables, found, settings(siteid="S1"), cohort.index_events_by_result(tables.facts, ["LAB:TEST"])) as report:
+        want = {name: rows(df) for name, df in report.tables().items()}
+    for name in ("observation_fact", "visit_dimension", "patient_dimension"):
+        with open(f"{folder}/{name}.csv") as f:
+            header, *lines = f.read().splitlines()
+        write(folder, f"{name}.csv", "\n".join([header, *("P" + line for line in lines)]) + "\n")
+    named = readers.read_csv(spark, folder, text_ids=True)
+    with run_report(named, found, settings(siteid="S1"), cohort.index_events_by_result(named.facts, ["LAB:TEST"])) as report:
+        assert {name: rows(df) for name, df in report.tables().items()} == want
+
+
+def test_nothing_written_is_left_after_close(spark, folder):
+    import glob
+
+    from wardline.storage import scratch_folder
+
+    where = scratch_folder(spark).removeprefix("file:") + "/*"
+    before = set(glob.glob(where))
+    tables, found = site(spark, folder)
+    report = run_report(tables, found, settings(siteid="S1"), cohort.index_events_by_result(tables.facts, ["LAB:TEST"]))
+    with report:
+        report.tables()
+        assert set(glob.glob(where)) > before
+    assert set(glob.glob(where)) == before
+
+
+def test_a_long_table_is_printed_whole(spark, capsys):
+    from wardline.__main__ import print_table
+
+    print_table("T", spark.range(50).selectExpr("id", "IF(id = 3, NULL, 'x') AS c"))
+    out = capsys.readouterr().out.splitlines()
+    assert len(out) == 52 and out[5] == "3\t"
+
+
+def test_output_flags_and_time_zone_of_the_command_line(spark, folder, capsys):
+    from wardline.__main__ import main
+
+    tables, _ = site(spark, folder)
+    row = "SITE1,1,0,0,1,ICD9:,ICD10:,ICD9PROC:,ICD10PROC:,0,0,0,0,1,0\n"
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        written = main(
+            ["--tables", folder, "--format", "csv", "--config", write(folder, "c.csv", CONFIG + row), "--as-of", "2020-03-13",
+             "--out", f"{folder}/out", "--time-zone", "Asia/Tokyo", "--positive-codes", "LAB:TEST"]
+        )
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert written == [] and not os.path.exists(f"{folder}/out")
+    out = capsys.readouterr().out
+    assert all(f"# {s.name}" in out for s in TABLES)
