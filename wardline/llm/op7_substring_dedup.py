@@ -27,7 +27,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.llm.words import groups, splitmix
-from wardline.storage import materialize
 
 REACH = 20
 MOST = 8 * REACH
@@ -126,14 +125,18 @@ def repeated_chunks(docs: DataFrame, across: bool = True) -> DataFrame:
     """Chunks that occur at two places or more, with the first document that holds them.
 
     ``across``: only those that two documents hold; else repeats inside a document as well.
+    Texts are cut twice, once for each side of the join: chunks take more room than texts.
     """
-    every = materialize(chunks(docs), "chunks")
-    held = every.groupBy("hi", "lo").agg(
-        F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id"),
-        F.min("start").alias("least"), F.max("start").alias("most"),
-    )
+    every = chunks(docs)
+    held = every.groupBy("hi", "lo")
     several = F.col("first_doc_id") < F.col("last_doc_id")
-    if not across:
+    if across:
+        held = held.agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id"))
+    else:
+        held = held.agg(
+            F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id"),
+            F.min("start").alias("least"), F.max("start").alias("most"),
+        )
         several = several | (F.col("least") < F.col("most"))
     return every.join(held.filter(several).select("hi", "lo", "first_doc_id"), ["hi", "lo"])
 
