@@ -42,6 +42,7 @@ from wardline.operators.tables import (  # noqa: E402
 )
 from wardline.plans.report import raw_table  # noqa: E402
 from wardline.plans.study import Study  # noqa: E402
+from wardline.session import ship_package  # noqa: E402
 from wardline.sources import schemas, testdata  # noqa: E402
 from wardline.sources.maps import Maps, local_rows  # noqa: E402
 
@@ -67,6 +68,16 @@ def _over_study(step: Callable[[Study], DataFrame], **settings) -> Query:
     return lambda spark, sf_dir: step(study(spark, sf_dir, **settings))
 
 
+def _shipped(query: Query) -> Query:
+    """A query whose tasks import this package."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def _rounded(df: DataFrame) -> DataFrame:
     """Fractions to six digits: two engines add floating-point numbers in different orders."""
     return df.select(
@@ -254,7 +265,8 @@ def queries() -> dict[str, Query]:
         found[oracle.SOURCE[spec.name]] = _over_study(_raw(spec))
         found.update(_of_table(spec))
     if llm:
-        found.update(llm.QUERIES, pipeline=corpus_pipeline.run)
+        with_python = {**llm.QUERIES, "pipeline": corpus_pipeline.run}
+        found.update({name: _shipped(query) for name, query in with_python.items()})
     return found
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import shutil
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -23,3 +25,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the session's Python workers, once per application.
+
+    Workers of operators with Python code import it; where it is not installed on the
+    executors, they find it in this archive.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        archive = os.path.join(tempfile.mkdtemp(prefix="wardline-"), "wardline")
+        context.addPyFile(shutil.make_archive(archive, "zip", root, "wardline"))
+        _shipped.add(context.applicationId)
