@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -40,11 +41,12 @@ from wardline.operators.tables import (  # noqa: E402
     TABLES,
     TableSpec,
 )
-from wardline.plans.report import raw_table  # noqa: E402
+from wardline.plans.report import Report, raw_table  # noqa: E402
 from wardline.plans.study import Study  # noqa: E402
 from wardline.session import ship_package  # noqa: E402
 from wardline.sources import schemas, testdata  # noqa: E402
 from wardline.sources.maps import Maps, local_rows  # noqa: E402
+from wardline.storage import scratch_folder  # noqa: E402
 
 try:  # the training-data operators and their pipeline can be left out of an installation
     import corpus_pipeline  # noqa: E402
@@ -115,6 +117,29 @@ def _expand_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expansion.expand_lab_map(lab_map, tree)
 
 
+def _codes_of_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part code below the parts' root."""
+    maps = local_rows(spark, [], schemas.CODE_MAP)
+    return expansion.codes_under_path(testdata.concepts(spark, sf_dir), testdata.PART_ROOT, maps, "part")
+
+
+def _expand_brand_meds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts of each brand that were sold in large quantity."""
+    tree, lab_map = testdata.brand_tree(spark, sf_dir)
+    classes = lab_map.select(
+        F.col("loinc").alias("med_class"), F.lit("Brand").alias("code_type"), F.col("local_lab_code").alias("local_med_code")
+    )
+    return expansion.expand_med_map(classes, tree, testdata.large_sales(spark, sf_dir), testdata.PART_ROOT)
+
+
+def _report_files(s: Study) -> DataFrame:
+    """Every line of the files that a report writes, read back."""
+    folder = f"{scratch_folder(s.sources.facts.sparkSession)}/files-{uuid.uuid4().hex}"
+    Report(s).write(folder)
+    lines = s.sources.facts.sparkSession.read.text(f"{folder}/*.csv")
+    return lines.select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("line"))
+
+
 def _expand_meds(s: Study) -> DataFrame:
     return expansion.expand_med_map(
         s.med_map, s.sources.concepts, s.sources.facts, testdata.MEDICATION_ROOT
@@ -249,6 +274,9 @@ def queries() -> dict[str, Query]:
         ),
         "expand_lab_map": _over_study(lambda s: expansion.expand_lab_map(s.lab_map, s.sources.concepts)),
         "expand_lab_map_brands": _expand_brands,
+        "expand_med_map_brands": _expand_brand_meds,
+        "codes_under_path_parts": _codes_of_parts,
+        "report_files": _over_study(_report_files),
         "expand_med_map": _over_study(_expand_meds),
         "suppressed_demographics": _over_study(
             lambda s: privacy.suppress_combinations(raw_table(s, DEMOGRAPHICS))

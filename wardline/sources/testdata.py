@@ -190,6 +190,12 @@ def brand_tree(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return concepts(spark, sf_dir).unionByName(nodes), lab_map
 
 
+def large_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part codes as facts: the lines of at least forty pieces."""
+    lines = _table(spark, sf_dir, "lineitem").filter(F.col("l_quantity") >= 40)
+    return lines.select(F.concat(F.lit("PART:"), F.col("l_partkey").cast("string")).alias("concept_cd"))
+
+
 class TestTables:
     """The four clinical tables, each opened when first read (same fields as ``Sources``)."""
 
