@@ -19,6 +19,8 @@ import os
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 
 from wardline.llm.words import groups
 
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 300_000
 
 BLOCKS = (
     "shard int, block int, first long, width int, doc_ids array<long>, offsets array<long>, payload binary"
@@ -46,41 +48,56 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return pa.schema([(name, kinds[kind]) for name, kind in (f.split() for f in ddl.split(", "))])
 
 
-class _Words(dict):
-    """Ids of a word, as bytes; kept for the words met first, up to a fixed number.
-
-    A full stop or comma after an ASCII letter is a token of its own, so such words are
-    put together from two.  Unknown words of letters alone are encoded together, as one
-    text: every id that ends a word ends one of them.
-    """
+class _Words:
+    """Ids of words, as bytes; those of the words met first are kept, up to a fixed number."""
 
     def __init__(self, tokenizer) -> None:
-        super().__init__()
         self.tokenizer = tokenizer
+        self.known: dict[bytes, bytes] = {}
         vocabulary = tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
-    def __missing__(self, word: bytes) -> bytes:
-        if len(word) > 1 and word[-1] in b".," and 97 <= word[-2] <= 122:
-            return self[word[:-1]] + self[word[-1:]]
-        ids = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids
-        value = array("I", ids).tobytes()
-        if len(self) < CACHED_WORDS:
-            self[word] = value
-        return value
-
-    def learn(self, words: list[bytes]) -> None:
-        """Encode the unknown ones among these words."""
-        new = {w[:-1] if w[-1] in b".," else w for w in words if w not in self}
-        plain = [w for w in map(bytes.decode, new) if w.isalpha() and max(w) < "\u0250" and w.lower().isalpha()]
-        if not plain or len(self) >= CACHED_WORDS:
-            return
-        ids = np.array(self.tokenizer.encode(" ".join(plain), add_special_tokens=False).ids, np.uint32)
+    def of(self, words: list[bytes]) -> list[bytes]:
+        values = list(map(self.known.get, words))
+        if None in values:
+            places = [i for i, value in enumerate(values) if value is None]
+            found = self._encode({words[i] for i in places})
+            for i in places:
+                values[i] = found[words[i]]
+            if len(self.known) < CACHED_WORDS:
+                self.known.update(found)
+        return values
+
+    def _encode(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of unknown words.
+
+        A full stop or comma after an ASCII letter is a token of its own, so such words
+        are put together from two.  Words of letters alone are encoded together, as one
+        text: every id that ends a word ends one of them.
+        """
+        marked = {w for w in words if len(w) > 1 and w[-1] in b".," and 97 <= w[-2] <= 122}
+        bare = {w for w in words if w not in marked}
+        bare.update(w for m in marked for w in (m[:-1], m[-1:]) if w not in self.known)
+        letters = [w for w in map(bytes.decode, bare) if w.isalpha() and max(w) < "\u0250" and w.lower().isalpha()]
+        found = self._together(letters) if letters else {}
+        for word in bare:
+            if word not in found:
+                ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+                found[word] = array("I", ids).tobytes()
+        for word in marked:
+            core, mark = (found.get(w) or self.known[w] for w in (word[:-1], word[-1:]))
+            found[word] = core + mark
+        return found
+
+    def _together(self, letters: list[str]) -> dict[bytes, bytes]:
+        (encoding,) = self.tokenizer.encode_batch_fast([" ".join(letters)], add_special_tokens=False)
+        ids = np.array(encoding.ids, np.uint32)
         stops = np.flatnonzero(self.ends[ids]) + 1
-        if len(stops) == len(plain):
-            joined, at = ids.tobytes(), (4 * stops).tolist()
-            self.update((w.encode(), joined[a:b]) for w, a, b in zip(plain, [0, *at], at))
+        if len(stops) != len(letters):
+            return {}
+        joined, at = ids.tobytes(), (4 * stops).tolist()
+        return {w.encode(): joined[a:b] for w, a, b in zip(letters, [0, *at], at)}
 
 
 _CONTROL = bytes([*range(0x09), *range(0x0B, 0x20)])
@@ -91,13 +108,15 @@ def _by_words(data: bytes) -> bool:
     return b"<|" not in data and len(data.translate(None, _CONTROL)) == len(data)
 
 
+@cache
 def word_encoder(path: str, special_as_text: bool = False) -> Encoder:
     """An encoder for a vocabulary that lower-cases, drops white space and splits letters from marks.
 
     The tokenizers library encodes each word once and its ids are kept, as texts repeat
     words far more often than they bring new ones.  The ids are those of the whole text:
     such a vocabulary never joins characters across white space.  With ``special_as_text``
-    no text can bring a special token's id into the stream.
+    no text can bring a special token's id into the stream.  A worker process keeps one
+    encoder for all its tasks.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -107,19 +126,24 @@ def word_encoder(path: str, special_as_text: bool = False) -> Encoder:
     words = _Words(tokenizer)
 
     def encode(texts: list[str]) -> list[np.ndarray]:
-        encoded = [text.encode("utf-8") for text in texts]
-        split = [data.lower().split() if _by_words(data) else None for data in encoded]
-        words.learn([w for found in split if found for w in found])
-        return [
-            np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-            if found is None
-            else np.frombuffer(b"".join(map(words.__getitem__, found)), np.uint32)
-            for text, found in zip(texts, split)
-        ]
+        split = []
+        for text in texts:
+            data = text.encode("utf-8")
+            split.append(data.lower().split() if _by_words(data) else None)
+        values = words.of(list(chain.from_iterable(filter(None, split))))
+        found, at = [], 0
+        for text, mine in zip(texts, split):
+            if mine is None:
+                found.append(np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32))
+            else:
+                found.append(np.frombuffer(b"".join(values[at : at + len(mine)]), np.uint32))
+                at += len(mine)
+        return found
 
     return encode
 
 
+@cache
 def text_encoder(path: str) -> Encoder:
     """An encoder for any file of the tokenizers library: whole texts, one by one."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
