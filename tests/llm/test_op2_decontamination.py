@@ -95,7 +95,7 @@ def test_blocks_of_items(spark, docs, monkeypatch, bound):
 
 def test_candidates_across_slices():
     """A block cut by the end of a slice still leads to its item."""
-    hashes = op2.WordHashes()
+    hashes = op2.word_hashes()
     item = prose("cut", 40, 5000)
     sets = [(0, op2._set(item, hashes, 5))]
     index = op2.build_index(sets)

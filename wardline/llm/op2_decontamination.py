@@ -31,9 +31,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.words import CirculantMinHash, WordHashes, groups, shingle_hashes, splitmix, words_of
+from wardline.llm.words import CirculantMinHash, WordHashes, groups, shingle_hashes, splitmix, word_hashes, words_of
 
 WORDS, PERCENT = 5, 80
+SEPARATORS = r"[\x09-\x0D\x20-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+"  # the same words for SQL
 COORDINATES = 64
 BLOCK_SHINGLES = 2_000_000
 FILTER_BITS = 22
@@ -145,7 +146,7 @@ def find_items(texts: list[str | None], index: Index, hashes: WordHashes, words:
 
 def item_blocks(items: DataFrame, words: int = WORDS) -> Iterator[list[tuple[int, np.ndarray]]]:
     """Items (item_id, text) as shingle sets, in blocks of bounded size."""
-    hashes, block, size = WordHashes(), [], 0
+    hashes, block, size = word_hashes(), [], 0
     for item_id, text in items.select(F.col("item_id").cast("long"), "text").toLocalIterator():
         shingles = _set(text, hashes, words)
         if not len(shingles):
@@ -167,7 +168,7 @@ def contaminated(docs: DataFrame, items: DataFrame, words: int = WORDS, percent:
         shared_index = spark.sparkContext.broadcast(build_index(block))
 
         def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            hashes, index = WordHashes(), shared_index.value
+            hashes, index = word_hashes(), shared_index.value
             for batch in batches:
                 ids, rows = batch.column(0).to_pylist(), []
                 for first, texts in groups(batch.column(1)):
@@ -196,7 +197,7 @@ def without_contaminated(docs: DataFrame, items: DataFrame, words: int = WORDS,
         shared_index = spark.sparkContext.broadcast(build_index(block))
 
         def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            hashes = WordHashes()
+            hashes = word_hashes()
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
                 for first, texts in groups(batch.column(1)):

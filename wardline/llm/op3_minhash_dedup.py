@@ -33,7 +33,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.words import CirculantMinHash, WordHashes, band_keys, bands, groups, shingle_hashes, words_of
+from wardline.llm.words import (
+    CirculantMinHash,
+    WordHashes,
+    band_keys,
+    bands,
+    groups,
+    shingle_hashes,
+    word_hashes,
+    words_of,
+)
 from wardline.storage import materialize
 
 ROWS_PER_BAND = 5
@@ -53,7 +62,7 @@ def sketches(docs: DataFrame, words: int, n_bands: int) -> DataFrame:
     minhash = CirculantMinHash(n_bands * ROWS_PER_BAND)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = word_hashes()
         for batch in batches:
             for first, texts in groups(batch.column(1)):
                 sets = _shingle_sets(texts, hashes, words)
@@ -84,7 +93,7 @@ def class_sets(docs: DataFrame, reps: DataFrame, words: int) -> DataFrame:
     """The full shingle sets of the given documents (rep)."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = word_hashes()
         for batch in batches:
             for first, texts in groups(batch.column(1)):
                 found = _shingle_sets(texts, hashes, words)

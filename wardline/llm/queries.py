@@ -19,6 +19,7 @@ from wardline.llm import op7_substring_dedup as repeats
 from wardline.llm import op8_secret_scan as secrets
 from wardline.llm import op9_license_scan as licenses
 from wardline.llm import op10_source_mix as mix
+from wardline.llm.sql import ORACLE_SQL as ORACLE_SQL
 from wardline.storage import materialize, scratch_folder
 
 VOCABULARY = 49_408
@@ -106,5 +107,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_license_scan": op9_license_scan,
     "op10_source_mix": op10_source_mix,
 }
-
-ORACLE_SQL: dict[str, str] = {"op5_quality_rules": quality.ORACLE_SQL}

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ import xxhash
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CACHED_WORDS = 500_000
+CACHED_WORDS = 300_000
 
 # ASCII punctuation as spaces, for matches that should not depend on it.
 _PUNCTUATION = bytes(range(0x21, 0x30)) + bytes(range(0x3A, 0x41)) + bytes(range(0x5B, 0x61)) + bytes(range(0x7B, 0x7F))
@@ -42,6 +43,12 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+@cache
+def word_hashes() -> WordHashes:
+    """The one table of word hashes that a worker process keeps for all its tasks."""
+    return WordHashes()
+
+
 def words_of(text: str | None, plain: bool = False) -> list[bytes]:
     """The words of a text; ``plain`` takes ASCII punctuation for white space."""
     data = (text or "").encode("utf-8", "replace").lower()
