@@ -116,7 +116,8 @@ def sample(docs: DataFrame, max_docs: int) -> DataFrame:
     )
     counts = usable.groupBy("lang").agg(F.count("*").alias("n"))
     spread = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1 << 30)) / float(1 << 30)
-    return usable.join(counts, "lang").filter(spread < F.lit(float(max_docs)) / F.col("n")).select("lang", "text")
+    small = F.broadcast(counts)  # one row per language
+    return usable.join(small, "lang").filter(spread < F.lit(float(max_docs)) / F.col("n")).select("lang", "text")
 
 
 def train(docs: DataFrame, max_docs: int = MAX_DOCS) -> Model:
