@@ -218,3 +218,25 @@ def test_no_step_runs_a_job(spark, make):
     history.medications(facts, members, make.med_map())
     assert not tracker.getJobIdsForGroup("plans")
     spark.sparkContext.setJobGroup("", "")
+
+
+def test_stays_of_others_are_dropped_before_any_shuffle(study):
+    found = plan(cohort.admissions(study.sources.visits, study.index_events, study.code_map, date(2020, 12, 31)))
+    shuffles = [m.start() for m in re.finditer(r"Exchange hashpartitioning\(patient_num#\d+L?, admission_date", found)]
+    assert len(shuffles) == 1 and "BroadcastHashJoin [patient_num" in found[shuffles[0]:]
+
+
+def test_deceased_patients_meet_the_cohort_before_any_shuffle(study):
+    found = plan(death.death_dates(study.severe_cohort, study.sources.patients))
+    deepest = found[found.rindex("Exchange hashpartitioning"):]
+    assert "LeftSemi" in deepest
+
+
+def test_attributes_are_read_once(study):
+    from wardline.operators import demographics
+
+    found = plan(
+        demographics.demographics_attrs(study.admitted, study.sources.patients, study.facts, study.code_map, settings())
+    )
+    assert len(re.findall(r"FileScan parquet.*c_custkey", found)) == 3  # sex, age, race
+    assert len(re.findall(r"FileScan parquet.*concept_cd", found)) == 1

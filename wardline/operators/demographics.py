@@ -92,24 +92,34 @@ def known_attributes(
 def demographics_attrs(
     cohort: DataFrame, patients: DataFrame, facts: DataFrame, code_map: DataFrame, cfg: SiteConfig
 ) -> DataFrame:
-    """All attribute rows, with an 'other' row for every attribute a patient lacks."""
-    known = known_attributes(cohort, patients, facts, code_map, cfg)
-    has = known.groupBy("patient_num").agg(
-        *[F.max(F.col(d).isNotNull()).alias(f"has_{d}") for d in DIMENSIONS]
-    )
+    """All attribute rows, with an 'other' row for every attribute a patient lacks.
+
+    A patient's distinct values meet in one short list (at most one entry per code), which
+    shows what is missing; repeated rows travel as counts and are told apart at the end.
+    """
+    known = known_attributes(cohort, patients, facts, code_map, cfg, counted=True)
+    values = known.groupBy("patient_num", *DIMENSIONS).agg(F.sum("n").alias("n"))
+    lists = values.groupBy("patient_num").agg(F.collect_list(F.struct(*DIMENSIONS, "n")).alias("known"))
+    fields = ",".join(f"{d}:string" for d in DIMENSIONS)
+    listed = F.coalesce("known", F.array().cast(f"array<struct<{fields},n:bigint>>"))
 
     def other(dim: str) -> Column:
         row = F.struct(
-            *[F.lit("other" if d == dim else None).cast("string").alias(d) for d in DIMENSIONS]
+            *[F.lit("other" if d == dim else None).cast("string").alias(d) for d in DIMENSIONS],
+            F.lit(1).cast("long").alias("n"),
         )
-        return F.when(~F.coalesce(f"has_{dim}", F.lit(False)), row)
+        return F.when(~F.exists(listed, lambda x: x[dim].isNotNull()), row)
 
-    missing = (
-        cohort.select("patient_num")
-        .join(has, "patient_num", "left")
-        .select("patient_num", F.inline(F.array_compact(F.array(*map(other, DIMENSIONS)))))
-    )
-    return known.unionByName(missing)
+    rows = F.concat(listed, F.array_compact(F.array(*map(other, DIMENSIONS))))
+    counted = cohort.select("patient_num").join(lists, "patient_num", "left").select("patient_num", F.inline(rows))
+    return _repeated(counted, "n").select("patient_num", *DIMENSIONS)
+
+
+def _repeated(rows: DataFrame, count: str) -> DataFrame:
+    """Each row as often as its count says, unrolled a thousand at a time."""
+    thousands = rows.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(count) - 1) / 1000))))
+    rest = F.least(F.lit(999).cast("long"), F.col(count) - 1 - 1000 * F.col("part"))
+    return thousands.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), rest))).drop("part", count)
 
 
 def demographics(cohort: DataFrame, attrs: DataFrame, cfg: SiteConfig) -> DataFrame:
