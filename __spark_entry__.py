@@ -23,7 +23,6 @@ from wardline.operators import (  # noqa: E402
     calendar,
     checks,
     cohort,
-    daily,
     death,
     demographics,
     expansion,

@@ -2,7 +2,6 @@
 
 import random
 import re
-import tempfile
 from datetime import date, datetime, timedelta
 
 import pytest
