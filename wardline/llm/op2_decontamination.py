@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.words import CirculantMinHash, WordHashes, groups, shingle_hashes, splitmix, word_hashes, words_of
+from wardline.llm.words import CirculantMinHash, WordHashes, groups, in_batches, shingle_hashes, splitmix, word_hashes, words_of
 
 WORDS, PERCENT = 5, 80
 SEPARATORS = r"[\x09-\x0D\x20-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+"  # the same words for SQL
@@ -182,7 +182,7 @@ def contaminated(docs: DataFrame, items: DataFrame, words: int = WORDS, percent:
                     names=["doc_id", "item_id", "n_shared", "n_item_shingles", "containment"],
                 )
 
-        return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(look, FOUND)
+        return docs.select(F.col("doc_id").cast("long"), "text").transform(in_batches, look, FOUND)
 
     parts = [search(block) for block in item_blocks(items, words)]
     return reduce(DataFrame.unionAll, parts) if parts else spark.createDataFrame([], FOUND)
@@ -190,21 +190,19 @@ def contaminated(docs: DataFrame, items: DataFrame, words: int = WORDS, percent:
 
 def without_contaminated(docs: DataFrame, items: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows that contain no item; all columns as they were.  Searched once, nothing is shuffled."""
-    spark, row = docs.sparkSession, "row"
-    kept = docs.select(F.struct(*docs.columns).alias(row), "text")
+    text = docs.columns.index("text")
 
     def clean(df: DataFrame, block: list[tuple[int, np.ndarray]]) -> DataFrame:
-        shared_index = spark.sparkContext.broadcast(build_index(block))
+        shared_index = df.sparkSession.sparkContext.broadcast(build_index(block))
 
         def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            hashes = word_hashes()
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
-                for first, texts in groups(batch.column(1)):
-                    for doc, _, _ in find_items(texts, shared_index.value, hashes, words, percent):
+                for first, texts in groups(batch.column(text)):
+                    for doc, _, _ in find_items(texts, shared_index.value, word_hashes(), words, percent):
                         keep[first + doc] = False
                 yield batch.filter(pa.array(keep))
 
-        return df.mapInArrow(look, df.schema)
+        return df.transform(in_batches, look, df.schema)
 
-    return reduce(clean, item_blocks(items, words), kept).select(f"{row}.*")
+    return reduce(clean, item_blocks(items, words), docs)

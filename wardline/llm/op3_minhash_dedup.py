@@ -39,6 +39,7 @@ from wardline.llm.words import (
     band_keys,
     bands,
     groups,
+    in_batches,
     shingle_hashes,
     word_hashes,
     words_of,
@@ -86,7 +87,7 @@ def sketches(docs: DataFrame, words: int, n_bands: int) -> DataFrame:
                     names=["doc_id", "n_shingles", *SET, "band_keys"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(sketch, SKETCH)
+    return docs.select("doc_id", "text").transform(in_batches, sketch, SKETCH)
 
 
 def class_sets(docs: DataFrame, reps: DataFrame, words: int) -> DataFrame:
@@ -107,7 +108,7 @@ def class_sets(docs: DataFrame, reps: DataFrame, words: int) -> DataFrame:
                 )
 
     wanted = docs.select(F.col("doc_id").alias("rep"), "text").join(reps.select("rep"), "rep", "left_semi")
-    return wanted.mapInArrow(sets, SETS).dropDuplicates(["rep"])
+    return wanted.transform(in_batches, sets, SETS).dropDuplicates(["rep"])
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -130,7 +131,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * common >= percent * (len(a) + len(b) - common))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("u", "v", "su", "sv").mapInArrow(alike, "u long, v long")
+    return both.select("u", "v", "su", "sv").transform(in_batches, alike, "u long, v long")
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardline.llm.op1_token_shards import Encoder, encoded
+from wardline.llm.words import in_batches
 
 BLOCK_IDS = 1 << 16
 GROUP = 1 << 12  # blocks scanned together
@@ -73,7 +74,7 @@ def write_flat(
         docs.select("doc_id", "text")
         .repartitionByRange("doc_id", F.xxhash64("text"))
         .sortWithinPartitions("doc_id", F.xxhash64("text"))
-        .mapInArrow(flat, FLAT)
+        .transform(in_batches, flat, FLAT)
         .write.parquet(path)
     )
 
@@ -99,7 +100,7 @@ def read_binary(spark: SparkSession, path: str, kind: str = "<u2", block_ids: in
                     )
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(cut, "file string, block long, ids binary")
+    return files.transform(in_batches, cut, "file string, block long, ids binary")
 
 
 def find_separators(blocks: DataFrame, separator: int, kind: str = "<u2") -> DataFrame:
@@ -117,7 +118,7 @@ def find_separators(blocks: DataFrame, separator: int, kind: str = "<u2") -> Dat
                 names=["file", "block", "n_ids", "separators"],
             )
 
-    return blocks.select("file", "block", "ids").mapInArrow(search, FOUND)
+    return blocks.select("file", "block", "ids").transform(in_batches, search, FOUND)
 
 
 def prefix_scan(found: DataFrame) -> DataFrame:

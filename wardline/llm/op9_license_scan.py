@@ -23,6 +23,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardline.llm.words import in_batches
+
 # Phrases whose exact places are counted, and their labels.
 PHRASES = {
     "gnu general public license": "gpl",
@@ -169,4 +171,4 @@ def license_scan(docs: DataFrame, notices: tuple[Notice, ...] = NOTICES) -> Data
             columns = [batch.column(0).cast(pa.int64()), *(pa.array([r[k] for r in rows], kinds[k + 1]) for k in range(8))]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, OUTPUT)
+    return docs.select(F.col("doc_id").cast("long"), "text").transform(in_batches, scan, OUTPUT)

@@ -13,8 +13,9 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 CACHED_WORDS = 300_000
 
@@ -130,7 +131,23 @@ def band_keys(signatures: np.ndarray, rows: int) -> np.ndarray:
     return keys
 
 
-def groups(texts: pa.Array, most: int = 2_000_000) -> Iterator[tuple[int, list[str | None]]]:
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1_000
+
+
+def in_batches(df: DataFrame, function, schema: str | StructType) -> DataFrame:
+    """``df.mapInArrow`` with at most ``BATCH_ROWS`` rows at a time.
+
+    Texts may be long, and both the executor and its Python worker hold a batch whole.
+    The session's setting is lowered to that and stays so, as plans run later.
+    """
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_BATCH_ROWS)) <= BATCH_ROWS:
+        conf.set(_BATCH_ROWS, str(BATCH_ROWS))
+    return df.mapInArrow(function, schema)
+
+
+def groups(texts: pa.Array, most: int = 1_000_000) -> Iterator[tuple[int, list[str | None]]]:
     """Consecutive texts of about ``most`` characters, with the place of the first one."""
     found, first, size = [], 0, 0
     for k, text in enumerate(texts):
