@@ -81,6 +81,16 @@ def test_odd_rows(docs):
     assert all(op4.has_letter(r["text"]) for r in kept.collect())
 
 
+def test_text_unlike_any_language_scores_low(spark, docs):
+    strange = ["漢字仮名交じり文の例である", "Это русский текст без перевода", "😀 x 🚀 🧠 💡 🎉"]
+    known = queries.documents(spark, SMALL).select("doc_id", "text", "lang", "source", "n_chars")
+    both = known.unionByName(docs([(10_000 + i, t) for i, t in enumerate(strange)]))
+    got = {r.doc_id: r for r in op4.language_id(both).filter("doc_id >= 10000").collect()}
+    assert all(got[10_000 + i].score < 0.05 and got[10_000 + i].lang_pred != "und" for i in range(3))
+    kept = {r.doc_id for r in op4.in_known_language(both).collect()}
+    assert not kept & set(got) and len(kept) > 990
+
+
 def test_nothing_to_learn(docs):
     assert [(r.lang_pred, r.score) for r in op4.language_id(docs([(1, "abc")])).collect()] == [("und", 0.0)]
     assert op4.language_id(docs([])).collect() == []

@@ -6,6 +6,9 @@ language and bucket; what reaches the driver is one number per language and buck
 batch is scored as a sparse matrix product in numpy: the n-grams of a text are the columns
 of its row, so its log-likelihoods are the sum of the matrix rows they name.
 
+The score is the probability of the language against the others and against text whose
+n-grams come by mere chance, so text unlike any language learned scores near 0.
+
 ``max_docs`` bounds the training sample per language.  It is drawn by a hash of the
 ``doc_id``, so reruns draw the same documents.  Prediction reads whole texts and nothing
 but texts.
@@ -27,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.words import groups
+from wardline.llm.words import groups, in_batches
 
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
@@ -95,6 +98,8 @@ class Model:
         total, counts = self.likelihoods(texts)
         weight = np.minimum(1.0, EVIDENCE / counts)[:, None]
         logits = total * weight + self.prior
+        nothing = -math.log(BUCKETS) * counts[:, None] * weight  # n-grams by mere chance
+        logits = np.hstack([logits, nothing])
         chance = np.exp(logits - logits.max(axis=1, keepdims=True))
         chance /= chance.sum(axis=1, keepdims=True)
         best = np.argmax(total + self.prior, axis=1)
@@ -140,7 +145,7 @@ def train(docs: DataFrame, max_docs: int = MAX_DOCS) -> Model:
                 names=["lang", "bucket", "n"],
             )
 
-    counted = sample(docs, max_docs).mapInArrow(count, "lang string, bucket int, n long")
+    counted = sample(docs, max_docs).transform(in_batches, count, "lang string, bucket int, n long")
     rows = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(rows["lang"].unique())
     counts = np.zeros((BUCKETS, len(languages)))
@@ -169,7 +174,7 @@ def predictions(docs: DataFrame, model: Model, *columns: Column | str) -> DataFr
                 names=[*kept, "lang_pred", "score"],
             )
 
-    return asked.mapInArrow(score, schema)
+    return asked.transform(in_batches, score, schema)
 
 
 def language_id(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
@@ -180,8 +185,13 @@ def language_id(docs: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
 
 def in_known_language(docs: DataFrame, max_docs: int = MAX_DOCS, least: float = 0.5) -> DataFrame:
     """The rows whose language is recognised with a score of ``least`` or more; all columns as they were."""
-    model = train(docs, max_docs)
-    row = "row"
-    whole = docs.select(F.col("text"), F.struct(*docs.columns).alias(row))
-    scored = predictions(whole, model, row)
-    return scored.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(f"{row}.*")
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, max_docs))
+    text = docs.columns.index("text")
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [x for _, texts in groups(batch.column(text)) for x in shared.value.predict(texts)]
+            keep = [lang != UNKNOWN and score >= least for lang, score in found]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.transform(in_batches, look, docs.schema)
