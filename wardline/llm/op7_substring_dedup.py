@@ -26,11 +26,11 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.words import groups, splitmix
+from wardline.llm.words import groups, in_batches, splitmix
 
 REACH = 20
 MOST = 8 * REACH
-MIN_WORDS = 16
+MIN_WORDS = 24
 
 _GEAR = splitmix(np.arange(1, 257, dtype=np.uint64)).astype(np.uint32)
 _GEAR[0] = 0  # the byte between texts adds nothing
@@ -118,7 +118,7 @@ def chunks(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(ids[first + doc], pa.int64()), *map(pa.array, columns)], names=names)
 
     named = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text")
-    return named.mapInArrow(cut, CHUNKS)
+    return named.transform(in_batches, cut, CHUNKS)
 
 
 def repeated_chunks(docs: DataFrame, across: bool = True) -> DataFrame:
