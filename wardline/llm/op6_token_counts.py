@@ -39,9 +39,9 @@ def write_flat(
     docs: DataFrame, path: str, encoder: Callable[[], Encoder], separator: int, kind: str = "<u2",
     block_ids: int = BLOCK_IDS,
 ) -> None:
-    """Encode ``docs`` (doc_id, text) in ascending ``doc_id`` order to flat files, one per task.
+    """Encode ``docs`` (doc_id, text) to flat files, one per task, in the order they come.
 
-    ``doc_ids`` of a block lists the documents that begin in it or after the block before;
+    Texts stay where they are read.  ``doc_ids`` of a block lists the documents that begin in it or after the block before;
     the scan does not read them.
     """
 
@@ -70,13 +70,8 @@ def write_flat(
         if size or begun:
             yield row(np.concatenate(held))
 
-    (
-        docs.select("doc_id", "text")
-        .repartitionByRange("doc_id", F.xxhash64("text"))
-        .sortWithinPartitions("doc_id", F.xxhash64("text"))
-        .transform(in_batches, flat, FLAT)
-        .write.parquet(path)
-    )
+    blocks = docs.select("doc_id", "text").transform(in_batches, flat, FLAT)
+    blocks.write.option("compression", "zstd").parquet(path)
 
 
 def read_flat(spark: SparkSession, path: str) -> DataFrame:
