@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.words import groups
+from wardline.llm.words import groups, in_batches
 
 CACHED_WORDS = 300_000
 
@@ -61,7 +61,7 @@ class _Words:
     def of(self, words: list[bytes]) -> list[bytes]:
         values = list(map(self.known.get, words))
         if None in values:
-            places = [i for i, value in enumerate(values) if value is None]
+            places = _places_of(None, values)
             found = self._encode({words[i] for i in places})
             for i in places:
                 values[i] = found[words[i]]
@@ -100,6 +100,16 @@ class _Words:
         return {w.encode(): joined[a:b] for w, a, b in zip(letters, [0, *at], at)}
 
 
+def _places_of(item: object, items: list) -> list[int]:
+    places, at = [], -1
+    while True:
+        try:
+            at = items.index(item, at + 1)
+        except ValueError:
+            return places
+        places.append(at)
+
+
 _CONTROL = bytes([*range(0x09), *range(0x0B, 0x20)])
 
 
@@ -160,10 +170,15 @@ def bit_width(vocabulary: int) -> int:
     return max(1, (vocabulary - 1).bit_length())
 
 
+_WHOLE = {8: "<u1", 16: "<u2", 32: "<u4"}  # the same bits in the same order, as whole bytes
+
+
 def pack(ids: np.ndarray, width: int) -> bytes:
     """Ids one after another in ``width`` bits each, lowest bit first, filled up to a byte."""
     if len(ids) and int(ids.max()) >> width:
         raise ValueError(f"an id does not fit in {width} bits")
+    if width in _WHOLE:
+        return ids.astype(_WHOLE[width]).tobytes()
     parts = []
     for lo in range(0, len(ids), 1 << 16):  # a multiple of eight ids ends on a byte
         cells = ids[lo : lo + (1 << 16)].astype("<u4").view(np.uint8).reshape(-1, 4)
@@ -174,6 +189,8 @@ def pack(ids: np.ndarray, width: int) -> bytes:
 
 def unpack(payload: bytes, width: int, first: int, count: int) -> np.ndarray:
     """``count`` ids from the ``first`` one on, without touching the bytes before."""
+    if width in _WHOLE:
+        return np.frombuffer(payload, _WHOLE[width], count, first * width // 8).astype(np.uint32)
     at = first * width // 8
     skip = first * width - 8 * at
     end = -(-(first + count) * width // 8)
@@ -194,7 +211,7 @@ def unpack(payload: bytes, width: int, first: int, count: int) -> np.ndarray:
 def encoded(batch: pa.RecordBatch, encode: Encoder) -> Iterator[tuple[int, np.ndarray]]:
     """Ids of the documents of a batch (doc_id, text), some texts at a time."""
     doc_ids = batch.column(0).to_pylist()
-    for first, texts in groups(batch.column(1), most=1_000_000):
+    for first, texts in groups(batch.column(1)):
         yield from zip(doc_ids[first:], encode([text or "" for text in texts]))
 
 
@@ -240,7 +257,7 @@ def write_shards(
         docs.select("doc_id", "text")
         .repartitionByRange("doc_id", F.xxhash64("text"))
         .sortWithinPartitions("doc_id", F.xxhash64("text"))
-        .mapInArrow(packed, BLOCKS)
+        .transform(in_batches, packed, BLOCKS)
         .write.parquet(path)
     )
 
@@ -275,7 +292,7 @@ def document_index(blocks: DataFrame) -> DataFrame:
                     [pa.array(v, f.type) for v, f in zip(columns, schema)], schema=schema
                 )
 
-    found = blocks.mapInArrow(read, INDEX).join(block_starts(blocks), "shard")
+    found = blocks.transform(in_batches, read, INDEX).join(block_starts(blocks), "shard")
     return found.select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32", "shard", "block")
 
 
