@@ -3,8 +3,8 @@
 1. Each text becomes its set of word shingles.  Two permutations, one of them shifted
    around the circle, give all signature coordinates, which are cut to bands.
 2. Documents with equal sets form a class; from here on one document speaks for it.
-3. Classes that share a band meet in its bucket.  No pairs are made there: every class is
-   compared with the smallest one it meets in any bucket, on full sets.
+3. Classes that share a band meet in its bucket.  They are not paired there: every class
+   is compared with the smallest one it meets in any bucket, on full sets.
 4. Links found make components.  Only buckets that still hold several components need
    more: small ones compare classes of different components; in large ones, classes first
    have to meet under a rare shingle at places and sizes that still allow a link (which
