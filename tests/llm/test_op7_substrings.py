@@ -136,3 +136,42 @@ def test_query_finds_long_passages_of_small_tables(spark):
     truth = {d for docs in held.values() if len(docs) > 1 for d in docs}
     got = {r.doc_id for r in queries.op7_substring_dedup(spark, sf).collect()}
     assert len(truth) > 100 and len(truth - got) <= 0.02 * len(truth)
+
+
+def tokens(seed, n, letters):
+    """``n`` seeded words of the given lengths."""
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=rng.choice(letters))) for _ in range(n))
+
+
+def test_every_planted_passage_is_found_to_its_edges(docs):
+    """Words of one or two characters, short ones and prose; both texts around a passage differ."""
+    rows, want = [], {}
+    for k in range(120):
+        letters = ((1, 2), (2, 3, 4), (3, 6, 9))[k % 3]
+        passage = tokens(f"p{k}", 51, letters)
+        for c in range(2):
+            text = f"{tokens(f'a{k}{c}', 5 + k + c, letters)} <{c} {passage} {c}> {tokens(f'b{k}{c}', 30, letters)}"
+            want[2 * k + c] = (text.index(passage), text.index(passage) + len(passage), 51, 2 * k)
+            rows.append((2 * k + c, text))
+    got = op7.repeated_passages(docs(rows, clashing=True)).collect()
+    assert {r.doc_id: (r.start, r.end, r.n_words, r.first_doc_id) for r in got} == want and len(got) == len(want)
+    assert all(r.kept == (r.doc_id % 2 == 0) for r in got)
+
+
+def test_any_shared_words_of_the_least_length_share_a_seed():
+    for k in range(200):
+        passage = tokens(f"s{k}", op7.MIN_WORDS, ((1,), (1, 2), (5, 9))[k % 3])
+        owner, _, digest = op7.seed_texts([f"{tokens(f'x{k}{c}', 20 + c, (1, 2))} {passage} {tokens(f'y{k}{c}', 20, (1, 2))}" for c in range(2)])
+        assert {*digest[owner == 0].tolist()} & {*digest[owner == 1].tolist()}
+
+
+def test_query_finds_every_long_passage_of_small_tables(spark):
+    sf, n = "/root/testdata/sf0.01", 51
+    held = {}
+    for doc, text in queries.documents(spark, sf).select("doc_id", "text").collect():
+        words = (text or "").split(" ")
+        for i in range(len(words) - n + 1):
+            held.setdefault(tuple(words[i : i + n]), set()).add(doc)
+    truth = {d for found in held.values() if len(found) > 1 for d in found}
+    assert truth and truth <= {r.doc_id for r in queries.op7_substring_dedup(spark, sf).collect()}

@@ -1,43 +1,62 @@
-"""Repeated passages by content-defined chunking with a gear rolling hash (operator 7).
-
-The gear hash of a place depends on the bytes just before it.  A chunk ends where that
-hash is the smallest among its neighbours within ``REACH`` bytes on either side, so
-chunks have similar lengths, and text put in or left out changes only the chunks around
-it.  Chunks are compared by 128-bit digests: one aggregation finds digests that occur
-more than once, one join marks their occurrences, and neighbouring marked chunks of a
-document make a passage.  A passage is reported from ``MIN_WORDS`` words on; what of it
-lies in the chunks cut by its two ends is not counted, so it stands for a repeat of up to
-some fifteen words more on each side.
-
-Defined cases: null and empty texts have no chunks.  Repeated rows (same ``doc_id``, same
+"""Repeated passages by content-defined seeds with a gear rolling hash (operator 7).
+
+The gear hash of a place depends on the bytes just before it.  Among every ``SPREAD``
+neighbouring words the one whose end has the smallest hash closes a seed, which is that
+word and the ones before it, ``SEED`` words with the white space between them.  So two
+texts that share ``SEED + SPREAD - 1`` = ``MIN_WORDS`` words share a seed, wherever the
+words stand and however short they are.  Seeds are compared by 64-bit digests: one
+aggregation finds those that occur more than once and their first place, one join marks
+the others.  Neighbouring seeds that agree with the same first document make a run, and
+both edges of a run grow word by word, white space included, as long as the two texts
+agree.  Runs of a document that touch make a passage, reported from ``MIN_WORDS`` words
+on; a chance collision of digests is shorter than that.
+
+An edge grows by ``SPREAD`` words at most, since further shared words hold a seed of their
+own.  Where that seed came first in a third document, the edge follows this one.
+
+``chunk_texts`` cuts texts into content-defined chunks; the passages do not use it.
+
+Defined cases: null and empty texts have no words.  Repeated rows (same ``doc_id``, same
 text) are one occurrence.  Rows with a null ``doc_id`` cannot be named and are left out.
-Text without places to cut (one character over and over) is cut every ``MOST`` bytes.
-Other columns are ignored.  Texts are chunked in groups of bounded size; a single text is
-held whole, as Spark holds its row.
+Chunks of text without places to cut (one character over and over) end every ``MOST``
+bytes.  Other columns are ignored.  Texts are read in groups of bounded size; a single
+text is held whole, as Spark holds its row.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from wardline.llm.words import groups, in_batches, splitmix
+from wardline.storage import materialize
 
 REACH = 20
 MOST = 8 * REACH
 MIN_WORDS = 24
+SPREAD = MIN_WORDS // 2  # words one of which closes a seed
+SEED = MIN_WORDS + 1 - SPREAD  # words of a seed: more than SPREAD, so that seeds of a passage touch
 
 _GEAR = splitmix(np.arange(1, 257, dtype=np.uint64)).astype(np.uint32)
 _GEAR[0] = 0  # the byte between texts adds nothing
 _WINDOW = 16  # bytes that a gear hash sees
 _NONE = np.uint32(0xFFFFFFFF)
 
-CHUNKS = "doc_id long, start int, end int, n_words int, hi long, lo long"
+SEEDS = "doc_id long, word int, digest long"
+FIRSTS = "first_doc_id long, first_word int, first_stop int, first_start int, first_end int, left binary, right binary"
+RANGES = "doc_id long, start long, end long, word int, stop int, copied boolean, first_doc_id long"
+PASSAGES = "doc_id long, start long, end long, n_words long, n_copied long, first_doc_id long, kept boolean"
+
+_BEFORE = re.compile(rb"[^\0\t-\r ]+[\0\t-\r ]+")  # a word with the white space behind it, and before it
+_BEHIND = re.compile(rb"[\0\t-\r ]+[^\0\t-\r ]+")
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
@@ -106,64 +125,209 @@ def chunk_texts(texts: list[str | None]) -> tuple[np.ndarray, ...]:
     )
 
 
-def chunks(docs: DataFrame) -> DataFrame:
-    """Every chunk of every text: (doc_id, start, end, n_words, hi, lo)."""
+def word_places(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end bytes of words in UTF-8 bytes that begin and end with a blank or zero byte."""
+    blank = (data == 32) | ((data >= 9) & (data <= 13)) | (data == 0)
+    return np.flatnonzero(blank[:-1] & ~blank[1:]) + 1, np.flatnonzero(~blank[:-1] & blank[1:]) + 1
+
+
+def seed_texts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, first word and digest of every seed."""
+    gap = b"\0" * _WINDOW
+    encoded = [(t or "").encode("utf-8", "replace") for t in texts]
+    lengths = np.array([len(e) for e in encoded], np.int64)
+    begins = np.cumsum(lengths + len(gap)) - lengths
+    joined = gap + gap.join(encoded) + gap
+    data = np.frombuffer(joined, np.uint8)
+    starts, ends = word_places(data)
+    if len(starts) < MIN_WORDS:
+        return np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int64)
+    owner = np.searchsorted(begins, starts, "right") - 1
+    place = np.arange(len(starts)) - np.searchsorted(owner, owner)
+    near = np.lib.stride_tricks.sliding_window_view(gear_hashes(data)[ends - 1], SPREAD)
+    first = np.arange(len(near))
+    whole = (place[first] >= SEED - 1) & (owner[first] == owner[first + SPREAD - 1])
+    last = np.unique((first + near.argmin(axis=1))[whole])
+    word = last - (SEED - 1)
+    digests = b"".join([xxhash.xxh3_64_digest(joined[a:b]) for a, b in zip(starts[word].tolist(), ends[last].tolist())])
+    return owner[last], place[word].astype(np.int32), np.frombuffer(digests, ">i8").astype(np.int64)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [f.split()[0] for f in CHUNKS.split(", ")]
+
+def _named(docs: DataFrame) -> DataFrame:
+    return docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text")
+
+
+def seeds(docs: DataFrame) -> DataFrame:
+    """Every seed of every text: (doc_id, word, digest)."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [f.split()[0] for f in SEEDS.split(", ")]
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for first, texts in groups(batch.column(1)):
-                doc, *columns = chunk_texts(texts)
+                doc, *columns = seed_texts(texts)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[first + doc], pa.int64()), *map(pa.array, columns)], names=names)
 
-    named = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text")
-    return named.transform(in_batches, cut, CHUNKS)
+    return _named(docs).transform(in_batches, find, SEEDS)
 
 
-def repeated_chunks(docs: DataFrame, across: bool = True) -> DataFrame:
-    """Chunks that occur at two places or more, with the first document that holds them.
+def repeated_runs(docs: DataFrame, across: bool = True) -> DataFrame:
+    """Runs of seeds that occurred before, with their first place: (doc_id, word, stop, first_doc_id, first_word, first_stop).
 
-    ``across``: only those that two documents hold; else repeats inside a document as well.
-    Texts are cut twice, once for each side of the join: chunks take more room than texts.
+    ``across``: only seeds that two documents hold; else repeats inside a document as well.
+    Seeds are found twice, once for each side of the join: they take more room than texts.
     """
-    every = chunks(docs)
-    held = every.groupBy("hi", "lo")
-    several = F.col("first_doc_id") < F.col("last_doc_id")
-    if across:
-        held = held.agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id"))
-    else:
-        held = held.agg(
-            F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id"),
-            F.min("start").alias("least"), F.max("start").alias("most"),
-        )
-        several = several | (F.col("least") < F.col("most"))
-    return every.join(held.filter(several).select("hi", "lo", "first_doc_id"), ["hi", "lo"])
+    every = seeds(docs)
+    held = every.groupBy("digest").agg(
+        F.min(F.struct("doc_id", "word")).alias("first"), F.max("doc_id").alias("last_doc_id"), F.max("word").alias("last_word")
+    )
+    several = F.col("first.doc_id") < F.col("last_doc_id")
+    if not across:
+        several = several | (F.col("first.word") < F.col("last_word"))
+    held = held.filter(several).select("digest", F.col("first.doc_id").alias("first_doc_id"), F.col("first.word").alias("first_word"))
+    copied = (F.col("doc_id") != F.col("first_doc_id")) | (F.col("word") != F.col("first_word"))
+    along = Window.partitionBy("doc_id").orderBy("word")
+    shift = F.col("word") - F.col("first_word")
+    goes_on = (
+        (F.col("first_doc_id") == F.lag("first_doc_id").over(along))
+        & (shift == F.lag(shift).over(along)) & (F.col("word") <= F.lag("word").over(along) + SEED)
+    )
+    marked = (
+        every.join(held, "digest").filter(copied).dropDuplicates(["doc_id", "word"])
+        .withColumn("new", F.when(goes_on, 0).otherwise(1)).withColumn("run", F.sum("new").over(along))
+    )
+    runs = marked.groupBy("doc_id", "run").agg(
+        F.min("word").alias("word"), (F.max("word") + SEED).alias("stop"),
+        F.min("first_doc_id").alias("first_doc_id"), F.min("first_word").alias("first_word"),
+    )
+    first_stop = (F.col("first_word") + F.col("stop") - F.col("word")).alias("first_stop")
+    return runs.select("doc_id", "word", "stop", "first_doc_id", "first_word", first_stop)
+
+
+class Words:
+    """The words of a text, their bytes and places in code points."""
+
+    def __init__(self, text: str) -> None:
+        self.data = b" " + text.encode("utf-8", "replace") + b" "
+        data = np.frombuffer(self.data, np.uint8)
+        self.starts, self.ends = word_places(data)
+        self.points = np.cumsum((data & 0xC0) != 0x80) - 2
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def places(self, word: int, stop: int) -> tuple[int, int]:
+        return int(self.points[self.starts[word]]), int(self.points[self.ends[stop - 1]])
+
+    def sides(self, word: int, stop: int) -> tuple[bytes, bytes]:
+        """The words before ``word`` and from ``stop`` on, as many as an edge may grow by."""
+        left = self.data[self.starts[max(word - SPREAD, 0)] : self.starts[word]]
+        return left, self.data[self.ends[stop - 1] : self.ends[min(stop + SPREAD, len(self)) - 1]]
+
+
+def firsts_of(text: str, asked: list[dict]) -> list[tuple]:
+    """Places and surroundings of runs of words."""
+    words = Words(text)
+    spans = [(a["first_word"], a["first_stop"]) for a in asked]  # beyond the words: of another text with this doc_id
+    return [(*span, *words.places(*span), *words.sides(*span)) for span in spans if span[1] <= len(words)]
+
+
+def agreeing(a: Iterable[bytes], b: Iterable[bytes]) -> tuple[int, int]:
+    """How many words agree from the beginning of two lists on, and their code points."""
+    n = points = 0
+    for x, y in zip(a, b):
+        if x != y:
+            break
+        n, points = n + 1, points + len(x.decode())
+    return n, points
+
+
+def ranges_of(text: str, doc_id: int, runs: list[dict]) -> list[tuple]:
+    """Runs of a document grown at both edges, and the same of their first places."""
+    words, found = Words(text), []
+    for r in runs:
+        if r["stop"] > len(words):
+            continue
+        left, right = words.sides(r["word"], r["stop"])
+        more_left, before = agreeing(_BEFORE.findall(left)[::-1], _BEFORE.findall(r["left"])[::-1])
+        more_right, behind = agreeing(_BEHIND.findall(right), _BEHIND.findall(r["right"]))
+        start, end = words.places(r["word"], r["stop"])
+        found.append((doc_id, start - before, end + behind, r["word"] - more_left, r["stop"] + more_right, True, r["first_doc_id"]))
+        found.append((
+            r["first_doc_id"], r["first_start"] - before, r["first_end"] + behind,
+            r["first_word"] - more_left, r["first_stop"] + more_right, False, r["first_doc_id"],
+        ))
+    return found
+
+
+def _rows(df: DataFrame, function: Callable[..., list[tuple]], ddl: str) -> DataFrame:
+    """The rows that ``function`` makes of the columns of each row."""
+    schema = StructType.fromDDL(ddl)
+    arrow = to_arrow_schema(schema)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [r for values in zip(*batch.columns) for r in function(*(v.as_py() for v in values))]
+            columns = list(zip(*rows)) or [[]] * len(arrow)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+    return df.transform(in_batches, find, schema)
+
+
+def shared_ranges(docs: DataFrame, across: bool = True) -> DataFrame:
+    """Ranges that occurred before and, with ``copied`` false, where they did: (doc_id, start, end, word, stop, copied, first_doc_id)."""
+    spark = docs.sparkSession
+    runs = materialize(repeated_runs(docs, across), "runs")
+    spark._jvm.System.gc()  # Spark deletes the shuffled seeds when their plan is collected
+    texts = _named(docs).filter(F.col("text").isNotNull())
+    place = ["first_doc_id", "first_word", "first_stop"]
+    asked = runs.select(*place).distinct().groupBy(F.col("first_doc_id").alias("doc_id")).agg(
+        F.collect_list(F.struct("first_word", "first_stop")).alias("asked")
+    )
+    firsts = _rows(
+        texts.join(asked, "doc_id").select("doc_id", "text", "asked"),
+        lambda doc_id, text, asked: [(doc_id, *r) for r in firsts_of(text, asked)], FIRSTS,
+    ).dropDuplicates(place)
+    listed = runs.join(firsts, place).groupBy("doc_id").agg(
+        F.collect_list(F.struct("word", "stop", *place, "first_start", "first_end", "left", "right")).alias("runs")
+    )
+    return _rows(texts.join(listed, "doc_id").select("text", "doc_id", "runs"), ranges_of, RANGES).distinct()
+
+
+def joined_ranges(ranges: list[dict], min_words: int) -> list[tuple]:
+    """Passages of one document from its ranges: (start, end, n_words, n_copied, first_doc_id, kept)."""
+    passages: list[list[dict]] = []
+    stop = -1
+    for r in sorted(ranges, key=lambda r: (r["word"], r["stop"])):
+        if r["word"] > stop:
+            passages.append([])
+        passages[-1].append(r)
+        stop = max(stop, r["stop"])
+    found = []
+    for held in passages:
+        n_words = max(r["stop"] for r in held) - held[0]["word"]
+        if n_words >= min_words:
+            n_copied, at = 0, 0
+            for r in held:
+                if r["copied"]:
+                    n_copied += max(0, r["stop"] - max(at, r["word"]))
+                    at = max(at, r["stop"])
+            ends = min(r["start"] for r in held), max(r["end"] for r in held)
+            found.append((*ends, n_words, n_copied, min(r["first_doc_id"] for r in held), n_copied == 0))
+    return found
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, across: bool = True) -> DataFrame:
     """Passages that documents share: (doc_id, start, end, n_words, n_copied, first_doc_id, kept).
 
     One row per passage and document; texts without one have no row.  Places are code
-    points.  ``n_copied`` counts the words in chunks that occurred before (in a document
-    with a smaller id, or further up); ``kept`` passages have none.
+    points.  ``n_copied`` counts the words that occurred before (in a document with a
+    smaller id, or further up); ``kept`` passages have none.
     """
-    occurrence = Window.partitionBy("doc_id", "hi", "lo").orderBy("start")
-    along = Window.partitionBy("doc_id").orderBy("start")
-    marked = (
-        repeated_chunks(docs, across).dropDuplicates(["doc_id", "start"])
-        .withColumn("first", (F.col("doc_id") == F.col("first_doc_id")) & (F.row_number().over(occurrence) == 1))
-        .withColumn("new", F.coalesce(F.col("start") != F.lag("end").over(along), F.lit(True)).cast("int"))
-        .withColumn("run", F.sum("new").over(along))
-    )
-    runs = marked.groupBy("doc_id", "run").agg(
-        F.min("start").cast("long").alias("start"), F.max("end").cast("long").alias("end"), F.sum("n_words").alias("n_words"),
-        F.sum(F.when(F.col("first"), 0).otherwise(F.col("n_words"))).alias("n_copied"),
-        F.min("first_doc_id").alias("first_doc_id"),
-    )
-    return runs.filter(F.col("n_words") >= min_words).select(
-        "doc_id", "start", "end", "n_words", "n_copied", "first_doc_id", (F.col("n_copied") == 0).alias("kept")
+    held = shared_ranges(docs, across).groupBy("doc_id").agg(
+        F.collect_list(F.struct("start", "end", "word", "stop", "copied", "first_doc_id")).alias("ranges")
     )
+    return _rows(held, lambda doc_id, ranges: [(doc_id, *r) for r in joined_ranges(ranges, min_words)], PASSAGES)
 
 
 def without_repeats(docs: DataFrame, passages: DataFrame) -> DataFrame:
