@@ -175,3 +175,20 @@ def test_query_finds_every_long_passage_of_small_tables(spark):
             held.setdefault(tuple(words[i : i + n]), set()).add(doc)
     truth = {d for found in held.values() if len(found) > 1 for d in found}
     assert truth and truth <= {r.doc_id for r in queries.op7_substring_dedup(spark, sf).collect()}
+
+
+def test_overlapping_excerpts_keep_one_copy_of_every_word(docs):
+    """Documents that hold words 1-200, 100-300 and 150-300 of an article, and two chains of excerpts."""
+    rows = []
+    for k, cuts in enumerate([[(0, 200), (100, 300), (150, 300)], [(150, 300), (0, 200), (100, 300)], [(i, i + 60) for i in range(0, 241, 30)]]):
+        words = [f"{w}{k}x{i}" for i, w in enumerate(prose(f"article{k}", 300, 3000).split())]
+        rows += [(100 * k + d, f"{prose(f'u{k}{d}', 30, 3000)} {' '.join(words[a:b])} {prose(f'v{k}{d}', 30, 3000)}") for d, (a, b) in enumerate(cuts)]
+    df = docs(rows)
+    passages = op7.repeated_passages(df)
+    left = " ".join(r["text"] for r in op7.without_repeats(df, passages).collect()).split()
+    marked = [w for w in left if w[-1].isdigit()]
+    assert sorted(marked) == sorted({w for _, t in rows for w in t.split() if w[-1].isdigit()})
+    got = [tuple(r) for r in passages.filter("doc_id < 100").orderBy("doc_id", "start").collect()]
+    assert [(d, n, copied, first, kept) for d, _, _, n, copied, first, kept in got] == [
+        (0, 100, 0, 0, True), (1, 200, 100, 0, False), (1, 200, 0, 1, True), (2, 150, 150, 0, False),
+    ]

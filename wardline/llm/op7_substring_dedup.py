@@ -9,7 +9,8 @@ aggregation finds those that occur more than once and their first place, one joi
 the others.  Neighbouring seeds that agree with the same first document make a run, and
 both edges of a run grow word by word, white space included, as long as the two texts
 agree.  Runs of a document that touch make a passage, reported from ``MIN_WORDS`` words
-on; a chance collision of digests is shorter than that.
+on; a chance collision of digests is shorter than that.  What a passage holds of words
+that occurred before is told apart from what occurs in it first, which is kept.
 
 An edge grows by ``SPREAD`` words at most, since further shared words hold a seed of their
 own.  Where that seed came first in a third document, the edge follows this one.
@@ -295,7 +296,7 @@ def shared_ranges(docs: DataFrame, across: bool = True) -> DataFrame:
 
 
 def joined_ranges(ranges: list[dict], min_words: int) -> list[tuple]:
-    """Passages of one document from its ranges: (start, end, n_words, n_copied, first_doc_id, kept)."""
+    """Rows of one document from its ranges: (start, end, n_words, n_copied, first_doc_id, kept)."""
     passages: list[list[dict]] = []
     stop = -1
     for r in sorted(ranges, key=lambda r: (r["word"], r["stop"])):
@@ -306,23 +307,35 @@ def joined_ranges(ranges: list[dict], min_words: int) -> list[tuple]:
     found = []
     for held in passages:
         n_words = max(r["stop"] for r in held) - held[0]["word"]
-        if n_words >= min_words:
-            n_copied, at = 0, 0
-            for r in held:
-                if r["copied"]:
-                    n_copied += max(0, r["stop"] - max(at, r["word"]))
-                    at = max(at, r["stop"])
-            ends = min(r["start"] for r in held), max(r["end"] for r in held)
-            found.append((*ends, n_words, n_copied, min(r["first_doc_id"] for r in held), n_copied == 0))
+        if n_words < min_words:
+            continue
+        copied: list[dict] = []
+        for r in held:
+            if r["copied"] and copied and r["word"] <= copied[-1]["stop"]:
+                last = copied[-1]
+                copied[-1] = last | {k: max(last[k], r[k]) for k in ("stop", "end")} | {"first_doc_id": min(last["first_doc_id"], r["first_doc_id"])}
+            elif r["copied"]:
+                copied.append(r)
+        ends = {"word": held[0]["word"] + n_words, "start": max(r["end"] for r in held)}
+        here = [r["first_doc_id"] for r in held if not r["copied"]]
+        word, start = held[0]["word"], held[0]["start"]
+        for r in [*copied, ends]:
+            if r["word"] > word:
+                found.append((start, r["start"], n_words, 0, min(here), True))
+            if r is not ends:
+                found.append((r["start"], r["end"], n_words, r["stop"] - r["word"], r["first_doc_id"], False))
+                word, start = r["stop"], r["end"]
     return found
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, across: bool = True) -> DataFrame:
     """Passages that documents share: (doc_id, start, end, n_words, n_copied, first_doc_id, kept).
 
-    One row per passage and document; texts without one have no row.  Places are code
-    points.  ``n_copied`` counts the words that occurred before (in a document with a
-    smaller id, or further up); ``kept`` passages have none.
+    Texts without one have no row.  Places are code points.  A passage has a row for each
+    part that occurred before (in a document with a smaller id, or further up), with its
+    words as ``n_copied``, and a ``kept`` row for each part that occurs here first.
+    ``n_words`` counts the words of the whole passage, in every row of it.  So of all
+    words that are not kept, the same words stay where they occurred first.
     """
     held = shared_ranges(docs, across).groupBy("doc_id").agg(
         F.collect_list(F.struct("start", "end", "word", "stop", "copied", "first_doc_id")).alias("ranges")
