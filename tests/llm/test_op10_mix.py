@@ -142,3 +142,28 @@ def test_query(spark, sf):
     path = f"/root/testdata/{sf}"
     rows = [tuple(r) for r in queries.documents(spark, path).select("doc_id", "text", "lang", "source").collect()]
     check(rows, queries.op10_source_mix(spark, path).collect(), close=0.02)
+
+
+def test_one_long_document_does_not_end_its_source(docs):
+    """A document with a third of its source's words, wherever the seed puts it."""
+    rows = [(k, prose(k, 5 + k % 20, 3000), "en", "abc"[k % 3]) for k in range(600)]
+    size = defaultdict(int)
+    for _, text, _, source in rows:
+        size[source] += len(text.split())
+    rows += [(1000 + k, prose(f"long{k}", size[s] // 2, 3000), "en", s) for k, s in enumerate("abc")]
+    for seed in range(1, 5):
+        taken, wanted = defaultdict(int), {}
+        for r in op10.source_mix(docs(rows, clashing=True), seed=seed).collect():
+            taken[r.source] += r.taken
+            wanted[r.source] = r.target
+            assert r.taken <= 3 * r["size"]
+        for s, w in wanted.items():
+            assert abs(taken[s] - w) <= 5, (seed, s)
+
+
+def test_repeated_rows_come_to_an_end(docs):
+    rows = [(k // 2, prose(k // 2, 5 + k // 2 % 20, 3000), "en", "ab"[k // 2 % 2]) for k in range(400)]
+    got = op10.source_mix(docs(rows)).collect()
+    for s in "ab":
+        mine = [r for r in got if r.source == s]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 10

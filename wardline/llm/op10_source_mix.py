@@ -9,7 +9,9 @@
 4. Each pattern's flow becomes whole documents: full rounds of every document, and for
    the rest the documents that come first in a seeded order.  Where the order is cut is
    found from sums over ranges of the seeded hash, range within range, so no source is
-   ever sorted in one task; the words left over go to the few documents that fit them best.
+   ever sorted in one task.  Past a document larger than the words left, the order goes on with
+   those no larger, until none fits.  If words are still left, the smallest document not
+   taken is, and others are given back for it in the same way, if that comes closer.
    Where a pattern serves several sources, they take turns along the same order.
 
 Defined cases: null and blank texts have size 0 and are never taken.  A null source is a
@@ -32,8 +34,8 @@ from wardline.storage import materialize
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
-BITS, LEVELS = 10, 3  # the seeded hash is cut to 2^BITS ranges, and each of these again
-FITS = 3  # documents chosen one by one for the words that are left
+BITS, LEVELS = 10, 6  # the seeded hash is cut to 2^BITS ranges, and each of these again
+LAST = (1 << 63) - 1  # of the seeded order
 
 Source = str | None
 Pattern = str  # a document's sources as a JSON list, in order
@@ -139,7 +141,9 @@ class Turn:
     start: Point = Point()
     end: Point = Point()
     left: float = 0.0
+    further: list[tuple[int, int, int]] = field(default_factory=list)  # stretches of the order, with the largest size taken there
     fits: list[int] = field(default_factory=list)
+    back: list[tuple[int, int, int]] = field(default_factory=list)  # like ``further``, taken once less
 
 
 def measured(docs: DataFrame, sources: Column, seed: int, *columns: Column | str) -> DataFrame:
@@ -149,59 +153,113 @@ def measured(docs: DataFrame, sources: Column, seed: int, *columns: Column | str
     return docs.select(*columns, pattern.alias("pattern"), word_count(F.col("text")).alias("size"), order.alias("order"))
 
 
-def _points(sized: DataFrame, asked: dict[Pattern, list[float]], sizes: dict[Pattern, int]) -> dict[tuple[Pattern, int], tuple[Point, float]]:
-    """Where ``asked`` words of each pattern's order end, and how many of them are left there."""
-    found, open_ = {}, {}
-    for p, amounts in asked.items():
-        for i, words in enumerate(amounts):
-            rounds = int(min((words + 1e-6) // sizes[p], MOST_COPIES)) if sizes[p] else 0
-            left = max(0.0, words - rounds * sizes[p]) if rounds < MOST_COPIES else 0.0
-            found[p, i] = Point(rounds), left
-            if sizes[p] and left >= 1:
-                open_[p, i] = left, 0
+def _along(sized: DataFrame, asked: dict[tuple[Pattern, int], tuple[float, int, int, int]]) -> dict[tuple[Pattern, int], tuple[int, float, int]]:
+    """Where words end along a pattern's order, how many are left, and the largest document that stopped them.
+
+    ``asked``: the words, where to begin and to end, and the largest size that counts.
+    """
+    found = {}
+    open_ = {key: (words, 0, *limits) for key, (words, *limits) in asked.items()}
     for level in range(LEVELS):
         if not open_:
             break
-        rows = [(p, i, before) for (p, i), (_, before) in open_.items()]
-        places = sized.sparkSession.createDataFrame(rows, "pattern string, i int, prefix long")
+        rows = [(*key, *limits) for key, (_, *limits) in open_.items()]
+        places = sized.sparkSession.createDataFrame(rows, "pattern string, i int, prefix long, begin long, until long, most long")
         prefix = F.shiftrightunsigned("order", 63 - BITS * level) if level else F.lit(0).cast("long")
         inside = F.shiftrightunsigned("order", 63 - BITS * (level + 1)).bitwiseAND((1 << BITS) - 1)
         sums = (
             sized.withColumns({"prefix": prefix, "range": inside})
             .join(F.broadcast(places), ["pattern", "prefix"])
-            .groupBy("pattern", "i", "range").agg(F.sum("size").alias("size"))
+            .filter("size > 0 and size <= most and order >= begin and order < until")
+            .groupBy("pattern", "i", "range").agg(F.sum("size").alias("size"), F.count("*").alias("n"), F.max("size").alias("largest"))
         )
-        held: dict[tuple[Pattern, int], dict[int, int]] = defaultdict(dict)
+        held: dict[tuple[Pattern, int], dict[int, tuple[int, int, int]]] = defaultdict(dict)
         for row in sums.toLocalIterator():
-            held[row["pattern"], row["i"]][row["range"]] = row["size"]
+            held[row["pattern"], row["i"]][row["range"]] = row["size"], row["n"], row["largest"]
         still = {}
-        for key, (left, before) in open_.items():
+        for key, (left, before, *limits) in open_.items():
             at = 0
-            while at < 1 << BITS and held[key].get(at, 0) <= left:
-                left -= held[key].get(at, 0)
+            while at < 1 << BITS and held[key].get(at, (0, 0, 0))[0] <= left:
+                left -= held[key].get(at, (0, 0, 0))[0]
                 at += 1
             bound = (before << BITS) + at
-            found[key] = Point(found[key][0].rounds, bound << (63 - BITS * (level + 1))), left
-            if at < 1 << BITS and left >= 1:
-                still[key] = left, bound
+            _, n, largest = held[key].get(at, (0, 0, 0))
+            found[key] = min(bound << (63 - BITS * (level + 1)), LAST), left, largest
+            if n > 1 and left >= 1:
+                still[key] = left, bound, *limits
+        open_ = still
+    return found
+
+
+def _points(sized: DataFrame, asked: dict[Pattern, list[float]], sizes: dict[Pattern, int]) -> dict[tuple[Pattern, int], tuple[Point, float]]:
+    """Where ``asked`` words of each pattern's order end, and how many of them are left there."""
+    found, open_ = {}, {}
+    for p, amounts in asked.items():
+        for i, words in enumerate(amounts):
+            rounds = int(min((words + 1e-6) // sizes[p], MOST_COPIES)) if sizes[p] else 0
+            left = max(0.0, words - rounds * sizes[p]) if rounds < MOST_COPIES else 0.0
+            found[p, i] = Point(rounds), left
+            if sizes[p] and left >= 1:
+                open_[p, i] = left, 0, LAST, LAST
+    for key, (bound, left, _) in _along(sized, open_).items():
+        found[key] = Point(found[key][0].rounds, bound), left
+    return found
+
+
+Stretch = tuple[int, int, int]  # of the order: begin, end, and the largest size that counts
+
+
+def _go_on(
+    sized: DataFrame, asked: dict[tuple[Pattern, int], tuple[float, int, int]]
+) -> dict[tuple[Pattern, int], tuple[list[Stretch], float]]:
+    """Stretches whose documents make up the words asked between two places, until none fits, and the words left.
+
+    Rows of the same order (repeated ones) are taken together; where they are too large
+    together, the order goes on with smaller documents.
+    """
+    found: dict[tuple[Pattern, int], tuple[list[Stretch], float]] = {key: ([], words) for key, (words, *_) in asked.items()}
+    open_ = {key: (words, begin, until, int(words)) for key, (words, begin, until) in asked.items() if words >= 1}
+    while open_:
+        still = {}
+        for key, (bound, left, largest) in _along(sized, open_).items():
+            before, begin, until, most = open_[key]
+            taken = left < before
+            bound = min(max(begin, bound), until)
+            if taken:
+                found[key] = [*found[key][0], (begin, bound, most)], left
+            most = min(int(left), most if taken else largest - 1)
+            if largest and most >= 1:
+                still[key] = left, bound, until, most
         open_ = still
     return found
 
 
-def _fit(sized: DataFrame, turns: list[Turn]) -> bool:
-    """Give the words each turn has left to the untaken document whose size is nearest; whether any got some."""
-    rows = [(t.pattern, k, t.end.bound, t.left, t.fits) for k, t in enumerate(turns) if t.left >= 1]
+def _within(stretches: str, order: Column, size: Column) -> Column:
+    """Whether a document lies in one of the stretches."""
+    return F.exists(stretches, lambda s: (order >= s["begin"]) & (order < s["end"]) & (size <= s["most"]))
+
+
+_STRETCHES = "array<struct<begin: long, end: long, most: long>>"
+
+
+def _fit(sized: DataFrame, turns: list[Turn]) -> None:
+    """Give the words each turn has left to the smallest document not taken, and others back, if that comes closer."""
+    rows = [(t.pattern, k, t.end.bound, t.left, t.further) for k, t in enumerate(turns) if t.left >= 1]
     if not rows:
-        return False
-    open_ = sized.sparkSession.createDataFrame(rows, "pattern string, k int, bound long, left double, used array<long>")
-    gap = F.abs(F.col("size") - F.col("left"))
-    free = (F.col("order") >= F.col("bound")) & ~F.array_contains("used", F.col("order"))
-    near = sized.join(F.broadcast(open_), "pattern").filter(free & (gap < F.col("left")))
-    best = near.groupBy("k").agg(F.min(F.struct(gap, "order", "size")).alias("best")).select("k", "best.*").collect()
-    for row in best:
-        turns[row["k"]].fits.append(row["order"])
-        turns[row["k"]].left -= row["size"]
-    return bool(best)
+        return
+    open_ = sized.sparkSession.createDataFrame(rows, f"pattern string, k int, bound long, left double, further {_STRETCHES}")
+    free = (F.col("size") > 0) & (F.col("order") >= F.col("bound")) & ~_within("further", F.col("order"), F.col("size"))
+    rest = sized.join(F.broadcast(open_), "pattern").filter(free)
+    best = rest.groupBy("k").agg(F.min(F.struct("size", "order")).alias("best")).select("k", "best.*").collect()
+    chosen = {(turns[row["k"]].pattern, row["k"]): row for row in best}
+    over = {}
+    for (p, k), row in chosen.items():
+        t = turns[k]  # documents that earlier turns share are not given back
+        over[p, k] = row["size"] - t.left, 0, t.end.bound if t.start == Point() else 0
+    for (p, k), (back, beyond) in _go_on(sized, over).items():
+        t = turns[k]
+        if abs(beyond) < t.left:
+            t.fits, t.back, t.left = [chosen[p, k]["order"]], back, -beyond
 
 
 @dataclass(frozen=True)
@@ -215,13 +273,14 @@ class Mix:
     def table(self, spark) -> DataFrame:
         """One row per pattern and source that takes from it."""
         rows = [
-            (t.pattern, t.source, self.sizes[t.source], self.targets[t.source], *t.start, *t.end, t.fits)
+            (t.pattern, t.source, self.sizes[t.source], self.targets[t.source], *t.start, *t.end, t.further, t.fits, t.back)
             for t in self.turns
         ]
         return spark.createDataFrame(
             rows,
             "pattern string, mix_source string, source_size long, target double, "
-            "start_rounds int, start_bound long, end_rounds int, end_bound long, fits array<long>",
+            f"start_rounds int, start_bound long, end_rounds int, end_bound long, "
+            f"further {_STRETCHES}, fits array<long>, back {_STRETCHES}",
         )
 
 
@@ -258,9 +317,10 @@ def plan_mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> Mix:
             last = i == len(members[p]) - 1 and end.rounds < MOST_COPIES
             turns.append(Turn(p, s, start, end, left if last else 0.0))
             start = end
-    for _ in range(FITS):
-        if not _fit(sized, turns):
-            break
+    behind = {(t.pattern, k): (t.left, t.end.bound, LAST) for k, t in enumerate(turns)}
+    for (_, k), (further, left) in _go_on(sized, behind).items():
+        turns[k].further, turns[k].left = further, left
+    _fit(sized, turns)
     return Mix(dict(by_source), wanted, turns)
 
 
@@ -269,7 +329,9 @@ def with_copies(measured_docs: DataFrame, mix: Mix) -> DataFrame:
     def upto(end: str) -> Column:
         return F.col(f"{end}_rounds") + (F.col("order") < F.col(f"{end}_bound")).cast("int")
 
-    taken = upto("end") - upto("start") + F.array_contains("fits", F.col("order")).cast("int")
+    order, size = F.col("order"), F.col("size")
+    behind = _within("further", order, size) | F.array_contains("fits", order)
+    taken = upto("end") - upto("start") + behind.cast("int") - _within("back", order, size).cast("int")
     table = F.broadcast(mix.table(measured_docs.sparkSession))
     return measured_docs.join(table, "pattern").withColumn("copies", F.when(F.col("size") > 0, taken).otherwise(0))
 
