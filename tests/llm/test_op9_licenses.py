@@ -108,3 +108,13 @@ def test_query_over_the_smallest_tables(spark):
         assert tuple(r)[1:6] == plain_base(texts[r.doc_id])
         assert {*r.base_labels.split(",")} <= {*r.labels.split(",")} | {""}
     assert sum(r.n_base for r in got) > 5
+
+
+@pytest.mark.parametrize(("text", "want"), [
+    ("gnu generl public license gnu generl public license gnu generl public licens gnu general public license", [(0, 4), (4, 8), (8, 12), (12, 16)]),
+    ("the gnu genral publik license or gnu general public license", [(1, 5), (6, 10)]),
+    ("gnu general public license and gnu generl public license and gnu genral publc license", [(0, 4), (5, 9), (10, 14)]),
+])
+def test_misspelt_notices_beside_exact_ones_keep_their_spans(text, want):
+    spans = op9.Scanner().fuzzy(f" {text} ")
+    assert sorted((s.first, s.last) for s in spans if s.label == "gpl") == want

@@ -13,6 +13,7 @@ ones too.  Columns other than ``doc_id`` and ``text`` are ignored.
 
 from __future__ import annotations
 
+from bisect import bisect
 from collections.abc import Iterator
 from functools import cached_property
 from typing import NamedTuple
@@ -117,30 +118,33 @@ class Scanner:
         return found
 
     def fuzzy(self, joined: str) -> list[Span]:
-        """Notices within their edits, one span for each stretch of windows around pieces."""
-        windows: dict[int, list[list[int]]] = {}
+        """Notices within their edits: the best match around every piece, without those that overlap a better one."""
+        windows: dict[int, set[tuple[int, int]]] = {}
         for end, (length, held) in self.pieces.iter(joined):
             start = end - length + 1
             for k, offset in held:
                 notice = self.notices[k]
                 lo = max(0, start - offset - notice.edits)
                 hi = min(len(joined), start - offset + len(notice.text) + notice.edits)
-                mine = windows.setdefault(k, [])
-                if mine and lo <= mine[-1][1]:
-                    mine[-1][1] = max(mine[-1][1], hi)
-                else:
-                    mine.append([lo, hi])
+                windows.setdefault(k, set()).add((lo, hi))
         found = []
-        for k, spans in windows.items():
+        for k, mine in windows.items():
             notice = self.notices[k]
-            for lo, hi in spans:
-                for match in self.patterns[k].finditer(joined, lo, hi):
-                    inner = match.group().strip()
-                    if inner:
-                        start = match.start() + match.group().index(inner)
-                        first = joined.count(" ", 0, start) - 1
-                        likeness = 1 - sum(match.fuzzy_counts) / len(notice.text)
-                        found.append(Span(notice.label, first, first + inner.count(" ") + 1, likeness))
+            matches = set()
+            for lo, hi in mine:
+                match = self.patterns[k].search(joined, lo, hi)
+                inner = match.group().strip() if match else ""
+                if inner:
+                    start = match.start() + match.group().index(inner)
+                    matches.add((sum(match.fuzzy_counts), start, start + len(inner)))
+            taken: list[tuple[int, int]] = []  # in order, none overlaps another
+            for edits, start, end in sorted(matches):
+                at = bisect(taken, (start, end))
+                if (at and taken[at - 1][1] > start) or (at < len(taken) and taken[at][0] < end):
+                    continue
+                taken.insert(at, (start, end))
+                first = joined.count(" ", 0, start) - 1
+                found.append(Span(notice.label, first, first + joined.count(" ", start, end) + 1, 1 - edits / len(notice.text)))
         return found
 
     def scan(self, text: str | None) -> tuple:
