@@ -1,0 +1,126 @@
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from wardline.llm import op13_embedding_whitening as op13
+from wardline.llm import queries
+
+VECTORS = "vec_id long, embedding array<float>, label int"
+NAMES = ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+
+
+def vectors(spark, rows, kind="float"):
+    return spark.createDataFrame([(i, None if v is None else [None if c is None else float(c) for c in v], 0) for i, v in rows], VECTORS.replace("float", kind))
+
+
+def plain(rows, components=4):
+    """Per row: n, deviation, whitened; and explained, from the covariance's eigenvectors."""
+    grid = [(i, tuple(math.floor(256 * float(np.float32(c))) for c in v)) for i, v in rows]
+    x = np.array(sorted({v for _, v in grid}), dtype=object)
+    n, sums = len(x), x.sum(axis=0)
+    centred = x.astype(float) - np.array([s / n for s in sums])
+    values, directions = np.linalg.eigh(centred.T @ centred / n)
+    values, directions = values[::-1][:components], directions[:, ::-1][:, :components]
+    total = (centred**2).sum() / n
+    found = {}
+    for i, v in grid:
+        deviation = sum((n * c - s) ** 2 for c, s in zip(v, sums))
+        found[i] = n, deviation, (np.array(v, float) - np.array([s / n for s in sums])) @ directions / np.sqrt(values)
+    return found, values / total
+
+
+def agree(got, rows, many=4):
+    want, explained = plain(rows)
+    by = {}
+    for r in got:
+        by.setdefault(r.vec_id, {})[r.component] = r
+    assert by.keys() == want.keys() and all(sorted(v) == list(range(1, many + 1)) for v in by.values())
+    first = next(iter(by))
+    signs = [np.sign(by[first][k + 1].whitened * want[first][2][k]) for k in range(many)]
+    for i, (n, deviation, white) in want.items():
+        for k in range(many):
+            r = by[i][k + 1]
+            assert (r.n, r.deviation) == (n, deviation)
+            assert r.whitened * signs[k] == pytest.approx(white[k], abs=1e-6)
+            assert r.explained == pytest.approx(explained[k], rel=1e-9) and r.identity_error < 1e-9
+
+
+def spread(n, d, seed=1, scale=None):
+    rng = np.random.default_rng(seed)
+    mixing = rng.normal(size=(d, d)) * (np.linspace(3, 0.2, d) if scale is None else scale)
+    return [(i, v) for i, v in enumerate((rng.normal(size=(n, d)) @ mixing.T + rng.normal(size=d) * 5).astype(np.float32).tolist())]
+
+
+def test_rows_equal_the_eigenvectors_of_the_covariance(spark):
+    rows = spread(300, 12)
+    got = op13.whitening(vectors(spark, rows).repartition(5))
+    assert got.columns == NAMES
+    agree(got.collect(), rows)
+
+
+def test_given_table(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = [(r.vec_id, r.embedding) for r in queries.table(spark, sf, "embeddings").collect()]
+    agree(queries.op13_embedding_whitening(spark, sf).collect(), rows)
+
+
+def test_copies_are_fitted_once_and_given_out_each(spark):
+    rows = spread(60, 6)
+    copies = [(1000 + k, rows[0][1]) for k in range(200)]
+    got = op13.whitening(vectors(spark, rows + copies)).collect()
+    assert {r.n for r in got} == {60}
+    agree(got, rows + copies)
+    again = op13.whitening(vectors(spark, rows + rows)).collect()
+    assert Counter(r.vec_id for r in again) == {i: 8 for i, _ in rows}
+
+
+def test_columns_of_very_different_size(spark):
+    rows = spread(400, 8, scale=np.array([4000, 900, 70, 30, 3, 1, 0.5, 0.1]))
+    found = op13.fit(op13.on_grid(vectors(spark, rows)).select("x").distinct())
+    x = np.array(sorted({tuple(math.floor(256 * float(np.float32(c))) for c in v) for _, v in rows}), float)
+    singular = np.linalg.svd(x - x.mean(axis=0), compute_uv=False)
+    assert np.sqrt(found.variances * found.n) == pytest.approx(singular[:4], rel=1e-10)
+
+
+def test_dependent_and_constant_columns(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(80):
+        a, b = (int(k) for k in rng.integers(-50, 50, 2))
+        rows.append((i, [a, b, a + b, 7, 2 * a]))
+    found = op13.fit(op13.on_grid(vectors(spark, rows)).select("x").distinct())
+    assert len(found.variances) == 2
+    got = op13.whitening(vectors(spark, rows)).collect()
+    assert {r.component for r in got} == {1, 2} and max(r.identity_error for r in got) < 1e-8
+    assert sum({r.component: r.explained for r in got}.values()) == pytest.approx(1)
+
+
+def test_odd_rows(spark):
+    good = spread(50, 5)
+    bad = [(100, None), (101, []), (102, [1, 2, None, 4, 5]), (103, [1, 2, float("nan"), 4, 5]), (104, [float("inf")] * 5),
+           (105, [-float("inf"), 1, 1, 1, 1]), (106, [1, 2, 3]), (107, [None] * 5)]
+    df = vectors(spark, good + bad).withColumns({c: F.lit("extra") for c in ("x", "n", "cell", "component", "whitened")})
+    agree(op13.whitening(df).collect(), good)
+    nameless = op13.whitening(vectors(spark, [*good, (None, good[0][1])])).filter("vec_id IS NULL").collect()
+    assert len(nameless) == 4
+
+
+def test_nothing_to_whiten(spark):
+    assert op13.whitening(vectors(spark, [])).collect() == []
+    assert op13.whitening(vectors(spark, [(1, [1, 2]), (2, [1, 2])])).collect() == []
+    assert op13.whitening(vectors(spark, [(1, None)])).collect() == []
+    one = op13.whitening(vectors(spark, [(1, [1, 5]), (2, [2, 5])])).collect()
+    assert sorted((r.vec_id, r.component, abs(round(r.whitened, 9))) for r in one) == [(1, 1, 1.0), (2, 1, 1.0)]
+
+
+def test_deviations_are_exact_and_never_wrap():
+    big = op13.Whitening(3, np.array([2**40, 5]), None, None, None)
+    x = np.array([[2**20, 1], [7, 2]])
+    want = [sum((3 * int(c) - s) ** 2 for c, s in zip(row, [2**40, 5])) for row in x]
+    with pytest.raises(OverflowError):
+        big.deviations(x)
+    small = op13.Whitening(3, np.array([2**29, 5]), None, None, None)
+    assert small.deviations(x).tolist() == [sum((3 * int(c) - s) ** 2 for c, s in zip(row, [2**29, 5])) for row in x] and max(want) > 2**63

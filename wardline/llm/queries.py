@@ -19,6 +19,9 @@ from wardline.llm import op7_substring_dedup as repeats
 from wardline.llm import op8_secret_scan as secrets
 from wardline.llm import op9_license_scan as licenses
 from wardline.llm import op10_source_mix as mix
+from wardline.llm import op11_toxicity as toxic
+from wardline.llm import op12_importance_resampling as resampling
+from wardline.llm import op13_embedding_whitening as embeddings
 from wardline.llm.sql import ORACLE_SQL as ORACLE_SQL
 from wardline.storage import materialize, scratch_folder
 
@@ -95,6 +98,18 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", F.col("target"), "taken")
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxic.toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.importance_resampling(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.whitening(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_shards": op1_token_shards,
     "op2_decontamination": op2_decontamination,
@@ -106,4 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_license_scan": op9_license_scan,
     "op10_source_mix": op10_source_mix,
+    "op11_toxicity": op11_toxicity,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from wardline.llm import op2_decontamination as leaks
 from wardline.llm import op5_quality_rules as quality
 from wardline.llm import op8_secret_scan as secrets
+from wardline.llm import op12_importance_resampling as resampling
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -108,9 +109,50 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM docs LEFT JOIN found USING (r)
 """
 
+
+def _features(table: str, key: str) -> str:
+    """Every word of every text, repeats included: (key, w)."""
+    return f"SELECT {key}, unnest(regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS w FROM {table}"
+
+
+# CRC-32 byte by byte from its table, each distinct word once.
+_CRC_STEP = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+RESAMPLING = f"""
+WITH crc AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, i: {_CRC_STEP})) AS t),
+corpus AS MATERIALIZED ({_features('documents', 'doc_id')}),
+wanted AS MATERIALIZED ({_features('benchmark', 'item_id')}),
+bytes AS (
+  SELECT w, list_transform(range(1, strlen(w) + 1), lambda i: CAST('0x' || substr(hex(encode(w)), 2 * i - 1, 2) AS BIGINT)) AS b
+  FROM (SELECT w FROM corpus UNION SELECT w FROM wanted)),
+buckets AS MATERIALIZED (
+  SELECT w, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % {resampling.BUCKETS} AS bucket
+  FROM bytes, crc),
+s AS (SELECT bucket, count(*) AS n FROM corpus JOIN buckets USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM wanted JOIN buckets USING (w) GROUP BY bucket),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(((coalesce(t.n, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM corpus) + {resampling.BUCKETS}.0::DOUBLE))
+    / ((s.n + 1.0::DOUBLE) * ((SELECT count(*) FROM wanted) + {resampling.BUCKETS}.0::DOUBLE)))) AS BIGINT) AS gain
+  FROM s LEFT JOIN t USING (bucket)),
+weights AS (
+  SELECT doc_id, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight
+  FROM corpus JOIN buckets USING (w) JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('{resampling.SEED}:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+      / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM documents LEFT JOIN weights USING (doc_id)),
+ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n
+  FROM scored WHERE n_features >= {resampling.LEAST_WORDS})
+SELECT doc_id, n_features, weight, score, r.rank AS rank
+FROM scored LEFT JOIN (SELECT * FROM ranked WHERE rank <= {resampling.PERCENT} * n // 100) r USING (doc_id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_decontamination": DECONTAMINATION,
     "op3_minhash_dedup": NEAR_DUPLICATES,
     "op5_quality_rules": quality.ORACLE_SQL,
     "op8_secret_scan": SECRETS,
+    "op12_importance_resampling": RESAMPLING,
 }
