@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions.clinical import first_day
-from wardline.operators.scope import lookup
+from wardline.operators.scope import lookup, rows_of
 
 
 def death_dates(cohort: DataFrame, patients: DataFrame, accurate: bool = True) -> DataFrame:
@@ -44,9 +44,7 @@ def correct_death_by_last_fact(cohort: DataFrame, facts: DataFrame) -> DataFrame
     """
     deceased = cohort.filter(F.col("death_date").isNotNull()).select("patient_num")
     last = (
-        lookup(
-            facts.select("patient_num", "start_date"), deceased, "patient_num", ["start_date"], "left_semi"
-        )
+        rows_of(facts.select("patient_num", "start_date"), deceased, ["start_date"])
         .groupBy("patient_num")
         .agg(first_day(F.max("start_date")).alias("last_day"))
     )

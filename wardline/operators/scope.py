@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wardline.config import SiteConfig
 from wardline.functions.clinical import severe_by_code
+from wardline.operators.bloom import bloom_filter
 from wardline.storage import fits_broadcast
 
 LOOKBACK_DAYS = 365  # how long before admission diagnoses and medications count
@@ -58,10 +59,23 @@ def join_codes(facts: DataFrame, codes: DataFrame, how: str = "inner") -> DataFr
     return lookup(facts, codes, "concept_cd", ["patient_num", "start_date"], how)
 
 
-def facts_of(facts: DataFrame, patients: DataFrame) -> DataFrame:
-    """Facts of the given patients (one row per patient), row by row."""
+def rows_of(rows: DataFrame, patients: DataFrame, spread_by: list[str]) -> DataFrame:
+    """Rows of the given patients (a written table, one row per patient), row by row.
+
+    Beyond the broadcast limit a Bloom filter of the patients drops most rows of others
+    before the rest is shuffled to be joined exactly.
+    """
     keys = patients.select("patient_num")
-    return lookup(facts, keys, "patient_num", ["concept_cd", "start_date"], "left_semi")
+    if not fits_broadcast(keys):
+        bloom = bloom_filter(keys, "patient_num")
+        if bloom:
+            rows = rows.filter(bloom.may_hold(F.col("patient_num")))
+    return lookup(rows, keys, "patient_num", spread_by, "left_semi")
+
+
+def facts_of(facts: DataFrame, patients: DataFrame) -> DataFrame:
+    """Facts of the given patients, as in :func:`rows_of`."""
+    return rows_of(facts, patients, ["concept_cd", "start_date"])
 
 
 def report_facts(
