@@ -1,0 +1,86 @@
+import tempfile
+from datetime import date
+
+import pytest
+from conftest import rows
+
+from wardline.sources import schemas, scripts
+
+SCRIPT = """SET DEFINE OFF;
+-- settings; with a semicolon
+Insert into SITE.COVID_CONFIG (SITEID,OBFUSCATION_SMALL_COUNT_MASK,CODE_PREFIX_ICD9CM,OUTPUT_AS_CSV) values ('ABC',7,null,1);
+REM INSERTING into COVID_LAB_MAP
+
+Insert into COVID_LAB_MAP (LOINC,LOCAL_LAB_CODE,SCALE_FACTOR,LAB_UNITS,LAB_NAME) values ('2703-7','LAB:1',null,null,null);
+insert into covid_lab_map(scale_factor, loinc, lab_name , local_lab_code) VALUES ( -1.5e2 , '1-1', 'it''s; a, (test) values (''x'')' , ';' )
+INSERT INTO Covid_Lab_Map (loinc) values ('a'), ('b') , (NULL);
+insert into covid_code_map (code, local_code) values ('white','W');
+insert into covid_code_map (code, local_code) values ('white','W');
+insert into covid_med_map (med_class, code_type, local_med_code) values ('ACEI','Custom','HOMEMED:1');
+commit;
+"""
+
+
+def script(text):
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    with open(f"{folder}/maps.sql", "w", newline="") as f:
+        f.write(text)
+    return folder
+
+
+def labs(spark, text):
+    return rows(scripts.read_inserts(spark, script(text), "covid_lab_map", schemas.LAB_MAP))
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_quotes_nulls_orders_and_several_rows(spark, end):
+    assert labs(spark, SCRIPT.replace("\n", end)) == sorted(
+        [
+            ("2703-7", "LAB:1", None, None, None),
+            ("1-1", ";", -150.0, None, "it's; a, (test) values ('x')"),
+            ("a", None, None, None, None), ("b", None, None, None, None), (None,) * 5,
+        ],
+        key=lambda r: [str(x) for x in r],
+    )
+
+
+def test_maps_and_settings(spark):
+    folder = script(SCRIPT)
+    maps = scripts.read_map_script(spark, folder)
+    assert rows(maps.code_map) == [("white", "W")] and rows(maps.med_map) == [("ACEI", "Custom", "HOMEMED:1")]
+    cfg = scripts.read_config_script(spark, folder, date(2020, 12, 31), age_source="birth_date")
+    assert (cfg.siteid, cfg.obfuscation_small_count_mask, cfg.code_prefix_icd9cm, cfg.age_source) == ("ABC", 7, "", "birth_date")
+
+
+@pytest.mark.parametrize(
+    "line",
+    [
+        "insert into covid_lab_map (loinc) values ('a';",
+        "insert into covid_lab_map (loinc) values ('a'b');",
+        "insert into covid_lab_map (loinc) values (nullx);",
+        "insert into other (loinc) values (a);",
+        "drop table covid_lab_map;",
+        "insert into covid_lab_map (loinc) values ('a'); drop table x;",
+        "insert into covid_lab_map (loinc) select 'a' from dual;",
+        "insert into covid_lab_map (loinc, lab_name) values ('a');",
+        "insert into covid_lab_map (loinc, wrong) values ('a', 'b');",
+        "insert into covid_lab_map (loinc, loinc) values ('a', 'b');",
+        "insert into covid_lab_map (scale_factor) values ('much');",
+        "insert into covid_lab_map (loinc) values ('two",
+    ],
+)
+def test_a_bad_line_fails_the_job(spark, line):
+    with pytest.raises(Exception, match="not an INSERT|does not fit|CAST_INVALID"):
+        labs(spark, f"{SCRIPT}\n{line}\n")
+
+
+def test_long_values_and_many_rows(spark):
+    long = "x''" * 40_000
+    many = "".join(f"insert into covid_lab_map (loinc, scale_factor) values ('{k}', {k}.5);\n" for k in range(3000))
+    got = labs(spark, f"insert into covid_lab_map (lab_name) values ('{long}');\n{many}")
+    assert len(got) == 3001 and max(len(r[4] or "") for r in got) == 80_000
+    assert sum(r[2] or 0 for r in got) == sum(k + 0.5 for k in range(3000))
+
+
+def test_an_empty_script(spark):
+    assert labs(spark, "") == [] and labs(spark, "-- nothing\n\ncommit\n") == []
