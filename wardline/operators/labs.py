@@ -25,19 +25,28 @@ def labs(
     window (-60 also counts the two months before admission).  ``first`` as in
     :func:`~wardline.operators.severity.severe_events`.
     """
+    return labs_of_days(lab_days(facts, lab_map, min_day, first), cohort, min_day)
+
+
+def lab_days(facts: DataFrame, lab_map: DataFrame, min_day: int = 0, first: date | None = None) -> DataFrame:
+    """Each patient's mean value and log value per lab and day: (patient_num, loinc, lab_units, day, value, log_value)."""
     scales = lab_map.filter(~F.col("loinc").isin(SEVERE_LOINCS)).select(
         F.col("local_lab_code").alias("concept_cd"), "loinc", "scale_factor", "lab_units"
     )
     value = F.col("nval_num") * F.col("scale_factor")
     recent = facts.filter(within(first, min_day))
-    per_day = (
+    return (
         join_codes(recent.filter(F.col("nval_num") >= 0), scales)
         .groupBy("patient_num", "loinc", "lab_units", first_day("start_date").alias("day"))
         .agg(F.avg(value).alias("value"), F.avg(F.ln(value + LOG_OFFSET)).alias("log_value"))
     )
+
+
+def labs_of_days(days: DataFrame, cohort: DataFrame, min_day: int = 0) -> DataFrame:
+    """The lab table from :func:`lab_days`."""
     members = cohort.select("patient_num", "admission_date", "severe")
     on_day = (
-        per_day.join(members, "patient_num")
+        days.join(members, "patient_num")
         .withColumn("days_since_admission", F.datediff("day", "admission_date"))
         .filter(F.col("days_since_admission") >= min_day)
     )

@@ -7,10 +7,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions.text import csv_field
+from wardline.operators.numbering import numbered
 from wardline.operators.tables import TableSpec
 from wardline.storage import file_system, remove
 
@@ -26,22 +27,25 @@ def as_table(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.select(*spec.with_site).orderBy(*_order(spec))
 
 
-def as_csv_lines(df: DataFrame, spec: TableSpec) -> DataFrame:
+def as_csv_lines(df: DataFrame, spec: TableSpec, written: list[str] | None = None) -> DataFrame:
     """The table as text: line number ``i`` and line ``s``.
 
-    Line 0 is the header and the last line is blank.  Read in order of ``i``.
+    Line 0 is the header and the last line is blank.  Read in order of ``i``.  ``written`` as
+    in :func:`~wardline.operators.numbering.numbered`.
     """
+    return csv_lines(df, spec.with_site, _order(spec), written)
+
+
+def csv_lines(df: DataFrame, columns: list[str], order: list[Column], written: list[str] | None = None) -> DataFrame:
+    """Any table as numbered lines, as :func:`as_csv_lines` does it."""
     types = {f.name: f.dataType for f in df.schema}
-    fields = [csv_field(c, types[c]) for c in spec.with_site]
-    body = df.select(
-        F.row_number().over(Window.orderBy(*_order(spec))).alias("i"),
-        F.concat_ws(",", *fields).alias("s"),
-    )
+    line = F.concat_ws(",", *[csv_field(c, types[c]) for c in columns])
+    body = numbered(df.withColumn("s", line), order, "i", written).select(F.col("i").cast("int").alias("i"), "s")
     last = F.greatest(F.lit(LAST_LINE), F.col("n").cast("int") + 1)
-    ends = df.agg(F.count("*").alias("n")).select(
+    ends = body.agg(F.count("*").alias("n")).select(
         F.inline(
             F.array(
-                F.struct(F.lit(0).alias("i"), F.lit(",".join(spec.with_site)).alias("s")),
+                F.struct(F.lit(0).alias("i"), F.lit(",".join(columns)).alias("s")),
                 F.struct(last.alias("i"), F.lit("").alias("s")),
             )
         )

@@ -37,9 +37,7 @@ BUILDERS: dict[str, Callable[[Study], DataFrame]] = {
     DAILY.name: lambda s: daily.daily_counts(s.dates, s.admissions, s.cohort, s.cfg),
     COURSE.name: lambda s: daily.clinical_course(s.dates, s.admissions, s.severe_cohort),
     DEMOGRAPHICS.name: _demographics,
-    LABS.name: lambda s: labs.labs(
-        s.facts, s.severe_cohort, s.lab_map, s.cfg.lab_min_day, s.first_admission
-    ),
+    LABS.name: lambda s: labs.labs_of_days(s.lab_days, s.severe_cohort, s.cfg.lab_min_day),
     DIAGNOSES.name: lambda s: history.diagnoses(s.facts, s.severe_cohort, s.cfg, s.first_admission),
     MEDICATIONS.name: lambda s: history.medications(
         s.facts, s.severe_cohort, s.med_map, s.first_admission
@@ -84,10 +82,17 @@ class Report:
         self.compute()
         return {spec.name: output.as_table(self.table(spec), spec) for spec in TABLES}
 
+    def _csv_lines(self, spec: TableSpec) -> DataFrame:
+        table, written = self.table(spec), []
+        lines = output.as_csv_lines(table, spec, written)
+        self.study.own(table.sparkSession, *written)
+        return lines
+
     def csv_lines(self) -> dict[str, DataFrame]:
-        """All six as CSV lines."""
+        """All six as CSV lines, numbered at once."""
         self.compute()
-        return {spec.name: output.as_csv_lines(self.table(spec), spec) for spec in TABLES}
+        with ThreadPoolExecutor(len(TABLES)) as pool:
+            return dict(zip([spec.name for spec in TABLES], pool.map(self._csv_lines, TABLES)))
 
     def results(self) -> dict[str, DataFrame]:
         """What the site's output flags ask for: ordered tables, CSV lines, or both."""
@@ -113,13 +118,9 @@ class Report:
         """One CSV file per table in ``directory``, if the site asks for CSV; returns their paths."""
         if not self.study.cfg.output_as_csv:
             return []
-        self.compute()
-        siteid = self.study.cfg.siteid
+        siteid, lines = self.study.cfg.siteid, self.csv_lines()
         return [
-            output.write_report(
-                output.as_csv_lines(self.table(spec), spec), directory, output.file_name(spec, siteid)
-            )
-            for spec in TABLES
+            output.write_report(lines[spec.name], directory, output.file_name(spec, siteid)) for spec in TABLES
         ]
 
     def violations(self) -> DataFrame:
@@ -133,7 +134,8 @@ class Report:
 
 
 def run_report(
-    sources: Sources, maps: Maps, cfg: SiteConfig, positives: DataFrame | None = None
+    sources: Sources, maps: Maps, cfg: SiteConfig, positives: DataFrame | None = None,
+    buckets: int | None = None,
 ) -> Report:
-    """The report over a site's tables.  ``positives`` as in :class:`Study`."""
-    return Report(Study(sources, maps, cfg, positives))
+    """The report over a site's tables.  ``positives`` and ``buckets`` as in :class:`Study`."""
+    return Report(Study(sources, maps, cfg, positives, buckets))

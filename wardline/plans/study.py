@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.config import SiteConfig
-from wardline.operators import calendar, cohort as cohort_steps, death, severity
+from wardline.operators import calendar, cohort as cohort_steps, death, labs, severity
 from wardline.operators.scope import facts_of, report_facts
-from wardline.storage import fits_broadcast, remove, write_table
+from wardline.storage import fits_broadcast, remove, write_bucketed, write_table
 from wardline.sources.maps import Maps
 from wardline.sources.readers import Sources
 
@@ -22,16 +22,24 @@ class Study:
     A property runs its step when first read; the tables it writes stay until the study is
     closed (it is a context manager).  ``positives`` replaces the index events
     found through the code map, for sites that find them otherwise.
+
+    ``buckets`` keeps what has patients in it (admissions, cohort, facts, lab days) as catalog
+    tables bucketed by ``patient_num``: each is shuffled once, when written, and the joins
+    and aggregations by patient of all later steps need no shuffle.  That pays for cohorts
+    too large to broadcast; take as many buckets as tasks should share the patients.
     """
 
     def __init__(
-        self, sources: Sources, maps: Maps, cfg: SiteConfig, positives: DataFrame | None = None
+        self, sources: Sources, maps: Maps, cfg: SiteConfig, positives: DataFrame | None = None,
+        buckets: int | None = None,
     ) -> None:
         self.sources = sources
         self.maps = maps
         self.cfg = cfg
         self._positives = positives
+        self.buckets = buckets
         self._written: list[tuple[SparkSession, str]] = []
+        self._tables: list[tuple[SparkSession, str]] = []
 
     @cached_property
     def code_map(self) -> DataFrame:
@@ -58,12 +66,12 @@ class Study:
         stays = cohort_steps.admissions(
             self.sources.visits, self.index_events, self.code_map, self.cfg.as_of
         )
-        return self._write(stays, "admissions")
+        return self._by_patient(stays, "admissions")
 
     @cached_property
     def admitted(self) -> DataFrame:
         """The cohort before anyone is classified."""
-        return self._write(cohort_steps.cohort(self.index_events, self.admissions), "admitted")
+        return self._by_patient(cohort_steps.cohort(self.index_events, self.admissions), "admitted")
 
     @cached_property
     def first_admission(self) -> date | None:
@@ -81,7 +89,13 @@ class Study:
         usable = report_facts(
             facts, self.code_map, self.lab_map, self.med_map, self.cfg, self.first_admission
         )
-        return self._write(facts_of(usable, self.admitted), "facts", cluster_by="concept_cd")
+        return self._by_patient(facts_of(usable, self.admitted), "facts", cluster_by="concept_cd")
+
+    @cached_property
+    def lab_days(self) -> DataFrame:
+        """Mean lab values per patient and day, which only the lab table reads."""
+        days = labs.lab_days(self.facts, self.lab_map, self.cfg.lab_min_day, self.first_admission)
+        return self._by_patient(days, "lab_days") if self.buckets else days
 
     @cached_property
     def severe_cohort(self) -> DataFrame:
@@ -89,7 +103,7 @@ class Study:
         events = severity.severe_events(
             self.facts, self.admitted, self.lab_map, self.med_map, self.cfg, self.first_admission
         )
-        return self._write(severity.flag_severe(self.admitted, events), "severe_cohort")
+        return self._by_patient(severity.flag_severe(self.admitted, events), "severe_cohort")
 
     @cached_property
     def cohort(self) -> DataFrame:
@@ -107,7 +121,7 @@ class Study:
             if first is not None:
                 facts = facts.filter(F.col("start_date") >= F.lit(first))
                 dated = death.correct_death_by_last_fact(dated, facts)
-        return self._write(dated, "cohort")
+        return self._by_patient(dated, "cohort")
 
     @cached_property
     def dates(self) -> DataFrame:
@@ -125,11 +139,26 @@ class Study:
         self._written.append((df.sparkSession, path))
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
+    def own(self, spark: SparkSession, *paths: str) -> None:
+        """Tables that others have written for this study, to be removed with its own."""
+        self._written += [(spark, path) for path in paths]
+
+    def _by_patient(self, df: DataFrame, name: str, cluster_by: str | None = None) -> DataFrame:
+        if not self.buckets:
+            return self._write(df, name, cluster_by)
+        table, path = write_bucketed(df, name, "patient_num", self.buckets)
+        self._tables.append((df.sparkSession, table))
+        self._written.append((df.sparkSession, path))
+        return df.sparkSession.table(table)
+
     def _sized(self, table: DataFrame, name: str) -> DataFrame:
         return table if fits_broadcast(table) else self._write(table, name)
 
     def close(self) -> None:
         """Remove every table this study has written."""
+        while self._tables:
+            spark, table = self._tables.pop()
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
         while self._written:
             remove(*self._written.pop())
 

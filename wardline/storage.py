@@ -12,6 +12,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -47,6 +48,22 @@ def write_table(df: DataFrame, name: str, cluster_by: str | None = None) -> str:
     return path
 
 
+def write_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> tuple[str, str]:
+    """Write ``df`` as a catalog table bucketed and sorted by ``key``; return its name and path.
+
+    Joins and aggregations by ``key`` of tables with the same number of buckets need no
+    shuffle.  Rows are spread so that a bucket is written as one file; Spark splits the
+    writing of one that has grown too large, but each is read by one task, so rows of one
+    key should have been reduced before.
+    """
+    spark = df.sparkSession
+    unique = f"wardline_{name}_{uuid.uuid4().hex}"
+    path = f"{scratch_folder(spark)}/{unique}"
+    spread = df.hint("rebalance", buckets, F.col(key))
+    spread.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(unique)
+    return unique, path
+
+
 def materialize(df: DataFrame, name: str, cluster_by: str | None = None) -> DataFrame:
     """Write ``df`` and return it as read back."""
     path = write_table(df, name, cluster_by)
