@@ -20,12 +20,14 @@ from pyspark.sql import functions as F  # noqa: E402
 
 import oracle  # noqa: E402
 from wardline.operators import (  # noqa: E402
+    bloom,
     calendar,
     checks,
     cohort,
     death,
     demographics,
     expansion,
+    intervals,
     output,
     privacy,
     severity,
@@ -40,10 +42,11 @@ from wardline.operators.tables import (  # noqa: E402
     TABLES,
     TableSpec,
 )
+from wardline.plans.refresh import CohortState  # noqa: E402
 from wardline.plans.report import Report, raw_table  # noqa: E402
 from wardline.plans.study import Study  # noqa: E402
 from wardline.session import ship_package  # noqa: E402
-from wardline.sources import schemas, testdata  # noqa: E402
+from wardline.sources import schemas, scripts, testdata  # noqa: E402
 from wardline.sources.maps import Maps, local_rows  # noqa: E402
 from wardline.storage import scratch_folder  # noqa: E402
 
@@ -60,9 +63,9 @@ POSITIVE_CODES = ["LOINC:COVID19POS", "LOCAL:COVIDPOS2"]
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def study(spark: SparkSession, sf_dir: str, years_apart: bool = False, **settings) -> Study:
+def study(spark: SparkSession, sf_dir: str, years_apart: bool = False, buckets: int | None = None, **settings) -> Study:
     tables = testdata.sources(spark, sf_dir, years_apart)
-    return Study(tables, testdata.maps(spark, tables.concepts), testdata.config(**settings))
+    return Study(tables, testdata.maps(spark, tables.concepts), testdata.config(**settings), buckets=buckets)
 
 
 def _over_study(step: Callable[[Study], DataFrame], **settings) -> Query:
@@ -139,6 +142,56 @@ def _report_files(s: Study) -> DataFrame:
     return lines.select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("line"))
 
 
+def _cohort_facts(s: Study) -> DataFrame:
+    """All facts of the cohort, most others dropped by a Bloom filter at the scan."""
+    keys = s.admitted.select("patient_num")
+    held = bloom.bloom_filter(keys, "patient_num")
+    near = s.sources.facts.filter(held.may_hold(F.col("patient_num")))
+    day = F.to_date("start_date").alias("day")
+    return near.join(keys, "patient_num", "left_semi").select("patient_num", "concept_cd", day, "nval_num")
+
+
+def _cohort_refreshed(s: Study) -> DataFrame:
+    """The cohort from state that three deliveries were folded into, one of them twice."""
+    state = CohortState(s.sources.facts.sparkSession, parts=8)
+    day = F.to_date("start_date")
+    deliveries = [
+        (day < F.lit("2020-03-01")) & (F.col("patient_num") % 7 != 3),
+        day >= F.lit("2020-03-01"),
+        (day < F.lit("2020-03-01")) & (F.col("patient_num") % 7 == 3),
+    ]
+    for new in [*deliveries, deliveries[1]]:
+        state.fold(s.sources.facts.filter(new), s.sources.visits.filter(new), s.maps, s.cfg)
+    return state.cohort(s.sources.patients, s.cfg)
+
+
+def _script_of_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lab map with a row per part, written as a script of INSERT statements and read back."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+
+    def quoted(column) -> F.Column:
+        return F.concat(F.lit("'"), F.replace(column, F.lit("'"), F.lit("''")), F.lit("'"))
+
+    name = F.concat(F.lit("it's a part; (or "), F.col("p_type"), F.lit("), no'ne"))
+    values = F.concat_ws(
+        ",", quoted(F.col("p_brand")), quoted(F.concat(F.lit("PART:"), F.col("p_partkey").cast("string"))),
+        (F.col("p_size") / 2).cast("string"), F.lit("null"), quoted(name),
+    )
+    statement = F.concat(
+        F.lit("Insert into COVID_LAB_MAP (LOINC,LOCAL_LAB_CODE,SCALE_FACTOR,LAB_UNITS,LAB_NAME) values ("), values, F.lit(");")
+    )
+    lines = part.select(F.explode(F.array(F.lit("-- a part"), statement, F.lit(""), F.lit("commit;"))).alias("value"))
+    folder = f"{scratch_folder(spark)}/script-{uuid.uuid4().hex}"
+    lines.write.text(folder)
+    return scripts.read_inserts(spark, folder, "covid_lab_map", schemas.LAB_MAP)
+
+
+def _csv_of_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The map of all parts as numbered CSV lines."""
+    codes = _codes_of_parts(spark, sf_dir)
+    return output.csv_lines(codes, ["code", "local_code"], [F.col("local_code").desc()])
+
+
 def _expand_meds(s: Study) -> DataFrame:
     return expansion.expand_med_map(
         s.med_map, s.sources.concepts, s.sources.facts, testdata.MEDICATION_ROOT
@@ -275,6 +328,14 @@ def queries() -> dict[str, Query]:
         "expand_lab_map_brands": _expand_brands,
         "expand_med_map_brands": _expand_brand_meds,
         "codes_under_path_parts": _codes_of_parts,
+        "labs_bucketed": _over_study(_raw(LABS), buckets=8),
+        "cohort_facts": _over_study(_cohort_facts),
+        "cohort_refreshed": _over_study(_cohort_refreshed),
+        "inpatients_by_date": _over_study(
+            lambda s: intervals.inpatients_by_date(s.dates, s.admissions, s.severe_cohort)
+        ),
+        "maps_from_script": _script_of_parts,
+        "csv_codes_under_path_parts": _csv_of_parts,
         "report_files": _over_study(_report_files),
         "expand_med_map": _over_study(_expand_meds),
         "suppressed_demographics": _over_study(
