@@ -54,7 +54,11 @@ def test_folded_weights_equal_the_sum_over_landmarks():
     model = op11.machine(positive, negative, landmarks, codes)
     tried = ["blockhead", "b.lock-head", "dim wit", "clock", "ahead", "", "x", "1234"]
     k = op11.kernel([op11.marked(w) for w in tried], [op11.marked(m) for m in landmarks], codes)
-    alphas = np.linalg.lstsq(np.array([op11.subsequences(op11.marked(m), codes) for m in landmarks]).T, model.weights, rcond=None)[0]
+    space = np.zeros((len(model.weights), len(landmarks)))
+    for column, mark in zip(space.T, landmarks):
+        used, weights = op11.subsequences(op11.marked(mark), codes)
+        column[used] = weights
+    alphas = np.linalg.lstsq(space, model.weights, rcond=None)[0]
     assert model.values(tried) == pytest.approx(k @ alphas + model.offset, abs=1e-6)
 
 

@@ -69,6 +69,7 @@ _OTHER = ALPHABET + 3
 _BASE = ALPHABET + 4
 _KNOWN = 500_000  # windows whose values a task keeps
 _AT_ONCE = 1 << 16
+_ROWS_AT_ONCE = 1 << 10  # where each has a value per landmark
 
 SENTENCE_END = re.compile(r"(?<=[.!?])\s+|\n+")
 
@@ -117,36 +118,43 @@ def evaluate(strings: list[str], codes: np.ndarray, weights: np.ndarray) -> np.n
     return np.concatenate(found)
 
 
-def subsequences(string: str, codes: np.ndarray) -> np.ndarray:
-    """A string's place in the kernel's space: the weight of every subsequence, divided by its length.
+def subsequences(string: str, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A string's place in the kernel's space: its subsequences as numbers, and their weights divided by its length.
 
     Letters beyond the alphabet match nothing, so subsequences with one only add to the length.
     """
-    found, length = np.zeros(_BASE**3), 0.0
+    seen, weights, length = [np.zeros(0, np.int32)], [np.zeros(0)], 0.0
     for _, code, decay in occurrences([string], codes):
-        known = (code % _BASE != _OTHER) & (code // _BASE % _BASE != _OTHER) & (code // (_BASE * _BASE) != _OTHER)
-        np.add.at(found, code[known], decay)
         length += decay * decay * len(code)
-    return found / np.sqrt(length) if length else found
+        known = (code % _BASE != _OTHER) & (code // _BASE % _BASE != _OTHER) & (code // (_BASE * _BASE) != _OTHER)
+        seen.append(code[known])
+        weights.append(np.full(known.sum(), decay))
+    used, place = np.unique(np.concatenate(seen), return_inverse=True)
+    return used, np.bincount(place, np.concatenate(weights), len(used)) / math.sqrt(length or 1.0)
 
 
 def kernel(strings: list[str], landmarks: list[str], codes: np.ndarray) -> np.ndarray:
     """Kernels of strings (rows) with landmarks (columns)."""
     marks = [subsequences(mark, codes) for mark in landmarks]
-    used = np.flatnonzero(np.any(marks, axis=0))
-    place = np.zeros(_BASE**3, np.int64)
+    used = np.unique(np.concatenate([u for u, _ in marks]))
+    place = np.zeros(_BASE**3, np.int32)
     place[used] = np.arange(1, len(used) + 1)
     table = np.zeros((len(used) + 1, len(marks)))
-    table[1:] = np.array(marks)[:, used].T
-    found, length = np.zeros((len(strings), len(marks))), np.zeros(len(strings))
-    for owner, code, decay in occurrences(strings, codes):
-        length += decay * decay * np.bincount(owner, minlength=len(strings))
-        at = place[code]
-        owner, at = owner[at > 0], at[at > 0]
-        if len(owner):
-            first = np.flatnonzero(np.diff(owner, prepend=-1))
-            found[owner[first]] += decay * np.add.reduceat(table[at], first, axis=0)
-    return found / np.sqrt(np.maximum(length, 1e-300))[:, None]
+    for k, (u, weights) in enumerate(marks):
+        table[place[u], k] = weights
+    parts = [np.zeros((0, len(marks)))]
+    for lo in range(0, len(strings), _ROWS_AT_ONCE):
+        part = strings[lo : lo + _ROWS_AT_ONCE]
+        found, length = np.zeros((len(part), len(marks))), np.zeros(len(part))
+        for owner, code, decay in occurrences(part, codes):
+            length += decay * decay * np.bincount(owner, minlength=len(part))
+            at = place[code]
+            owner, at = owner[at > 0], at[at > 0]
+            if len(owner):
+                first = np.flatnonzero(np.diff(owner, prepend=-1))
+                found[owner[first]] += decay * np.add.reduceat(table[at], first, axis=0)
+        parts.append(found / np.sqrt(np.maximum(length, 1e-300))[:, None])
+    return np.concatenate(parts)
 
 
 def pieces(window: str) -> list[str]:
@@ -264,7 +272,10 @@ def machine(positive: dict[str, int], negative: dict[str, int], landmarks: list[
     to_features = vectors[:, used] / np.sqrt(own[used])
     w = solve(kernel([marked(s) for s in strings], marks, codes) @ to_features, signs, weights, cost)
     alphas = to_features @ w[:-1]
-    folded = sum(a * subsequences(mark, codes) for a, mark in zip(alphas, marks))
+    folded = np.zeros(_BASE**3)
+    for alpha, mark in zip(alphas, marks):
+        used, place = subsequences(mark, codes)
+        folded[used] += alpha * place
     return Model(codes, folded, float(w[-1]))
 
 
