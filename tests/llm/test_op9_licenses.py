@@ -1,5 +1,7 @@
 import random
 import re
+import tempfile
+import time
 
 import pytest
 
@@ -118,3 +120,30 @@ def test_query_over_the_smallest_tables(spark):
 def test_misspelt_notices_beside_exact_ones_keep_their_spans(text, want):
     spans = op9.Scanner().fuzzy(f" {text} ")
     assert sorted((s.first, s.last) for s in spans if s.label == "gpl") == want
+
+
+def test_time_grows_with_the_notices_of_one_text():
+    scanner, took = op9.Scanner(), {}
+    for n in (2_000, 16_000):
+        text = " ".join(["some code under the mit license and gnu generl public license"] * (n // 2))
+        began = time.process_time()
+        found = scanner.scan(text)
+        took[n] = time.process_time() - began
+        assert found[1] == n // 2 and len(found[-1].split(",")) >= n // 2
+    assert took[16_000] < 24 * max(took[2_000], 0.02)
+
+
+def test_notices_from_a_file(spark, docs):
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    texts = [prose(f"notice{k}", 6) for k in range(100)]
+    with open(f"{folder}/notices.csv", "w") as f:
+        f.write("label,text,edits\n" + "".join(f"n{k},{t.title()}!,2\n" for k, t in enumerate(texts)))
+    notices = op9.read_notices(spark, folder)
+    assert len(notices) == 100 and {n.text for n in notices} == set(texts)
+    rows = [(k, f"{prose(f'b{k}', 20)} {misspelt(t, k, 2)} {prose(f'a{k}', 20)}") for k, t in enumerate(texts)]
+    got = {r.doc_id: r.labels for r in op9.license_scan(docs(rows), notices).collect()}
+    assert all(f"n{k}" in got[k].split(",") for k in range(100))
+    with open(f"{folder}/notices.csv", "w") as f:
+        f.write("label,text,edits\nx,abc,3\n")
+    with pytest.raises(ValueError, match="not a notice"):
+        op9.read_notices(spark, folder)

@@ -13,7 +13,7 @@ ones too.  Columns other than ``doc_id`` and ``text`` are ignored.
 
 from __future__ import annotations
 
-from bisect import bisect
+from bisect import bisect, bisect_left
 from collections.abc import Iterator
 from functools import cached_property
 from typing import NamedTuple
@@ -21,10 +21,12 @@ from typing import NamedTuple
 import ahocorasick
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardline.llm.words import in_batches
+from wardline.sources.readers import strict_csv
 
 # Phrases whose exact places are counted, and their labels.
 PHRASES = {
@@ -81,6 +83,31 @@ class Span(NamedTuple):
     likeness: float
 
 
+def spaces_of(joined: bytes | str) -> list[int]:
+    """Places of the spaces in a text, so that words are numbered without counting from its beginning each time."""
+    space = b" " if isinstance(joined, bytes) else " "
+    found, at = [], joined.find(space)
+    while at >= 0:
+        found.append(at)
+        at = joined.find(space, at + 1)
+    return found
+
+
+def read_notices(spark: SparkSession, path: str) -> tuple[Notice, ...]:
+    """Notices from a CSV file with header ``label,text,edits``, their words as texts are normalised.
+
+    The file is a parameter of a scan, held whole by every task.  A notice must be longer than its edits allow to change.
+    """
+    schema = T.StructType([T.StructField("label", T.StringType()), T.StructField("text", T.StringType()), T.StructField("edits", T.IntegerType())])
+    found = []
+    for row in strict_csv(spark, path, schema).collect():
+        text = b" ".join(normal_words(row["text"])).decode()
+        if not row["label"] or row["edits"] is None or not 0 <= row["edits"] < len(text):
+            raise ValueError(f"not a notice: {row}")
+        found.append(Notice(row["label"], text, row["edits"]))
+    return tuple(found)
+
+
 class Scanner:
     """The automaton of pieces and the bounded-error patterns of all notices."""
 
@@ -109,13 +136,14 @@ class Scanner:
 
     def base(self, joined: bytes) -> list[tuple[int, str]]:
         """(first word, label) of every exact place; ``joined`` has a space before and after every word."""
-        found = []
+        places = []
         for phrase, label in self.phrases.items():
             at = joined.find(phrase)
             while at >= 0:
-                found.append((joined.count(b" ", 0, at), label))
+                places.append((at, label))
                 at = joined.find(phrase, at + 1)
-        return found
+        spaces = spaces_of(joined) if places else []
+        return [(bisect_left(spaces, at), label) for at, label in places]
 
     def fuzzy(self, joined: str) -> list[Span]:
         """Notices within their edits: the best match around every piece, without those that overlap a better one."""
@@ -127,7 +155,7 @@ class Scanner:
                 lo = max(0, start - offset - notice.edits)
                 hi = min(len(joined), start - offset + len(notice.text) + notice.edits)
                 windows.setdefault(k, set()).add((lo, hi))
-        found = []
+        found, spaces = [], spaces_of(joined) if windows else []
         for k, mine in windows.items():
             notice = self.notices[k]
             matches = set()
@@ -143,8 +171,8 @@ class Scanner:
                 if (at and taken[at - 1][1] > start) or (at < len(taken) and taken[at][0] < end):
                     continue
                 taken.insert(at, (start, end))
-                first = joined.count(" ", 0, start) - 1
-                found.append(Span(notice.label, first, first + joined.count(" ", start, end) + 1, 1 - edits / len(notice.text)))
+                first, last = bisect_left(spaces, start) - 1, bisect_left(spaces, end)
+                found.append(Span(notice.label, first, last, 1 - edits / len(notice.text)))
         return found
 
     def scan(self, text: str | None) -> tuple:
