@@ -148,6 +148,19 @@ def test_counts_of_no_files(spark):
     assert _counts(spark, {}, 4) == []
 
 
+def test_ids_that_do_not_fit_are_refused(spark, docs):
+    def encoder():
+        return lambda texts: [np.array([70_000], np.uint32) for _ in texts]
+
+    with pytest.raises(Exception, match="70000 of document 1 does not fit"):
+        op6.write_flat(docs([(1, "a")]), queries.fresh_folder(spark, "t"), encoder, 7)
+    with pytest.raises(Exception, match="does not fit"):
+        op6.write_flat(docs([(1, "a")]), queries.fresh_folder(spark, "t"), lambda: lambda texts: [np.array([1], np.uint32)], 1 << 20)
+    path = queries.fresh_folder(spark, "t")
+    op6.write_flat(docs([(1, "a")]), path, encoder, 7, "<u4")
+    assert op6.find_separators(op6.read_flat(spark, path), 7, "<u4").first().separators == [1]
+
+
 def test_binary_files(spark):
     folder = tempfile.mkdtemp(prefix="flat-")
     ids = np.array([3, 4, 7, 5, 7, 9], "<u4")

@@ -42,11 +42,11 @@ def write_flat(
     """Encode ``docs`` (doc_id, text) to flat files, one per task, in the order they come.
 
     Texts stay where they are read.  ``doc_ids`` of a block lists the documents that begin in it or after the block before;
-    the scan does not read them.
+    the scan does not read them.  An id that ``kind`` cannot hold fails the job: cut short, it could pass for a separator.
     """
 
     def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, file = encoder(), f"{TaskContext.get().partitionId():08d}"
+        encode, file, most = encoder(), f"{TaskContext.get().partitionId():08d}", np.iinfo(kind).max
         held, size, block, begun = [], 0, 0, []
 
         def row(ids: np.ndarray) -> pa.RecordBatch:
@@ -57,6 +57,8 @@ def write_flat(
         for batch in batches:
             for doc_id, ids in encoded(batch, encode):
                 ids = np.append(ids, np.uint32(separator))
+                if ids.max() > most:
+                    raise ValueError(f"id {ids.max()} of document {doc_id} does not fit {kind}")
                 begun.append(doc_id)
                 held.append(ids)
                 size += len(ids)
