@@ -70,18 +70,36 @@ def route(
 ) -> dict[tuple[Source, ...], dict[Source, float]]:
     """Words each pattern gives to each of its sources at least cost.
 
-    Copy k of a pattern's words costs k - 1, so cost is convex in repetition.  Successive
-    shortest paths over a graph of patterns and sources.
+    Copy k of a pattern's words costs k - 1, so cost is convex in repetition.  Patterns that
+    share no source, directly or through others, are flows of their own.
     """
-    alone = {p: {p[0]: min(wanted[p[0]], float(most * n))} for p, n in patterns.items() if len(p) == 1}
-    shared = {s for p in patterns if len(p) > 1 for s in p}
-    open_ = [p for p in patterns if len(p) > 1 or p[0] in shared]
-    found = {p: f for p, f in alone.items() if p[0] not in shared}
-    if not open_:
-        return found
-    sources = sorted({s for p in open_ for s in p}, key=lambda s: (s is None, s))
-    at = {("p", p): 1 + i for i, p in enumerate(open_)}
-    at |= {("s", s): 1 + len(open_) + i for i, s in enumerate(sources)}
+    above: dict[Source, Source] = {}
+
+    def top(s: Source) -> Source:
+        while above.setdefault(s, s) != s:
+            above[s] = above[above[s]]
+            s = above[s]
+        return s
+
+    for p in patterns:
+        for s in p[1:]:
+            above[top(s)] = top(p[0])
+    networks = defaultdict(list)
+    for p in patterns:
+        networks[top(p[0])].append(p)
+    found = {}
+    for connected in networks.values():
+        found |= _cheapest_flow({p: patterns[p] for p in connected}, wanted, most)
+    return found
+
+
+def _cheapest_flow(
+    patterns: dict[tuple[Source, ...], int], wanted: dict[Source, float], most: int
+) -> dict[tuple[Source, ...], dict[Source, float]]:
+    """Successive shortest paths over a graph of patterns and sources."""
+    sources = sorted({s for p in patterns for s in p}, key=lambda s: (s is None, s))
+    at = {("p", p): 1 + i for i, p in enumerate(patterns)}
+    at |= {("s", s): 1 + len(patterns) + i for i, s in enumerate(sources)}
     end = 1 + len(at)
     graph: list[list[list]] = [[] for _ in range(end + 1)]
 
@@ -89,7 +107,7 @@ def route(
         graph[a].append([b, room, cost, len(graph[b])])
         graph[b].append([a, 0.0, -cost, len(graph[a]) - 1])
 
-    for p in open_:
+    for p in patterns:
         for copy in range(most):
             join(0, at["p", p], float(patterns[p]), copy)
         for s in p:
@@ -115,14 +133,8 @@ def route(
             b, _, _, back = graph[a][i]
             graph[a][i][1] -= amount
             graph[b][back][1] += amount
-    for p in open_:
-        sent = {}
-        for b, _, cost_, back in graph[at["p", p]]:
-            for s in p:
-                if b == at["s", s]:
-                    sent[s] = graph[b][back][1]
-        found[p] = sent
-    return found
+    place = {node: s for (kind, s), node in at.items() if kind == "s"}
+    return {p: {place[b]: graph[b][back][1] for b, _, _, back in graph[at["p", p]] if b in place} for p in patterns}
 
 
 class Point(NamedTuple):
