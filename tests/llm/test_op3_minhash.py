@@ -127,6 +127,19 @@ def test_early_shingles_lead_to_every_pair(spark):
                     assert (b, a) in got
 
 
+def test_members_of_one_label_never_meet(spark):
+    """Joins after the first carry both labels in their keys, so a finished group costs what others ask of it."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**40, 50).tolist()
+    sets = [(k, sorted({*base, *rng.integers(0, 2**40, 1).tolist()})) for k in range(80)]
+    df = spark.createDataFrame([(k, len(s), s) for k, s in sets], "rep long, n_shingles long, shingles array<long>")
+    found = op3._by_rare_shingles(df.selectExpr("rep", "IF(rep < 70, 0, rep) AS label"), df, 85)
+    assert {tuple(r) for r in found.collect()} == {(b, a) for b in range(70, 80) for a in range(b)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.split("\n") if "Join Inner" in line]
+    assert len(joins) == 3 and sum("la#" in j or "label#" in j for j in joins) == 3
+
+
 def test_one_of_each_group_stays(docs):
     text = prose(1, 60)
     rows = [(3, text), (1, text), (2, prose(2, 60)), (2, prose(2, 60)), (None, text), (4, None)]

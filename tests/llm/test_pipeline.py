@@ -2,6 +2,7 @@ from collections import Counter
 
 import corpus_pipeline
 from wardline.llm import op3_minhash_dedup, op4_language_id, queries
+from wardline.storage import file_system, scratch_folder
 
 from .conftest import odd_rows, prose
 from .test_op2_decontamination import plain as plain_leaks
@@ -49,6 +50,17 @@ def test_each_stage_against_plain_python(spark):
     assert _plain(packed) == want
 
 
+def test_a_run_leaves_its_result_and_the_token_files(spark):
+    files, where = file_system(spark, scratch_folder(spark))
+
+    def folders():
+        return {f.getPath().getName() for f in files.listStatus(where)} if files.exists(where) else set()
+
+    before = folders()
+    out = corpus_pipeline.run(spark, SF)
+    assert {name.split("-")[0] for name in folders() - before} == {"token_shards", "tokens"} and out.count() > 20
+
+
 def test_run_and_odd_rows(spark, docs):
     out = corpus_pipeline.run(spark, SF)
     assert out.columns[:4] == ["doc_id", "start", "n_tokens", "ids_crc32"] and out.count() > 20

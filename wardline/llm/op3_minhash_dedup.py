@@ -220,9 +220,10 @@ def _by_rare_shingles(members: DataFrame, sets: DataFrame, percent: int) -> Data
     sought = ranked.withColumns({"least": least, "most": most}).filter("least <= most")
     sought = sought.withColumn("range", F.explode(F.sequence(_size_range(F.col("least")), _size_range(F.col("most")))))
     enough = (1 + F.least(F.col("m") - F.col("q"), n - p)) * (100 + percent) >= percent * (F.col("m") + n)
-    met = sought.join(kept, ["key", "range"]).filter(
-        (F.col("m") <= n) & (F.col("la") != F.col("label")) & enough
-    )
+    # Labels meet first, so that members of one label, however many, never meet each other.
+    here, there = kept.select("key", "range", "la").distinct(), sought.select("key", "range", "label").distinct()
+    apart = there.join(here, ["key", "range"]).filter(F.col("la") != F.col("label"))
+    met = sought.join(apart, ["key", "range", "label"]).join(kept, ["key", "range", "la"]).filter((F.col("m") <= n) & enough)
     return met.select(F.greatest("a", "rep").alias("u"), F.least("a", "rep").alias("v")).distinct()
 
 
