@@ -10,11 +10,28 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
+@contextmanager
+def tables_written() -> Iterator[list[str]]:
+    """Collects the paths of the tables written inside, for the owner to remove."""
+    found: list[str] = []
+    token = _written.set(found)
+    try:
+        yield found
+    finally:
+        _written.reset(token)
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """This application's folder below the shared checkpoint folder.
 
@@ -42,6 +59,8 @@ def write_table(df: DataFrame, name: str, cluster_by: str | None = None) -> str:
     """
     spark = df.sparkSession
     path = f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if (found := _written.get()) is not None:
+        found.append(path)
     if cluster_by:
         df = df.hint("rebalance", cluster_by).sortWithinPartitions(cluster_by)
     df.write.parquet(path)
