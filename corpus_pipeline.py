@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wardline.llm import op2_decontamination, op3_minhash_dedup, op4_language_id, op10_source_mix, queries
-from wardline.storage import materialize
+from wardline.storage import remove, tables_written, write_table
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,10 +52,21 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = queries.documents(spark, sf_dir)
+    """All stages over ``documents``.
+
+    What a stage writes for itself is removed when its result has been written, and its
+    input when the next one has; the result and the packed token files stay.
+    """
+    docs, held = queries.documents(spark, sf_dir), []
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        with tables_written() as tables:
+            found = stage(spark, docs, sf_dir)
+            path = write_table(found, name)
+        docs = spark.read.schema(found.schema).parquet(path)
+        for table in [*held, *tables]:
+            if table != path:
+                remove(spark, table)
+        held = [path]
     return docs
 
 
