@@ -7,10 +7,12 @@ in plain SQL.
 
 from __future__ import annotations
 
+import logging
 import os
 import sys
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -28,6 +30,7 @@ from wardline.operators import (  # noqa: E402
     demographics,
     expansion,
     intervals,
+    labs,
     output,
     privacy,
     severity,
@@ -46,16 +49,17 @@ from wardline.plans.refresh import CohortState  # noqa: E402
 from wardline.plans.report import Report, raw_table  # noqa: E402
 from wardline.plans.study import Study  # noqa: E402
 from wardline.session import ship_package  # noqa: E402
-from wardline.sources import schemas, scripts, testdata  # noqa: E402
+from wardline.plans.views import SqlNames  # noqa: E402
+from wardline.sources import collation, layout, schemas, scripts, testdata  # noqa: E402
 from wardline.sources.maps import Maps, local_rows  # noqa: E402
+from wardline.sources.readers import Sources  # noqa: E402
 from wardline.storage import scratch_folder  # noqa: E402
 
 try:  # the training-data operators and their pipeline can be left out of an installation
     import corpus_pipeline  # noqa: E402
     import wardline.llm.queries as llm  # noqa: E402
-except ModuleNotFoundError as error:
-    if error.name not in ("corpus_pipeline", "wardline.llm", "wardline.llm.queries"):
-        raise
+except ImportError as error:  # the operators, or a package that only they need
+    logging.getLogger(__name__).warning("without training-data queries: %s", error)
     llm = None
 
 POSITIVE_CODES = ["LOINC:COVID19POS", "LOCAL:COVIDPOS2"]
@@ -91,7 +95,7 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 def _attrs(s: Study) -> DataFrame:
     return demographics.demographics_attrs(
-        s.admitted, s.sources.patients, s.facts, s.code_map, s.cfg
+        s.admitted, s.sources.patients, s.usable_facts, s.code_map, s.cfg
     )
 
 
@@ -186,6 +190,37 @@ def _script_of_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scripts.read_inserts(spark, folder, "covid_lab_map", schemas.LAB_MAP)
 
 
+def _cohort_any_case(s: Study) -> DataFrame:
+    """The cohort over codes in changed case and with trailing blanks, compared as most databases do."""
+    def respelled(column: str, by: str) -> F.Column:
+        changed = F.when(F.hash(by) % 2 == 0, F.lower(column)).otherwise(F.col(column))
+        return F.when(F.hash(by) % 3 == 0, F.concat(changed, F.lit("  "))).otherwise(changed).alias(column)
+
+    facts = s.sources.facts.withColumn("concept_cd", respelled("concept_cd", "start_date"))
+    visits = s.sources.visits.withColumn("inout_cd", respelled("inout_cd", "start_date"))
+    spelled = Sources(facts, visits, s.sources.patients, s.sources.concepts)
+    cfg = replace(s.cfg, code_collation=collation.ANY_CASE)
+    return Study(spelled, s.maps, cfg).admitted
+
+
+def _index_events_sql(s: Study) -> DataFrame:
+    """Index events by result, asked for in SQL alone."""
+    with SqlNames(s, prefix=f"q{uuid.uuid4().hex}_") as names:
+        prefix = names.prefix
+        codes = ", ".join(f"'{c}'" for c in POSITIVE_CODES)
+        return names.sql(f"SELECT * FROM {prefix}index_events_by_result(array({codes}), 'Positive')")
+
+
+def _labs_by_month(s: Study) -> DataFrame:
+    """Labs from facts stored by month."""
+    spark = s.sources.facts.sparkSession
+    folder = f"{scratch_folder(spark)}/months-{uuid.uuid4().hex}"
+    layout.write_facts_by_month(s.sources.facts, folder)
+    facts = layout.read_facts_by_month(spark, folder)
+    found = labs.labs(facts, s.severe_cohort, s.lab_map, s.cfg.lab_min_day, s.first_admission)
+    return _rounded(found.select(*LABS.columns))
+
+
 def _csv_of_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The map of all parts as numbered CSV lines."""
     codes = _codes_of_parts(spark, sf_dir)
@@ -300,7 +335,7 @@ def queries() -> dict[str, Query]:
         "cohort": _over_study(lambda s: cohort.cohort(s.index_events, s.admissions)),
         "cohort_by_result": _over_study(_cohort_by_result),
         "severe_events": _over_study(
-            lambda s: severity.severe_events(s.facts, s.admitted, s.lab_map, s.med_map, s.cfg, s.first_admission)
+            lambda s: severity.severe_events(s.usable_facts, s.admitted, s.lab_map, s.med_map, s.cfg, s.first_admission)
         ),
         "cohort_severe": _over_study(lambda s: s.severe_cohort),
         "cohort_death": _over_study(
@@ -334,6 +369,9 @@ def queries() -> dict[str, Query]:
         "inpatients_by_date": _over_study(
             lambda s: intervals.inpatients_by_date(s.dates, s.admissions, s.severe_cohort)
         ),
+        "cohort_any_case": _over_study(_cohort_any_case),
+        "index_events_sql": _over_study(_index_events_sql),
+        "labs_by_month": _over_study(_labs_by_month),
         "maps_from_script": _script_of_parts,
         "csv_codes_under_path_parts": _csv_of_parts,
         "report_files": _over_study(_report_files),

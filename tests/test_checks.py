@@ -38,6 +38,24 @@ def test_clean_tables_give_no_rows(make):
     assert rows(checks.check_rules(code_map, "code_map", checks.MAP_RULES["code_map"])) == []
 
 
+def test_all_rules_of_a_table_share_one_shuffle(spark):
+    df = spark.createDataFrame([(1, "a", "x"), (1, "b", None), (2, "a", "xxx"), (2, "a", "x")], "k long, g string, v string")
+    rules = [checks.unique("k"), checks.unique("k", "g"), checks.unique("g", "v"), checks.not_null("v"), checks.max_length("v", 2)]
+    found = checks.check_rules(df, "t", rules)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Scan") == 1
+    assert rows(found, "rule", "column_names", "value", "n_rows") == [
+        ("max_length(2)", "v", "xxx", 1), ("not_null", "v", None, 1), ("unique", "g,v", "a|x", 2),
+        ("unique", "k", "1", 2), ("unique", "k", "2", 2), ("unique", "k,g", "2|a", 2),
+    ]
+    assert rows(checks.check_rules(df, "t", [])) == []
+
+
+def test_keys_that_look_alike_are_told_apart(spark):
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("null", "x"), (None, "x")], "x string, y string")
+    assert rows(checks.check_rules(df, "t", [checks.unique("x", "y")])) == []
+
+
 def test_null_parts_of_a_key_are_shown(spark):
     df = spark.createDataFrame([(None, "a"), (None, "a"), ("a", None), ("a", None)], "x string, y string")
     found = checks.check_rules(df, "t", [checks.unique("x", "y")])

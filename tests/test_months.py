@@ -1,0 +1,77 @@
+import re
+from datetime import date
+
+from conftest import SMALL, rows, settings
+
+import __spark_entry__ as entry
+from wardline.operators import death, history, labs, severity
+from wardline.operators.scope import MONTH, since
+from wardline.sources import layout, schemas
+from wardline.storage import scratch_folder
+
+
+def folder(spark, facts):
+    import uuid
+
+    path = f"{scratch_folder(spark)}/months-{uuid.uuid4().hex}"
+    layout.write_facts_by_month(facts, path)
+    return path
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_months_before_the_first_day_are_not_opened(spark):
+    with entry.study(spark, SMALL) as s:
+        facts = layout.read_facts_by_month(spark, folder(spark, s.sources.facts))
+        first = date(2020, 3, 5)
+        steps = {
+            "labs": (lambda f: labs.labs(f, s.severe_cohort, s.lab_map, 0, first), 202003),
+            "severe": (lambda f: severity.severe_events(f, s.admitted, s.lab_map, s.med_map, s.cfg, first), 202003),
+            "diagnoses": (lambda f: history.diagnoses(f, s.severe_cohort, s.cfg, first), 201903),
+            "medications": (lambda f: history.medications(f, s.severe_cohort, s.med_map, first), 201903),
+        }
+        for name, (step, month) in steps.items():
+            found = re.findall(r"PartitionFilters: \[(.*?)\], P", plan(step(facts)))
+            assert any(f"{MONTH}" in f and f">= {month}" in f for f in found), (name, found)
+            assert rows(step(facts)) == rows(step(s.sources.facts)), name
+        opened = since(facts, first, 0).select("_metadata.file_path").distinct().collect()
+        assert opened and all(int(re.search(rf"{MONTH}=(\d+)", r[0])[1]) >= 202003 for r in opened)
+
+
+def test_every_fact_comes_back(spark, make):
+    facts = make.facts((1, "B", "2019-12-31T23:59:59"), (1, "A", "2020-01-01"), (2, "C", "2020-01-31", 1.5, "x"))
+    undated = spark.createDataFrame([(3, "D", None, None, None)], schemas.OBSERVATION_FACT)
+    path = folder(spark, facts.unionByName(undated))
+    back = layout.read_facts_by_month(spark, path)
+    assert rows(back.drop(MONTH)) == rows(facts.unionByName(undated))
+    assert rows(back, "patient_num", MONTH) == [(1, 201912), (1, 202001), (2, 202001), (3, None)]
+    layout.write_facts_by_month(make.facts((4, "E", "2020-02-01")), path, "append")
+    assert layout.read_facts_by_month(spark, path).count() == 5
+    assert since(back, None, 0) is back
+
+
+def test_a_month_is_sorted_by_concept(spark):
+    facts = spark.range(4000).selectExpr(
+        "id AS patient_num", "concat('C', lpad(id * 7919 % 4000, 4, '0')) AS concept_cd",
+        "timestamp_ntz'2020-01-01' + make_dt_interval(id % 60) AS start_date", "1.0 AS nval_num", "'x' AS tval_char",
+    ).repartition(6)
+    back = layout.read_facts_by_month(spark, folder(spark, facts))
+    files = [r[0] for r in back.select("_metadata.file_path").distinct().collect()]
+    assert len(files) == 2
+    for f in files:
+        codes = [r[0] for r in spark.read.parquet(f).select("concept_cd").collect()]
+        assert codes == sorted(codes)
+
+
+def test_a_study_reads_months(spark):
+    with entry.study(spark, SMALL) as s:
+        from wardline.plans.study import Study
+        from wardline.sources.readers import Sources
+
+        facts = layout.read_facts_by_month(spark, folder(spark, s.sources.facts))
+        with Study(Sources(facts, s.sources.visits, s.sources.patients, s.sources.concepts), s.maps, s.cfg) as monthly:
+            assert rows(monthly.cohort) == rows(s.cohort) and rows(monthly.facts) == rows(s.facts)
+        dead = s.severe_cohort
+        assert settings() and death.death_dates(dead, s.sources.patients).count() == dead.count()

@@ -48,6 +48,7 @@ class SiteConfig:
     lab_min_day: int = 0
     dedupe_race: bool = False
     protect_sentinels: bool = False
+    code_collation: str = ""  # how codes are compared; exactly, if empty (see sources.collation)
     # Whoever knows the salt can undo the noise, so the default is a fresh secret.
     blur_salt: str = field(default_factory=lambda: secrets.token_hex(16), repr=False)
 

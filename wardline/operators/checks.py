@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -117,44 +115,33 @@ def check_rules(df: DataFrame, table: str, rules: list[Rule]) -> DataFrame:
     """Violations: (table_name, rule, column_names, value, n_rows), empty when all hold.
 
     ``value`` is the repeated key (its missing parts as ``null``), or the value that breaks
-    a rule (null for a missing one).  Rules about single values share one pass; each key is grouped on its own.
+    a rule (null for a missing one).  One pass and one shuffle check all rules: each row
+    gives its keys, and the values that break a rule, under the rule's number, and all are
+    counted together, in each task first.
     """
-
-    def text(columns: tuple[str, ...]) -> Column:
-        return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in columns])
-
-    names = ("table_name", "rule", "column_names", "value")
-    parts = []
-    values = [r for r in rules if r.kind != "unique"]
-    if values:
-        broken = [
-            F.when(
-                _broken(r),
-                F.struct(
-                    F.lit(r.label).alias("rule"),
-                    F.lit(r.columns[0]).alias("column_names"),
-                    F.col(r.columns[0]).cast("string").alias("value"),
-                ),
-            )
-            for r in values
-        ]
-        parts.append(
-            df.select(F.lit(table).alias("table_name"), F.inline(F.array_compact(F.array(*broken))))
-            .groupBy(*names)
-            .agg(F.count("*").alias("n_rows"))
+    if not rules:
+        return df.sparkSession.createDataFrame([], "table_name string, rule string, column_names string, value string, n_rows long")
+
+    def found(number: int, rule: Rule) -> Column:
+        value = F.array(*[F.col(c).cast("string") for c in rule.columns])
+        row = F.struct(F.lit(number).alias("number"), value.alias("parts"))
+        return row if rule.kind == "unique" else F.when(_broken(rule), row)
+
+    def named(texts: list[str]) -> Column:
+        return F.element_at(F.array(*map(F.lit, texts)), F.col("number") + 1)
+
+    unique_rule = named([r.kind for r in rules]) == "unique"
+    whole = F.concat_ws("|", F.transform("parts", lambda p: F.coalesce(p, F.lit("null"))))
+    return (
+        df.select(F.inline(F.array_compact(F.array(*[found(k, r) for k, r in enumerate(rules)]))))
+        .groupBy("number", "parts")
+        .agg(F.count("*").alias("n_rows"))
+        .filter(~unique_rule | (F.col("n_rows") > 1))
+        .select(
+            F.lit(table).alias("table_name"),
+            named([r.label for r in rules]).alias("rule"),
+            named([",".join(r.columns) for r in rules]).alias("column_names"),
+            F.when(unique_rule, whole).otherwise(F.element_at("parts", 1)).alias("value"),
+            "n_rows",
         )
-    for rule in rules:
-        if rule.kind == "unique":
-            parts.append(
-                df.groupBy(*rule.columns)
-                .agg(F.count("*").alias("n_rows"))
-                .filter(F.col("n_rows") > 1)
-                .select(
-                    F.lit(table).alias("table_name"),
-                    F.lit(rule.label).alias("rule"),
-                    F.lit(",".join(rule.columns)).alias("column_names"),
-                    text(rule.columns).alias("value"),
-                    "n_rows",
-                )
-            )
-    return reduce(DataFrame.unionByName, parts)
+    )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wardline.config import SiteConfig
 from wardline.functions.clinical import closing_day, first_day
-from wardline.operators.scope import LOOKBACK_DAYS, join_codes, within
+from wardline.operators.scope import LOOKBACK_DAYS, join_codes, since
 
 GAP_DAYS = 15
 ICD_CHARS = 3
@@ -60,6 +60,8 @@ def diagnoses(
 
     def code(version: int, prefix: str) -> Column:
         short = F.substring(concept, len(prefix) + 1, ICD_CHARS)
+        if cfg.code_collation:  # one spelling of codes that compare as equal
+            short = F.upper(F.rtrim(F.collate(short, "UTF8_BINARY")))
         row = F.struct(short.alias("icd_code_3chars"), F.lit(version).alias("icd_version"))
         return F.when(concept.startswith(prefix), row)
 
@@ -69,7 +71,7 @@ def diagnoses(
     none = F.lit(None).cast("struct<icd_code_3chars:string,icd_version:int>")
     codes = F.array_compact(F.array(none, *[code(v, p) for v, p in prefixes.items()]))
     events = (
-        facts.filter(within(first, -LOOKBACK_DAYS))
+        since(facts, first, -LOOKBACK_DAYS)
         .filter(coded)
         .select("patient_num", "start_date", F.inline(codes))
     )
@@ -81,6 +83,6 @@ def medications(
 ) -> DataFrame:
     """Patients per medication class.  ``first`` as in :func:`diagnoses`."""
     classes = med_map.select(F.col("local_med_code").alias("concept_cd"), "med_class").distinct()
-    recent = facts.filter(within(first, -LOOKBACK_DAYS))
+    recent = since(facts, first, -LOOKBACK_DAYS)
     events = join_codes(recent.select("patient_num", "concept_cd", "start_date"), classes)
     return _before_and_since(events, cohort, ["med_class"])

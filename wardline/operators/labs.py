@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions.clinical import SEVERE_LOINCS, first_day
 from wardline.operators.daily import NOT_AVAILABLE
-from wardline.operators.scope import join_codes, within
+from wardline.operators.scope import join_codes, since
 
 LOG_OFFSET = 0.5
 VALUE_COLUMNS = ["mean_value", "stdev_value", "mean_log_value", "stdev_log_value"]
@@ -34,7 +34,7 @@ def lab_days(facts: DataFrame, lab_map: DataFrame, min_day: int = 0, first: date
         F.col("local_lab_code").alias("concept_cd"), "loinc", "scale_factor", "lab_units"
     )
     value = F.col("nval_num") * F.col("scale_factor")
-    recent = facts.filter(within(first, min_day))
+    recent = since(facts, first, min_day)
     return (
         join_codes(recent.filter(F.col("nval_num") >= 0), scales)
         .groupBy("patient_num", "loinc", "lab_units", first_day("start_date").alias("day"))

@@ -12,6 +12,7 @@ from wardline.functions.clinical import severe_by_code
 from wardline.operators.bloom import bloom_filter
 from wardline.storage import fits_broadcast
 
+MONTH = "start_month"  # of facts stored by month: year * 100 + month
 LOOKBACK_DAYS = 365  # how long before admission diagnoses and medications count
 SALTS_CONF = "wardline.salts"
 SALTS = 32  # parts a key's rows are dealt to where nothing else is set
@@ -36,6 +37,17 @@ def within(first: date | None, days: int) -> Column:
     return F.col("start_date") >= F.lit(first + timedelta(days=days))
 
 
+def since(facts: DataFrame, first: date | None, days: int) -> DataFrame:
+    """Facts as :func:`within` keeps them.  Of facts that carry their month, older months are not opened."""
+    if first is None:
+        return facts
+    recent = facts.filter(within(first, days))
+    if MONTH not in facts.columns:
+        return recent
+    opens = first + timedelta(days=days)
+    return recent.filter(F.col(MONTH) >= opens.year * 100 + opens.month)
+
+
 def lookup(
     rows: DataFrame, table: DataFrame, key: str, spread_by: list[str], how: str = "inner"
 ) -> DataFrame:

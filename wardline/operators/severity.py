@@ -14,7 +14,7 @@ from wardline.functions.clinical import (
     first_day,
     severe_by_code,
 )
-from wardline.operators.scope import join_codes, within
+from wardline.operators.scope import join_codes, since
 
 
 def severe_concepts(lab_map: DataFrame, med_map: DataFrame) -> DataFrame:
@@ -39,7 +39,7 @@ def severe_events(
     first admission, if known: older facts are then left out where they are read.
     """
     mapped = severe_concepts(lab_map, med_map).withColumn("mapped", F.lit(True))
-    recent = facts.filter(within(first, 0))
+    recent = since(facts, first, 0)
     days = (
         join_codes(recent.select("patient_num", "concept_cd", "start_date"), mapped, "left")
         .filter(F.col("mapped") | severe_by_code(F.col("concept_cd"), cfg))

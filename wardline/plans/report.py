@@ -28,7 +28,7 @@ from wardline.sources.readers import Sources
 def _demographics(study: Study) -> DataFrame:
     members, cfg = study.severe_cohort, study.cfg
     attrs = demographics.known_attributes(
-        members, study.sources.patients, study.facts, study.code_map, cfg, counted=True
+        members, study.sources.patients, study.usable_facts, study.code_map, cfg, counted=True
     )
     return demographics.demographics(members, attrs, cfg)
 
@@ -38,9 +38,9 @@ BUILDERS: dict[str, Callable[[Study], DataFrame]] = {
     COURSE.name: lambda s: daily.clinical_course(s.dates, s.admissions, s.severe_cohort),
     DEMOGRAPHICS.name: _demographics,
     LABS.name: lambda s: labs.labs_of_days(s.lab_days, s.severe_cohort, s.cfg.lab_min_day),
-    DIAGNOSES.name: lambda s: history.diagnoses(s.facts, s.severe_cohort, s.cfg, s.first_admission),
+    DIAGNOSES.name: lambda s: history.diagnoses(s.usable_facts, s.severe_cohort, s.cfg, s.first_admission),
     MEDICATIONS.name: lambda s: history.medications(
-        s.facts, s.severe_cohort, s.med_map, s.first_admission
+        s.usable_facts, s.severe_cohort, s.med_map, s.first_admission
     ),
 }
 

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from wardline.config import SiteConfig
 from wardline.operators import calendar, cohort as cohort_steps, death, labs, severity
-from wardline.operators.scope import facts_of, report_facts
+from wardline.operators.scope import facts_of, report_facts, since
 from wardline.storage import fits_broadcast, remove, write_bucketed, write_table
+from wardline.sources.collation import with_collation
 from wardline.sources.maps import Maps
 from wardline.sources.readers import Sources
 
@@ -33,6 +34,8 @@ class Study:
         self, sources: Sources, maps: Maps, cfg: SiteConfig, positives: DataFrame | None = None,
         buckets: int | None = None,
     ) -> None:
+        if cfg.code_collation:
+            sources, maps = with_collation(sources, maps, cfg.code_collation)
         self.sources = sources
         self.maps = maps
         self.cfg = cfg
@@ -91,17 +94,26 @@ class Study:
         )
         return self._by_patient(facts_of(usable, self.admitted), "facts", cluster_by="concept_cd")
 
+    @property
+    def usable_facts(self) -> DataFrame:
+        """The cut facts where they have been written, else the fact table itself.
+
+        A whole report pays for the cut once and reads it often; a single table does not.
+        Every step gives the same rows from either.
+        """
+        return self.facts if self.buckets or "facts" in self.__dict__ else self.sources.facts
+
     @cached_property
     def lab_days(self) -> DataFrame:
         """Mean lab values per patient and day, which only the lab table reads."""
-        days = labs.lab_days(self.facts, self.lab_map, self.cfg.lab_min_day, self.first_admission)
+        days = labs.lab_days(self.usable_facts, self.lab_map, self.cfg.lab_min_day, self.first_admission)
         return self._by_patient(days, "lab_days") if self.buckets else days
 
     @cached_property
     def severe_cohort(self) -> DataFrame:
         """The cohort with severe illness flagged: all that five of the six tables need."""
         events = severity.severe_events(
-            self.facts, self.admitted, self.lab_map, self.med_map, self.cfg, self.first_admission
+            self.usable_facts, self.admitted, self.lab_map, self.med_map, self.cfg, self.first_admission
         )
         return self._by_patient(severity.flag_severe(self.admitted, events), "severe_cohort")
 
@@ -119,7 +131,7 @@ class Study:
             first = dated.agg(F.min("death_date")).first()[0]
             facts = self.sources.facts
             if first is not None:
-                facts = facts.filter(F.col("start_date") >= F.lit(first))
+                facts = since(facts, first, 0)
                 dated = death.correct_death_by_last_fact(dated, facts)
         return self._by_patient(dated, "cohort")
 
@@ -129,7 +141,7 @@ class Study:
 
     def prepare(self) -> Study:
         """Run every step that several tables share."""
-        _ = self.severe_cohort, self.facts, self.admissions, self.dates
+        _ = self.facts, self.severe_cohort, self.admissions, self.dates
         _ = self.code_map, self.lab_map, self.med_map
         return self
 
