@@ -186,7 +186,7 @@ def _along(sized: DataFrame, asked: dict[tuple[Pattern, int], tuple[float, int,
             .groupBy("pattern", "i", "range").agg(F.sum("size").alias("size"), F.count("*").alias("n"), F.max("size").alias("largest"))
         )
         held: dict[tuple[Pattern, int], dict[int, tuple[int, int, int]]] = defaultdict(dict)
-        for row in sums.toLocalIterator():
+        for row in sums.collect():  # at most 2^BITS rows a pattern
             held[row["pattern"], row["i"]][row["range"]] = row["size"], row["n"], row["largest"]
         still = {}
         for key, (left, before, *limits) in open_.items():
