@@ -51,8 +51,8 @@ from wardline.plans.study import Study  # noqa: E402
 from wardline.session import ship_package  # noqa: E402
 from wardline.plans.views import SqlNames  # noqa: E402
 from wardline.sources import collation, layout, schemas, scripts, testdata  # noqa: E402
-from wardline.sources.maps import Maps, local_rows  # noqa: E402
-from wardline.sources.readers import Sources  # noqa: E402
+from wardline.sources.maps import Maps, default_med_map, local_rows, read_maps, read_rxnorm_classes  # noqa: E402
+from wardline.sources.readers import Sources, read_csv  # noqa: E402
 from wardline.storage import scratch_folder  # noqa: E402
 
 try:  # the training-data operators and their pipeline can be left out of an installation
@@ -221,6 +221,39 @@ def _labs_by_month(s: Study) -> DataFrame:
     return _rounded(found.select(*LABS.columns))
 
 
+def _written_csv(tables: dict[str, DataFrame], spark: SparkSession) -> str:
+    folder = f"{scratch_folder(spark)}/extract-{uuid.uuid4().hex}"
+    for name, table in tables.items():
+        table.write.option("header", True).csv(f"{folder}/{name}.csv")
+    return folder
+
+
+def _from_csv(s: Study) -> Study:
+    """The study over text extracts of its tables and maps: every value comes from a string."""
+    spark, t = s.sources.facts.sparkSession, s.sources
+    extract = _written_csv(
+        {
+            "observation_fact": t.facts, "visit_dimension": t.visits, "patient_dimension": t.patients,
+            "concept_dimension": t.concepts, "code_map": s.code_map, "lab_map": s.lab_map, "med_map": s.med_map,
+        },
+        spark,
+    )
+    site_maps = read_maps(spark, *[f"{extract}/{name}.csv" for name in ("code_map", "lab_map", "med_map")])
+    return Study(read_csv(spark, extract), site_maps, s.cfg)
+
+
+def _rxnorm_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default medication map with a site's RxNorm file."""
+    extract = _written_csv({"rxnorm": testdata.rxnorm_classes(spark, sf_dir)}, spark)
+    return default_med_map(spark, rxnorm=read_rxnorm_classes(spark, f"{extract}/rxnorm.csv"))
+
+
+def _medications_rxnorm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Medications whose RxNorm codes come from the site's file alone."""
+    s = study(spark, sf_dir)
+    return raw_table(Study(s.sources, Maps(s.code_map, s.lab_map, _rxnorm_map(spark, sf_dir)), s.cfg), MEDICATIONS)
+
+
 def _csv_of_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The map of all parts as numbered CSV lines."""
     codes = _codes_of_parts(spark, sf_dir)
@@ -373,6 +406,10 @@ def queries() -> dict[str, Query]:
         "index_events_sql": _over_study(_index_events_sql),
         "labs_by_month": _over_study(_labs_by_month),
         "maps_from_script": _script_of_parts,
+        "cohort_from_csv": _over_study(lambda s: _from_csv(s).cohort),
+        "labs_from_csv": _over_study(lambda s: _rounded(raw_table(_from_csv(s), LABS))),
+        "med_map_rxnorm": _rxnorm_map,
+        "medications_rxnorm": _medications_rxnorm,
         "csv_codes_under_path_parts": _csv_of_parts,
         "report_files": _over_study(_report_files),
         "expand_med_map": _over_study(_expand_meds),

@@ -54,7 +54,7 @@ def test_defaults_and_bad_settings():
 
 
 def test_default_maps(spark):
-    found = maps.default_maps(spark)
+    found = maps.default_maps(spark, rxnorm=False)
     classes = {r.med_class: r.n for r in found.med_map.groupBy("med_class").count().toDF("med_class", "n").collect()}
     assert classes == {
         "ACEI": 14, "ARB": 7, "COAGA": 11, "COAGB": 24, "COVIDVIRAL": 3, "DIURETIC": 7, "HCQ": 2,
@@ -65,6 +65,14 @@ def test_default_maps(spark):
     assert all(fits_broadcast(m) for m in (found.code_map, found.lab_map, found.med_map))
 
 
+def test_a_site_says_whether_it_has_rxnorm_codes(spark):
+    for left_open in (True, None):
+        with pytest.raises(ValueError, match="rxnorm"):
+            maps.default_maps(spark, left_open)
+    with pytest.raises(TypeError):
+        maps.default_maps(spark)
+
+
 def test_rxnorm_rows_come_from_a_file(spark, folder):
     path = write(folder, "rx.csv", "med_class,code\nACEI,36908\nACEI,36908\nHCQ,5521\n")
     found = maps.default_med_map(spark, rxnorm=maps.read_rxnorm_classes(spark, path))
@@ -165,7 +173,7 @@ def test_command_line(spark, folder):
     row = "SITE1,1,0,0,1,ICD9:,ICD10:,ICD9PROC:,ICD10PROC:,0,0,0,0,0,1\n"
     written = main(
         ["--tables", folder, "--config", write(folder, "c.csv", CONFIG + row), "--as-of", "2020-03-13",
-         "--out", f"{folder}/out", "--positive-path", "\\T\\", "--expand-labs", "--medication-root", "\\M\\"]
+         "--out", f"{folder}/out", "--positive-path", "\\T\\", "--expand-labs", "--medication-root", "\\M\\", "--no-rxnorm"]
     )
     found = {}
     for path in written:
@@ -268,7 +276,7 @@ def test_output_flags_and_time_zone_of_the_command_line(spark, folder, capsys):
     try:
         written = main(
             ["--tables", folder, "--format", "csv", "--config", write(folder, "c.csv", CONFIG + row), "--as-of", "2020-03-13",
-             "--out", f"{folder}/out", "--time-zone", "Asia/Tokyo", "--positive-codes", "LAB:TEST"]
+             "--out", f"{folder}/out", "--time-zone", "Asia/Tokyo", "--positive-codes", "LAB:TEST", "--no-rxnorm"]
         )
         assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
     finally:

@@ -5,7 +5,7 @@
 
 ``--tables`` holds one parquet table per clinical table, ``--maps`` the files
 ``code_map.csv``, ``lab_map.csv`` and ``med_map.csv`` (left out: the default maps, with
-``--rxnorm`` for the RxNorm rows).
+``--rxnorm`` for the RxNorm rows, or ``--no-rxnorm`` for a site without them).
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--text-ids", action="store_true", help="patient ids of CSV extracts are text")
     parser.add_argument("--maps", help="folder of the site's own map files")
     parser.add_argument("--rxnorm", help="CSV med_class,code for the default medication map")
+    parser.add_argument("--no-rxnorm", action="store_true", help="the site has no RxNorm codes")
     parser.add_argument("--positive-path", help="concept path whose codes are positive tests")
     parser.add_argument("--expand-labs", action="store_true", help="add concepts below mapped labs")
     parser.add_argument("--medication-root", help="add used concepts below mapped drugs, in this root")
@@ -75,7 +76,7 @@ def main(argv: Sequence[str] | None = None) -> list[str]:
         names = ("code_map", "lab_map", "med_map")
         site_maps = maps.read_maps(spark, *[f"{args.maps}/{name}.csv" for name in names])
     else:
-        rxnorm = maps.read_rxnorm_classes(spark, args.rxnorm) if args.rxnorm else None
+        rxnorm = maps.read_rxnorm_classes(spark, args.rxnorm) if args.rxnorm else not args.no_rxnorm
         site_maps = maps.default_maps(spark, rxnorm)
     site_maps = grow_maps(
         site_maps, tables, args.positive_path, args.expand_labs, args.medication_root

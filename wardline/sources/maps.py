@@ -156,8 +156,16 @@ def default_med_map(
     return med_map.unionByName(added).distinct()
 
 
-def default_maps(spark: SparkSession, rxnorm: DataFrame | None = None) -> Maps:
-    return Maps(default_code_map(spark), default_lab_map(spark), default_med_map(spark, rxnorm=rxnorm))
+def default_maps(spark: SparkSession, rxnorm: DataFrame | bool) -> Maps:
+    """The built-in maps with a site's RxNorm rows; ``rxnorm=False`` says that it has none.
+
+    There is no default: without its RxNorm codes a site finds fewer severe patients and
+    fewer medications, and nothing in the tables shows it.
+    """
+    if rxnorm is True or rxnorm is None:
+        raise ValueError("rxnorm must be a table (med_class, code), or False for a site without RxNorm codes")
+    classes = None if rxnorm is False else rxnorm
+    return Maps(default_code_map(spark), default_lab_map(spark), default_med_map(spark, rxnorm=classes))
 
 
 def read_rxnorm_classes(spark: SparkSession, path: str) -> DataFrame:

@@ -238,6 +238,16 @@ def positive_codes(spark: SparkSession, concept_table: DataFrame) -> DataFrame:
     return codes_under_path(concept_table, POSITIVE_PATH, default.default_code_map(spark))
 
 
+def rxnorm_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A site's RxNorm list: the facts' own code, and every part as a code of its brand, each twice."""
+    own = local_rows(spark, [(m, c.removeprefix("RxNorm:")) for m, _, c in LOCAL_RXNORM_ROWS], default.RXNORM)
+    parts = _table(spark, sf_dir, "part").select(
+        F.col("p_brand").alias("med_class"), F.col("p_partkey").cast("string").alias("code")
+    )
+    once = own.unionByName(parts)
+    return once.unionByName(once)
+
+
 def maps(spark: SparkSession, concept_table: DataFrame) -> Maps:
     """Default maps; positive codes also come from the concept tree; CRP is rescaled."""
     code_map = default.default_code_map(spark)
