@@ -6,6 +6,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from wardline.llm import op1_token_shards as op1
@@ -171,6 +172,24 @@ def test_binary_files(spark):
     assert got == [(0, 0, 2, True), (1, 3, 1, True), (2, 5, 1, False)]
 
 
+def test_one_binary_file_is_read_by_several_tasks(spark):
+    """Blocks do not depend on slices; only lengths are listed before."""
+    folder = tempfile.mkdtemp(prefix="flat-")
+    rng = np.random.default_rng(5)
+    for name, n in (("a", 10_001), ("b", 40), ("c", 0), ("d", 128)):
+        rng.integers(0, 50, n).astype("<u2").tofile(f"{folder}/{name} x.bin")
+    blocks = op6.read_binary(spark, folder, block_ids=16, slice_blocks=4).withColumn("task", F.spark_partition_id())
+    held = sorted((r.file, r.block, bytes(r.ids), r.task) for r in blocks.collect())
+    for name in "abd":
+        mine = [h for h in held if h[0].endswith(f"/{name} x.bin")]
+        assert [h[1] for h in mine] == list(range(len(mine)))
+        assert b"".join(h[2] for h in mine) == open(f"{folder}/{name} x.bin", "rb").read()
+    assert len({h[3] for h in held if h[0].endswith("a x.bin")}) > 4
+    open(f"{folder}/odd.bin", "wb").write(b"123")
+    with pytest.raises(Exception, match="3 bytes are no whole number of ids"):
+        op6.read_binary(spark, folder).collect()
+
+
 def test_documents_counted_in_flat_files(spark, docs):
     rows = [*odd_rows(), (11, "a <|endoftext|> b")]
     path = queries.fresh_folder(spark, "t")

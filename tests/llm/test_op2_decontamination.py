@@ -1,8 +1,12 @@
+import random
+
+import duckdb
 import numpy as np
 import pytest
 
 from wardline.llm import op2_decontamination as op2
 from wardline.llm import queries
+from wardline.llm.sql import ORACLE_SQL
 from wardline.llm.words import words_of
 
 from .conftest import odd_rows, prose
@@ -21,7 +25,7 @@ def plain(rows, items, percent=80):
     sets = [(i, shingles(t)) for i, t in items]
     found = []
     for doc, text in rows:
-        mine = shingles(text)
+        mine = shingles(text).union(*(shingles(text, n) for n in range(1, 5)))
         found += [(doc, i, len(s & mine), len(s), len(s & mine) / len(s)) for i, s in sets if s and 100 * len(s & mine) >= percent * len(s)]
     return sorted(found, key=str)
 
@@ -73,6 +77,36 @@ def test_odd_rows_and_items(spark, docs):
     compare(spark, docs, rows, items, clashing=True)
 
 
+def test_items_shorter_than_a_shingle_are_found_inside_documents(spark, docs):
+    """One to four words, equal ones twice, with and without longer items, against brute force and SQL."""
+    rng = random.Random(4)
+    letters = "abcdefgh"
+    rows = [(k, " ".join(rng.choices(letters, k=rng.randrange(0, 40)))) for k in range(60)]
+    rows += [(100, "so Red, green; BLUE is it and more words follow here"), (101, "red green"), (102, "red-green-blue"), (None, "red green blue")]
+    rows += [(103, prose("long", 40_000) + " red green blue " + prose("more", 40_000)), (104, None), (105, "redgreen blue red")]
+    short = [(k, " ".join(rng.choices(letters, k=1 + k % 4))) for k in range(20)]
+    short += [(50, "red green blue"), (51, "Red green, blue!"), (52, "a"), (53, "a")]
+    long = [(60, "so red green blue is it"), (61, prose("item", 30))]
+    for items in (short, short + long, long):
+        compare(spark, docs, rows, items, clashing=True)
+    assert {r[0] for r in plain(rows, short) if r[1] in (50, 51)} == {100, 102, 103, None}
+    df, few = docs(rows), spark.createDataFrame(short[20:22] + long, ITEMS)
+    kept = {r.doc_id for r in op2.without_contaminated(df, few).select("doc_id").collect()}
+    assert {r[0] for r in rows} - kept == {100}  # short words alone remove nothing unless asked
+    asked = {r.doc_id for r in op2.without_contaminated(df, few, short=True).select("doc_id").collect()}
+    assert {r[0] for r in rows} - asked == {100, 102, 103, None}
+
+
+def test_sql_says_the_same_of_short_items():
+    con = duckdb.connect()
+    items = [(1, "red green blue"), (2, "one"), (3, "so red green blue is it"), (4, None), (5, " ")]
+    rows = [(7, "so Red green, BLUE is it and one more"), (8, "red green"), (9, "xred green blue"), (10, None), (11, "none")]
+    for name, key, held in (("benchmark", "item_id", items), ("documents", "doc_id", rows)):
+        con.execute(f"CREATE TABLE {name} ({key} BIGINT, text VARCHAR)")
+        con.executemany(f"INSERT INTO {name} VALUES (?, ?)", held)
+    assert sorted(con.execute(ORACLE_SQL["op2_decontamination"]).fetchall()) == plain(rows, items)
+
+
 def test_empty_tables(spark, docs):
     items = spark.createDataFrame([(1, "a b c d e f")], ITEMS)
     none = spark.createDataFrame([], ITEMS)
@@ -97,8 +131,7 @@ def test_candidates_across_slices():
     """A block cut by the end of a slice still leads to its item."""
     hashes = op2.word_hashes()
     item = prose("cut", 40, 5000)
-    sets = [(0, op2._set(item, hashes, 5))]
-    index = op2.build_index(sets)
+    index = op2.build_index([op2.item_of(0, item, hashes, 5)])
     for before in (32_700, 32_740, 32_768, 65_500):
         text = prose("pad", before) + " " + item + " " + prose("post", 100)
         assert [(d, i) for d, i, _ in op2.find_items([None, text], index, hashes, 5, 80)] == [(1, 0)]
@@ -113,6 +146,6 @@ def test_query_over_small_tables(spark):
 
 
 def test_index_filter_has_no_misses():
-    index = op2.build_index([(k, np.arange(k, k + 20, dtype=np.uint64)) for k in range(50)])
+    index = op2.build_index([op2.Item(k, np.arange(k, k + 20, dtype=np.uint64)) for k in range(50)])
     for c in index.classes:
         assert c.present[op2._slot(c.cells)].all()

@@ -8,13 +8,17 @@ signature with one block or another, however its shingles are spread; one shared
 coordinate makes a candidate (with 64 of them a miss has a chance below 1e-6).
 Candidates are decided by exact containment of the item's set in the document's set.
 
-Documents are never shuffled: the items' sets and signatures go to every task, at most
-``BLOCK_SHINGLES`` shingles of them at a time.  More items than that are searched in
-several passes over the documents, one per block of items.
+Items are split and hashed in tasks.  Documents are never shuffled: the items' sets and
+signatures go to every task, at most ``BLOCK_SHINGLES`` shingles of them at a time.  More
+items than that are searched in several passes over the documents, one per block of items.
+
+An item with fewer words than a shingle is looked up as it is: each of its lengths makes
+one more pass of hashes over a document's words, and equal runs are found by bisection.
 
 Words are lower-cased (A-Z) and ASCII punctuation counts as white space.  Defined cases:
 null and word-free texts and items match nothing.  An item with fewer words than a
-shingle is one shingle, found only in documents that are that sequence as a whole.  Equal
+shingle is one shingle, found wherever its words stand together; such words may be common
+language, so ``without_contaminated`` removes documents for them only if asked.  Equal
 items are reported each.  Rows are searched as they come, repeated ones too; a null
 ``doc_id`` is reported as null.  Other columns are ignored.
 """
@@ -25,6 +29,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -39,11 +44,21 @@ COORDINATES = 64
 BLOCK_SHINGLES = 2_000_000
 FILTER_BITS = 22
 
+SETS = "item_id long, short int, shingles binary"
 FOUND = "doc_id long, item_id long, n_shared long, n_item_shingles long, containment double"
 
 
-def _set(text: str | None, hashes: WordHashes, words: int) -> np.ndarray:
-    return np.unique(shingle_hashes(hashes.of(words_of(text, plain=True)), words))
+class Item(NamedTuple):
+    """An item's distinct shingles.  ``short``: its number of words, if those are fewer than a shingle's (else 0)."""
+
+    id: int | None
+    shingles: np.ndarray
+    short: int = 0
+
+
+def item_of(item_id: int | None, text: str | None, hashes: WordHashes, words: int) -> Item:
+    found = hashes.of(words_of(text, plain=True))
+    return Item(item_id, np.unique(shingle_hashes(found, words)), len(found) if len(found) < words else 0)
 
 
 def _cell(values: np.ndarray, coordinate: int) -> np.ndarray:
@@ -72,24 +87,33 @@ class Index:
     ids: list[int]
     sets: list[np.ndarray]
     classes: list[SizeClass]
+    short: dict[int, tuple[np.ndarray, np.ndarray]]  # by number of words: sorted hashes, the item of each
 
 
-def build_index(items: list[tuple[int, np.ndarray]]) -> Index:
-    """The index of items given as (id, shingle set)."""
+def build_index(items: list[Item]) -> Index:
     minhash = CirculantMinHash(COORDINATES)
     by_size: dict[int, list[int]] = defaultdict(list)
-    for k, (_, shingles) in enumerate(items):
-        by_size[1 << max(0, len(shingles) - 1).bit_length()].append(k)
+    by_words: dict[int, list[int]] = defaultdict(list)
+    for k, item in enumerate(items):
+        if item.short:
+            by_words[item.short].append(k)
+        else:
+            by_size[1 << max(0, len(item.shingles) - 1).bit_length()].append(k)
     classes = []
     for size, members in sorted(by_size.items()):
-        lengths = np.array([len(items[k][1]) for k in members])
-        signatures = minhash.signatures(np.concatenate([items[k][1] for k in members]), np.cumsum(lengths) - lengths)
+        lengths = np.array([len(items[k].shingles) for k in members])
+        signatures = minhash.signatures(np.concatenate([items[k].shingles for k in members]), np.cumsum(lengths) - lengths)
         cells = np.concatenate([_cell(signatures[:, c], c) for c in range(COORDINATES)])
         order = np.argsort(cells, kind="stable")
         present = np.zeros(1 << FILTER_BITS, bool)
         present[_slot(cells)] = True
         classes.append(SizeClass(size, present, cells[order], np.tile(np.array(members), COORDINATES)[order]))
-    return Index([i for i, _ in items], [s for _, s in items], classes)
+    short = {}
+    for n, members in by_words.items():
+        values = np.concatenate([items[k].shingles for k in members])
+        order = np.argsort(values, kind="stable")
+        short[n] = values[order], np.array(members)[order]
+    return Index([i.id for i in items], [i.shingles for i in items], classes, short)
 
 
 def _candidates(shingles: np.ndarray, owner: np.ndarray, starts: np.ndarray, index: Index) -> set[tuple[int, int]]:
@@ -123,11 +147,26 @@ def _candidates(shingles: np.ndarray, owner: np.ndarray, starts: np.ndarray, ind
     return found
 
 
+def _short_items(found: list[np.ndarray], index: Index) -> Iterator[tuple[int, int]]:
+    """(text, item) wherever the words of a short item stand together; ``found`` are the texts' word hashes."""
+    for n, (values, members) in sorted(index.short.items()):
+        for doc, hashes in enumerate(found):
+            if len(hashes) < n:
+                continue
+            runs = np.unique(shingle_hashes(hashes, n))
+            a, b = np.searchsorted(values, runs, "left"), np.searchsorted(values, runs, "right")
+            for k in np.flatnonzero(b > a).tolist():
+                yield from ((doc, item) for item in members[a[k] : b[k]].tolist())
+
+
 def find_items(texts: list[str | None], index: Index, hashes: WordHashes, words: int, percent: int):
     """(place of the text, place of the item, shared shingles) wherever an item is contained."""
-    runs = [shingle_hashes(hashes.of(words_of(t, plain=True)), words) for t in texts]
+    found = [hashes.of(words_of(t, plain=True)) for t in texts]
+    for doc, item in _short_items(found, index):
+        yield doc, item, 1
+    runs = [shingle_hashes(f, words) for f in found]
     lengths = np.array([len(r) for r in runs], np.int64)
-    if not lengths.sum():
+    if not lengths.sum() or not index.classes:
         return
     starts = np.cumsum(lengths) - lengths
     owner = np.repeat(np.arange(len(texts)), lengths)
@@ -144,15 +183,33 @@ def find_items(texts: list[str | None], index: Index, hashes: WordHashes, words:
                 yield doc, item, shared
 
 
-def item_blocks(items: DataFrame, words: int = WORDS) -> Iterator[list[tuple[int, np.ndarray]]]:
-    """Items (item_id, text) as shingle sets, in blocks of bounded size."""
-    hashes, block, size = word_hashes(), [], 0
-    for item_id, text in items.select(F.col("item_id").cast("long"), "text").toLocalIterator():
-        shingles = _set(text, hashes, words)
-        if not len(shingles):
-            continue
-        block.append((item_id, shingles))
-        size += len(shingles)
+def item_sets(items: DataFrame, words: int = WORDS) -> DataFrame:
+    """Items (item_id, text) that have words, as shingle sets."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_pylist()
+            for first, texts in groups(batch.column(1)):
+                made = [item_of(ids[first + k], text, word_hashes(), words) for k, text in enumerate(texts)]
+                made = [item for item in made if len(item.shingles)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([i.id for i in made], pa.int64()), pa.array([i.short for i in made], pa.int32()),
+                        pa.array([i.shingles.tobytes() for i in made], pa.binary()),
+                    ],
+                    names=["item_id", "short", "shingles"],
+                )
+
+    return items.select(F.col("item_id").cast("long"), "text").transform(in_batches, hashed, SETS)
+
+
+def item_blocks(items: DataFrame, words: int = WORDS, short: bool = True) -> Iterator[list[Item]]:
+    """Items as shingle sets, in blocks of bounded size.  ``short``: with items of fewer words than a shingle."""
+    block, size = [], 0
+    sets = item_sets(items, words)
+    for item_id, n, shingles in (sets if short else sets.filter("short = 0")).toLocalIterator():
+        block.append(Item(item_id, np.frombuffer(bytes(shingles), np.uint64), n))
+        size += len(block[-1].shingles)
         if size >= BLOCK_SHINGLES:
             yield block
             block, size = [], 0
@@ -164,7 +221,7 @@ def contaminated(docs: DataFrame, items: DataFrame, words: int = WORDS, percent:
     """Pairs (doc_id, item_id, ...) with ``100 * shared >= percent * item's shingles``."""
     spark = docs.sparkSession
 
-    def search(block: list[tuple[int, np.ndarray]]) -> DataFrame:
+    def search(block: list[Item]) -> DataFrame:
         shared_index = spark.sparkContext.broadcast(build_index(block))
 
         def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,11 +245,16 @@ def contaminated(docs: DataFrame, items: DataFrame, words: int = WORDS, percent:
     return reduce(DataFrame.unionAll, parts) if parts else spark.createDataFrame([], FOUND)
 
 
-def without_contaminated(docs: DataFrame, items: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows that contain no item; all columns as they were.  Searched once, nothing is shuffled."""
+def without_contaminated(
+    docs: DataFrame, items: DataFrame, words: int = WORDS, percent: int = PERCENT, short: bool = False
+) -> DataFrame:
+    """The rows that contain no item; all columns as they were.  Searched once, nothing is shuffled.
+
+    ``short``: items of fewer words than a shingle count too.
+    """
     text = docs.columns.index("text")
 
-    def clean(df: DataFrame, block: list[tuple[int, np.ndarray]]) -> DataFrame:
+    def clean(df: DataFrame, block: list[Item]) -> DataFrame:
         shared_index = df.sparkSession.sparkContext.broadcast(build_index(block))
 
         def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,4 +267,4 @@ def without_contaminated(docs: DataFrame, items: DataFrame, words: int = WORDS,
 
         return df.transform(in_batches, look, df.schema)
 
-    return reduce(clean, item_blocks(items, words), docs)
+    return reduce(clean, item_blocks(items, words, short), docs)

@@ -8,19 +8,23 @@ begins at, how many documents ended before it and where the last of them did, wh
 stitches documents over any number of blocks.  The scan runs inside groups of blocks and
 then over groups, so a single huge file is not summed up in one task.
 
-Files are kept as a Parquet folder of blocks, or read from binary files as they are.
+Files are kept as a Parquet folder of blocks, or read from binary files as they are.  Of
+those only names and lengths are listed; each task then reads its own slices of a file.
 
 Defined cases: two separators in a row hold an empty document between them (count 0).
 Ids after the last separator are one document more, ``ended`` false.  An empty file has
-no documents.  Files without separators are one document that did not end.
+no documents.  Files without separators are one document that did not end.  A binary
+file whose length is no multiple of an id's fails the job.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,6 +33,8 @@ from wardline.llm.op1_token_shards import Encoder, encoded
 from wardline.llm.words import in_batches
 
 BLOCK_IDS = 1 << 16
+SLICE_BLOCKS = 1 << 9  # blocks of a binary file in a slice: 64 MB of two-byte ids
+MOST_TASKS = 50_000  # that read slices; with more slices than that, a task reads several
 GROUP = 1 << 12  # blocks scanned together
 
 FLAT = "file string, block long, ids binary, doc_ids array<long>"
@@ -81,23 +87,46 @@ def read_flat(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FLAT).parquet(path).select("file", "block", "ids")
 
 
-def read_binary(spark: SparkSession, path: str, kind: str = "<u2", block_ids: int = BLOCK_IDS) -> DataFrame:
-    """Blocks of raw binary files.  Spark's reader hands over a file at once (2 GB at most)."""
-    step = block_ids * np.dtype(kind).itemsize
+def open_uri(uri: str) -> pa.NativeFile:
+    """A file to read at any place.  For file systems that pyarrow knows (local, HDFS, S3, GCS)."""
+    scheme, _, rest = uri.partition(":")
+    place = rest if rest.startswith("//") else f"//{rest}"  # Spark writes file:/path, without escapes
+    system, path = fs.FileSystem.from_uri(f"{scheme}:{quote(place, safe='/:@')}")
+    return system.open_input_file(path)
+
+
+def read_binary(
+    spark: SparkSession, path: str, kind: str = "<u2", block_ids: int = BLOCK_IDS, slice_blocks: int = SLICE_BLOCKS,
+    open_file: Callable[[str], pa.NativeFile] = open_uri,
+) -> DataFrame:
+    """Blocks of raw binary files of any length, read in slices of ``slice_blocks`` blocks.
+
+    Spark lists the files and deals their slices to tasks, so a large file is read by many.
+    ``open_file`` opens a file by its URI, in a task; give one for other file systems.
+    """
+    width = np.dtype(kind).itemsize
+    step = block_ids * width
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for file, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                data = content.as_buffer()
-                for block, at in enumerate(range(0, len(data), step)):
-                    ids = data.slice(at, min(step, len(data) - at)).to_pybytes()
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([file]), pa.array([block], pa.int64()), pa.array([ids], pa.binary())],
-                        names=["file", "block", "ids"],
-                    )
-
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.transform(in_batches, cut, "file string, block long, ids binary")
+            for file, length, first in zip(*(c.to_pylist() for c in batch.columns)):
+                if length % width:
+                    raise ValueError(f"{file}: {length} bytes are no whole number of ids of {width} bytes")
+                with open_file(file) as source:
+                    source.seek(first * step)
+                    for block in range(first, min(first + slice_blocks, -(-length // step))):
+                        ids = source.read(min(step, length - block * step))
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([file]), pa.array([block], pa.int64()), pa.array([ids], pa.binary())],
+                            names=["file", "block", "ids"],
+                        )
+
+    files = spark.read.format("binaryFile").load(path).filter("length > 0").select("path", "length")
+    first = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(length - 1) div {step}"), F.lit(slice_blocks).cast("long")))
+    slices = files.select("path", "length", first.alias("first"))
+    # A number of tasks that adaptive execution keeps: it would join these few bytes into one task.
+    tasks = max(1, min(slices.count(), MOST_TASKS))
+    return slices.repartition(tasks, "path", "first").transform(in_batches, cut, "file string, block long, ids binary")
 
 
 def find_separators(blocks: DataFrame, separator: int, kind: str = "<u2") -> DataFrame:

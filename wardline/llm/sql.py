@@ -20,14 +20,26 @@ def _shingles(table: str, key: str, separators: str, n: int) -> str:
         FROM {table})"""
 
 
-# Every item against every document by the shingles they share.
+def _line(table: str, key: str, separators: str) -> str:
+    """The words of each text in a row, a blank before and after each: (key, n, line)."""
+    return f"""
+  SELECT {key}, len(w) AS n, ' ' || array_to_string(w, ' ') || ' ' AS line
+  FROM (SELECT {key}, list_filter(regexp_split_to_array({_LOWER}, '{separators}'), lambda x: x <> '') AS w FROM {table})"""
+
+
+# Every item against every document by the shingles they share; items shorter than a shingle by their words.
 DECONTAMINATION = f"""
-WITH items AS ({_shingles('benchmark', 'item_id', leaks.SEPARATORS, leaks.WORDS)}),
+WITH items AS (SELECT * FROM ({_shingles('benchmark', 'item_id', leaks.SEPARATORS, leaks.WORDS)}) WHERE len(s) = {leaks.WORDS}),
 docs AS ({_shingles('documents', 'doc_id', leaks.SEPARATORS, leaks.WORDS)}),
 sizes AS (SELECT item_id, count(*) AS n FROM items GROUP BY item_id),
 shared AS (SELECT doc_id, item_id, count(*) AS k FROM items JOIN docs USING (s) GROUP BY ALL)
 SELECT doc_id, item_id, k AS n_shared, n AS n_item_shingles, k / n AS containment
 FROM shared JOIN sizes USING (item_id) WHERE 100 * k >= {leaks.PERCENT} * n
+UNION ALL
+SELECT doc_id, item_id, 1, 1, 1.0
+FROM ({_line('benchmark', 'item_id', leaks.SEPARATORS)}) i
+  JOIN ({_line('documents', 'doc_id', leaks.SEPARATORS)}) d ON contains(d.line, i.line)
+WHERE i.n BETWEEN 1 AND {leaks.WORDS - 1}
 """
 
 # Every pair of documents that share a shingle, and what links reach.
