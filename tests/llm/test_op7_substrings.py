@@ -1,7 +1,5 @@
 import random
-
-import numpy as np
-import xxhash
+import re
 
 from wardline.llm import op7_substring_dedup as op7
 from wardline.llm import queries
@@ -9,60 +7,6 @@ from wardline.llm import queries
 from .conftest import odd_rows, prose
 
 
-def slow_cuts(data, reach=op7.REACH):
-    """Places after which a chunk ends, from the definition."""
-    gear, window = op7._GEAR, op7._WINDOW
-    h = []
-    for i in range(len(data)):
-        total = sum(int(gear[data[i - j]]) << j for j in range(window) if i - j >= 0) & 0xFFFFFFFF
-        follows = data[i + 1] if i + 1 < len(data) else 0
-        h.append(0xFFFFFFFF if (follows & 0xC0) == 0x80 or data[i] == 0 else total)
-    return [
-        i for i, x in enumerate(h)
-        if x != 0xFFFFFFFF and all(x < y for y in h[max(0, i - reach) : i] + h[i + 1 : i + 1 + reach])
-    ]
-
-
-def test_cuts_follow_the_definition():
-    rng = np.random.default_rng(1)
-    for n in (0, 1, 5, 60, 400):
-        for data in (rng.integers(1, 250, n).astype(np.uint8), rng.integers(97, 100, n).astype(np.uint8)):
-            assert op7.cut_places(data).tolist() == slow_cuts(data.tolist())
-
-
-def test_chunks_cover_texts_and_carry_their_digests():
-    texts = [r[1] for r in odd_rows(3000)] + ["é漢\U0001f600" * 300, "é" * 1000, "a" * 1000, "ab " * 400, "\0x\0y" * 50]
-    doc, start, end, words, hi, lo = op7.chunk_texts(texts)
-    covered = {}
-    for d, a, b, w, h, l in zip(doc.tolist(), start.tolist(), end.tolist(), words.tolist(), hi.tolist(), lo.tolist()):
-        text = texts[d]
-        assert covered.get(d, 0) == a < b
-        covered[d] = b
-        digest = xxhash.xxh3_128_digest(text[a:b].encode())
-        assert (int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True)) == (h, l)
-        assert len(text[a:b].encode()) <= op7.MOST + 3
-    assert covered == {d: len(t) for d, t in enumerate(texts) if t}
-    for d, text in enumerate(texts):
-        if text and "\0" not in text:
-            assert words[doc == d].sum() == len(text.encode().split())
-
-
-def test_a_text_is_cut_alike_wherever_it_stands():
-    texts = [prose(k, 200) for k in range(5)]
-    together = op7.chunk_texts(texts)
-    for k, text in enumerate(texts):
-        alone = op7.chunk_texts([text])
-        mine = together[0] == k
-        assert all((a[mine] == b).all() for a, b in zip(together[1:], alone[1:]))
-
-
-def test_an_insertion_changes_only_chunks_around_it():
-    text = prose(3, 600)
-    moved = text[:1500] + " put in here " + text[1500:]
-    a, b = ({*zip(x[4].tolist(), x[5].tolist())} for x in (op7.chunk_texts([text]), op7.chunk_texts([moved])))
-    assert len(a - b) <= 8 < len(a & b)
-
-
 def planted(n_passages=20, copies=4, words=52):
     """Clean prose, and documents that share passages of ``words`` words."""
     rows, shared, n = [], {}, 0
@@ -188,7 +132,87 @@ def test_overlapping_excerpts_keep_one_copy_of_every_word(docs):
     left = " ".join(r["text"] for r in op7.without_repeats(df, passages).collect()).split()
     marked = [w for w in left if w[-1].isdigit()]
     assert sorted(marked) == sorted({w for _, t in rows for w in t.split() if w[-1].isdigit()})
-    got = [tuple(r) for r in passages.filter("doc_id < 100").orderBy("doc_id", "start").collect()]
+    got = [tuple(r) for r in passages.drop("part").filter("doc_id < 100").orderBy("doc_id", "start").collect()]
     assert [(d, n, copied, first, kept) for d, _, _, n, copied, first, kept in got] == [
         (0, 100, 0, 0, True), (1, 200, 100, 0, False), (1, 200, 0, 1, True), (2, 150, 150, 0, False),
     ]
+
+
+SLOW_WORD = re.compile("[\u0e00-\u0eff\u1000-\u10bf\u1780-\u17ff\u3040-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]|"
+                       "[^\0\t-\r \u0e00-\u0eff\u1000-\u10bf\u1780-\u17ff\u3040-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]+")
+
+
+def slow_words(text):
+    return [m.span() for m in SLOW_WORD.finditer(text)]
+
+
+def test_words_of_spaced_and_unspaced_scripts():
+    rng = random.Random(8)
+    alphabet = ["a", "bc", " ", "\n", "é", "漢", "字", "か", "ไ", "ມ", "က", "ក", "\U00020001", "€", "’", "한", "\U0001f600", "豈", "、"]
+    for _ in range(300):
+        text = "".join(rng.choices(alphabet, k=rng.randrange(0, 40)))
+        words = op7.Words(text)
+        assert [words.places(k, k + 1) for k in range(len(words))] == slow_words(text)
+
+
+def slow_passages(rows):
+    """Longest shared runs of 24 words or more, where no words are in more than two documents: {(doc, start, end, n)}."""
+    found = set()
+    split = [(d, t, slow_words(t)) for d, t in rows]
+    for i, (d, t, w) in enumerate(split):
+        for e, u, x in split[i + 1 :]:
+            at = {}
+            for k, (a, b) in enumerate(x):
+                at.setdefault(u[a:b], []).append(k)
+            for k in range(len(w)):
+                for m in at.get(t[slice(*w[k])], ()):
+                    n = 1
+                    while k + n < len(w) and m + n < len(x) and t[w[k][0] : w[k + n][1]] == u[x[m][0] : x[m + n][1]]:
+                        n += 1
+                    before = k and m and t[w[k - 1][0] : w[k][1]] == u[x[m - 1][0] : x[m][1]]
+                    if n >= op7.MIN_WORDS and not before:
+                        found |= {(d, w[k][0], w[k + n - 1][1], n), (e, x[m][0], x[m + n - 1][1], n)}
+    return found
+
+
+def han(seed, n):
+    rng = random.Random(seed)
+    return "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(n))
+
+
+def test_all_passages_of_random_texts(docs):
+    """Words and Han in one text, shared runs of 5 to 80 words: spans and numbers of words as from comparing all pairs."""
+    rng = random.Random(11)
+    texts = {d: [] for d in range(24)}
+    for k in range(60):
+        n = rng.randrange(5, 80)
+        passage = han(f"h{k}", n) if k % 3 == 0 else tokens(f"p{k}", n, (3, 6, 9))
+        for d in rng.sample(sorted(texts), 2):
+            texts[d] += [tokens(f"a{k}{d}", rng.randrange(1, 30), (4, 7)), passage, han(f"b{k}{d}", rng.randrange(1, 30))]
+    rows = [(d, rng.choice([" ", "\n", "  "]).join(parts)) for d, parts in texts.items()]
+    got = op7.repeated_passages(docs(rows, clashing=True)).collect()
+    want = slow_passages(rows)
+    assert {(r.doc_id, r.start, r.end, r.n_words) for r in got} == want and len(got) == len(want) > 50
+
+
+def test_text_without_white_space(docs):
+    passage = han("long", 3000)
+    rows = [(1, han("x", 500) + passage + han("y", 700)), (2, han("z", 90) + passage), (3, han("clean", 4000))]
+    got = sorted(op7.repeated_passages(docs(rows)).collect())
+    assert [(r.doc_id, r.start, r.end, r.n_words, r.kept) for r in got] == [(1, 500, 3500, 3000, True), (2, 90, 3090, 3000, False)]
+
+
+def test_one_id_with_several_texts(docs):
+    """Each text keeps its own spans; a text that shares nothing stays whole."""
+    first, second = prose("one", 60, 3000), prose("two", 60, 3000)
+    rows = [
+        (1, f"{first} {prose('u', 40, 3000)} {second}"), (2, f"{prose('v', 30, 3000)} {first}"), (2, f"{second} {prose('w', 200, 3000)}"),
+        (2, prose("x", 300, 3000)), (2, prose("x", 300, 3000)),
+    ]
+    df = docs(rows, clashing=True)
+    passages = op7.repeated_passages(df)
+    assert passages.filter("doc_id = 1 and part != 0").count() == 0
+    left = sorted(r["text"] for r in op7.without_repeats(df, passages).filter("doc_id = 2").collect())
+    assert left == sorted([prose("v", 30, 3000) + " ", " " + prose("w", 200, 3000), prose("x", 300, 3000), prose("x", 300, 3000)])
+    spans = {(r.start, r.end) for r in passages.filter("doc_id = 2").collect()}
+    assert spans == {(len(prose("v", 30, 3000)) + 1, len(rows[1][1])), (0, len(second))}

@@ -15,24 +15,25 @@ that occurred before is told apart from what occurs in it first, which is kept.
 An edge grows by ``SPREAD`` words at most, since further shared words hold a seed of their
 own.  Where that seed came first in a third document, the edge follows this one.
 
-``chunk_texts`` cuts texts into content-defined chunks; the passages do not use it.
+Words lie between ASCII white space.  A character of a script written without it (Han,
+kana, Thai, Lao, Khmer, Burmese) is a word of its own.
 
 Defined cases: null and empty texts have no words.  Repeated rows (same ``doc_id``, same
-text) are one occurrence.  Rows with a null ``doc_id`` cannot be named and are left out.
-Chunks of text without places to cut (one character over and over) end every ``MOST``
-bytes.  Other columns are ignored.  Texts are read in groups of bounded size; a single
-text is held whole, as Spark holds its row.
+text) are one occurrence.  Different texts of one ``doc_id`` are parts of one document:
+each has its own places, and ``part`` (a hash of the text, 0 for all other documents) says
+which one a row is about.  Rows with a null ``doc_id`` cannot be named and are left out.
+Other columns are ignored.  Texts are read in groups of bounded size; a single text is held
+whole, as Spark holds its row.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -40,8 +41,6 @@ from pyspark.sql.types import StructType
 from wardline.llm.words import groups, in_batches, splitmix
 from wardline.storage import materialize
 
-REACH = 20
-MOST = 8 * REACH
 MIN_WORDS = 24
 SPREAD = MIN_WORDS // 2  # words one of which closes a seed
 SEED = MIN_WORDS + 1 - SPREAD  # words of a seed: more than SPREAD, so that seeds of a passage touch
@@ -49,15 +48,24 @@ SEED = MIN_WORDS + 1 - SPREAD  # words of a seed: more than SPREAD, so that seed
 _GEAR = splitmix(np.arange(1, 257, dtype=np.uint64)).astype(np.uint32)
 _GEAR[0] = 0  # the byte between texts adds nothing
 _WINDOW = 16  # bytes that a gear hash sees
-_NONE = np.uint32(0xFFFFFFFF)
 
-SEEDS = "doc_id long, word int, digest long"
-FIRSTS = "first_doc_id long, first_word int, first_stop int, first_start int, first_end int, left binary, right binary"
-RANGES = "doc_id long, start long, end long, word int, stop int, copied boolean, first_doc_id long"
-PASSAGES = "doc_id long, start long, end long, n_words long, n_copied long, first_doc_id long, kept boolean"
-
-_BEFORE = re.compile(rb"[^\0\t-\r ]+[\0\t-\r ]+")  # a word with the white space behind it, and before it
-_BEHIND = re.compile(rb"[\0\t-\r ]+[^\0\t-\r ]+")
+# First two UTF-8 bytes (from, to) of the scripts without white space between words.
+_UNSPACED = [
+    (0xE0B8, 0xE0BB),  # Thai, Lao
+    (0xE180, 0xE182),  # Burmese
+    (0xE19E, 0xE19F),  # Khmer
+    (0xE381, 0xE9BF),  # kana, Han
+    (0xEFA4, 0xEFAB),  # Han, compatibility
+    (0xF0A0, 0xF0BF),  # Han, extensions
+]
+
+SEEDS = "doc_id long, part long, word int, digest long"
+FIRSTS = (
+    "first_doc_id long, first_part long, first_word int, first_stop int, first_start int, first_end int, "
+    "left binary, right binary"
+)
+RANGES = "doc_id long, part long, start long, end long, word int, stop int, copied boolean, first_doc_id long"
+PASSAGES = "doc_id long, part long, start long, end long, n_words long, n_copied long, first_doc_id long, kept boolean"
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
@@ -70,66 +78,21 @@ def gear_hashes(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def _least(h: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
-    """Smallest hash among the ``reach`` places before, and after, each place."""
-    padded = np.concatenate([np.full(reach, _NONE), h, np.full(reach + 1, _NONE)])
-    least, width = padded, 1
-    while 2 * width <= reach:
-        least = np.minimum(least[:-width], least[width:])
-        width *= 2
-    if width < reach:
-        least = np.minimum(least[: len(least) - (reach - width)], least[reach - width :])
-    n = len(h)
-    return least[:n], least[reach + 1 : reach + 1 + n]
-
-
-def cut_places(data: np.ndarray, reach: int = REACH) -> np.ndarray:
-    """Places after which a chunk ends, in UTF-8 bytes where zero bytes lie between texts."""
-    h = gear_hashes(data)
-    following = np.append(data[1:], 0)
-    h = np.where(((following & 0xC0) == 0x80) | (data == 0), _NONE, h)  # never inside a character
-    before, after = _least(h, reach)
-    return np.flatnonzero((h < before) & (h < after) & (h != _NONE))
-
-
-def chunk_texts(texts: list[str | None]) -> tuple[np.ndarray, ...]:
-    """Text, start and end (code points), words, and digest halves of every chunk."""
-    gap = b"\0" * (2 * REACH + _WINDOW)
-    encoded = [(t or "").encode("utf-8", "replace") for t in texts]
-    lengths = np.array([len(e) for e in encoded], np.int64)
-    begins = np.cumsum(lengths + len(gap)) - lengths
-    joined = gap + gap.join(encoded) + gap
-    data = np.frombuffer(joined, np.uint8)
-    ends = cut_places(data) + 1
-    owner = np.searchsorted(begins, ends - 1, "right") - 1
-    inside = (owner >= 0) & (ends < (begins + lengths)[owner])
-    full = lengths > 0
-    stops = np.sort(np.concatenate([ends[inside], (begins + lengths)[full]]))
-    starts = np.concatenate([begins[:1], stops[:-1]]) if len(stops) else stops
-    doc = np.searchsorted(begins, stops - 1, "right") - 1
-    starts = np.maximum(starts, begins[doc]) if len(stops) else starts
-    for k in np.flatnonzero(stops - starts > MOST)[::-1]:
-        more = np.arange(starts[k] + MOST, stops[k], MOST)
-        more = np.array([m - next(i for i in range(4) if (data[m - i] & 0xC0) != 0x80 or i == 3) for m in more])
-        starts = np.insert(starts, k + 1, more)
-        stops = np.insert(stops, k, more)
-        doc = np.insert(doc, k, np.full(len(more), doc[k]))
-    blank = (data == 32) | ((data >= 9) & (data <= 13)) | (data == 0)
-    first = np.concatenate([[0], np.cumsum(~blank[1:] & blank[:-1])])  # word beginnings up to each byte
-    points = np.cumsum((data & 0xC0) != 0x80)  # code points up to each byte
-    base = points[begins - 1][doc]
-    digests = b"".join([xxhash.xxh3_128_digest(joined[a:b]) for a, b in zip(starts.tolist(), stops.tolist())])
-    halves = np.frombuffer(digests, ">i8").astype(np.int64)
-    return (
-        doc, (points[starts - 1] - base).astype(np.int32), (points[stops - 1] - base).astype(np.int32),
-        (first[stops - 1] - first[starts - 1]).astype(np.int32), halves[::2], halves[1::2],
-    )
-
-
 def word_places(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end bytes of words in UTF-8 bytes that begin and end with a blank or zero byte."""
     blank = (data == 32) | ((data >= 9) & (data <= 13)) | (data == 0)
-    return np.flatnonzero(blank[:-1] & ~blank[1:]) + 1, np.flatnonzero(~blank[:-1] & blank[1:]) + 1
+    begins, ends = np.zeros(len(data), bool), np.zeros(len(data), bool)
+    begins[1:] = blank[:-1] & ~blank[1:]
+    ends[1:] = ~blank[:-1] & blank[1:]
+    leads = np.flatnonzero(data >= 0xE0)
+    pairs = (data[leads].astype(np.int32) << 8) | data[np.minimum(leads + 1, len(data) - 1)]
+    own = leads[np.any([(pairs >= low) & (pairs <= high) for low, high in _UNSPACED], axis=0)]
+    if len(own):
+        behind = own + np.where(data[own] >= 0xF0, 4, 3)
+        ends[own] |= ~blank[own - 1]
+        begins[behind] |= ~blank[behind]
+        begins[own] = ends[behind] = True
+    return np.flatnonzero(begins), np.flatnonzero(ends)
 
 
 def seed_texts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -158,51 +121,73 @@ def _named(docs: DataFrame) -> DataFrame:
     return docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text")
 
 
-def seeds(docs: DataFrame) -> DataFrame:
-    """Every seed of every text: (doc_id, word, digest)."""
+def shared_ids(docs: DataFrame) -> DataFrame:
+    """Ids of more than one text, written: (doc_id)."""
+    code = F.xxhash64("text")
+    of_id = _named(docs).filter(F.col("text").isNotNull()).groupBy("doc_id").agg(F.min(code).alias("least"), F.max(code).alias("most"))
+    return materialize(of_id.filter("least < most").select("doc_id"), "shared_ids")
+
+
+def _with_part(df: DataFrame, shared: DataFrame, doc_id: Column, text: Column) -> DataFrame:
+    """``df`` with ``part``: which of the texts of one id a row holds."""
+    ids = shared.select(F.col("doc_id").alias("_shared_id"))
+    part = F.when(F.col("_shared_id").isNotNull(), F.xxhash64(text)).otherwise(F.lit(0).cast("long"))
+    return df.join(ids, doc_id.cast("long") == F.col("_shared_id"), "left").withColumn("part", part).drop("_shared_id")
+
+
+def _texts(docs: DataFrame, shared: DataFrame) -> DataFrame:
+    """Documents with a text: (doc_id, part, text)."""
+    texts = _named(docs).filter(F.col("text").isNotNull())
+    return _with_part(texts, shared, F.col("doc_id"), F.col("text")).select("doc_id", "part", "text")
+
+
+def seeds(texts: DataFrame) -> DataFrame:
+    """Every seed of every text (doc_id, part, text): (doc_id, part, word, digest)."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.split()[0] for f in SEEDS.split(", ")]
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for first, texts in groups(batch.column(1)):
-                doc, *columns = seed_texts(texts)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[first + doc], pa.int64()), *map(pa.array, columns)], names=names)
+            ids, parts = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            for first, group in groups(batch.column(2)):
+                doc, *columns = seed_texts(group)
+                own = [pa.array(ids[first + doc], pa.int64()), pa.array(parts[first + doc], pa.int64())]
+                yield pa.RecordBatch.from_arrays([*own, *map(pa.array, columns)], names=names)
+
+    return texts.transform(in_batches, find, SEEDS)
 
-    return _named(docs).transform(in_batches, find, SEEDS)
 
+PLACE = ["first_doc_id", "first_part", "first_word", "first_stop"]
 
-def repeated_runs(docs: DataFrame, across: bool = True) -> DataFrame:
-    """Runs of seeds that occurred before, with their first place: (doc_id, word, stop, first_doc_id, first_word, first_stop).
+
+def repeated_runs(texts: DataFrame, across: bool = True) -> DataFrame:
+    """Runs of seeds that occurred before, with their first place: (doc_id, part, word, stop, first_doc_id, first_part, first_word, first_stop).
 
     ``across``: only seeds that two documents hold; else repeats inside a document as well.
     Seeds are found twice, once for each side of the join: they take more room than texts.
     """
-    every = seeds(docs)
+    every = seeds(texts)
     held = every.groupBy("digest").agg(
-        F.min(F.struct("doc_id", "word")).alias("first"), F.max("doc_id").alias("last_doc_id"), F.max("word").alias("last_word")
+        F.min(F.struct("doc_id", "part", "word")).alias("first"), F.max(F.struct("doc_id", "part", "word")).alias("last")
     )
-    several = F.col("first.doc_id") < F.col("last_doc_id")
-    if not across:
-        several = several | (F.col("first.word") < F.col("last_word"))
-    held = held.filter(several).select("digest", F.col("first.doc_id").alias("first_doc_id"), F.col("first.word").alias("first_word"))
-    copied = (F.col("doc_id") != F.col("first_doc_id")) | (F.col("word") != F.col("first_word"))
-    along = Window.partitionBy("doc_id").orderBy("word")
+    several = F.col("first.doc_id") < F.col("last.doc_id") if across else F.col("first") < F.col("last")
+    held = held.filter(several).select("digest", *(F.col(f"first.{c}").alias(f"first_{c}") for c in ("doc_id", "part", "word")))
+    here, there = (F.struct(*(F.col(f"{side}{c}").alias(c) for c in ("doc_id", "part", "word"))) for side in ("", "first_"))
+    along = Window.partitionBy("doc_id", "part").orderBy("word")
     shift = F.col("word") - F.col("first_word")
     goes_on = (
-        (F.col("first_doc_id") == F.lag("first_doc_id").over(along))
+        (F.col("first_doc_id") == F.lag("first_doc_id").over(along)) & (F.col("first_part") == F.lag("first_part").over(along))
         & (shift == F.lag(shift).over(along)) & (F.col("word") <= F.lag("word").over(along) + SEED)
     )
     marked = (
-        every.join(held, "digest").filter(copied).dropDuplicates(["doc_id", "word"])
+        every.join(held, "digest").filter(here != there).dropDuplicates(["doc_id", "part", "word"])
         .withColumn("new", F.when(goes_on, 0).otherwise(1)).withColumn("run", F.sum("new").over(along))
     )
-    runs = marked.groupBy("doc_id", "run").agg(
-        F.min("word").alias("word"), (F.max("word") + SEED).alias("stop"),
-        F.min("first_doc_id").alias("first_doc_id"), F.min("first_word").alias("first_word"),
+    runs = marked.groupBy("doc_id", "part", "run").agg(
+        F.min("word").alias("word"), (F.max("word") + SEED).alias("stop"), F.min("first_doc_id").alias("first_doc_id"),
+        F.min("first_part").alias("first_part"), F.min("first_word").alias("first_word"),
     )
     first_stop = (F.col("first_word") + F.col("stop") - F.col("word")).alias("first_stop")
-    return runs.select("doc_id", "word", "stop", "first_doc_id", "first_word", first_stop)
+    return runs.select("doc_id", "part", "word", "stop", "first_doc_id", "first_part", "first_word", first_stop)
 
 
 class Words:
@@ -229,8 +214,16 @@ class Words:
 def firsts_of(text: str, asked: list[dict]) -> list[tuple]:
     """Places and surroundings of runs of words."""
     words = Words(text)
-    spans = [(a["first_word"], a["first_stop"]) for a in asked]  # beyond the words: of another text with this doc_id
-    return [(*span, *words.places(*span), *words.sides(*span)) for span in spans if span[1] <= len(words)]
+    spans = [(a["first_word"], a["first_stop"]) for a in asked]
+    return [(*span, *words.places(*span), *words.sides(*span)) for span in spans]
+
+
+def _pieces(side: bytes, behind: bool) -> list[bytes]:
+    """Words of one side of a run, nearest first, each with the white space between it and the run."""
+    starts, ends = word_places(np.frombuffer(b" " + side + b" ", np.uint8))
+    edges = [0, *(ends - 1).tolist()] if behind else [*(starts - 1).tolist(), len(side)]
+    found = [side[a:b] for a, b in zip(edges, edges[1:])]
+    return found if behind else found[::-1]
 
 
 def agreeing(a: Iterable[bytes], b: Iterable[bytes]) -> tuple[int, int]:
@@ -243,19 +236,17 @@ def agreeing(a: Iterable[bytes], b: Iterable[bytes]) -> tuple[int, int]:
     return n, points
 
 
-def ranges_of(text: str, doc_id: int, runs: list[dict]) -> list[tuple]:
+def ranges_of(text: str, doc_id: int, part: int, runs: list[dict]) -> list[tuple]:
     """Runs of a document grown at both edges, and the same of their first places."""
     words, found = Words(text), []
     for r in runs:
-        if r["stop"] > len(words):
-            continue
         left, right = words.sides(r["word"], r["stop"])
-        more_left, before = agreeing(_BEFORE.findall(left)[::-1], _BEFORE.findall(r["left"])[::-1])
-        more_right, behind = agreeing(_BEHIND.findall(right), _BEHIND.findall(r["right"]))
+        more_left, before = agreeing(_pieces(left, False), _pieces(r["left"], False))
+        more_right, behind = agreeing(_pieces(right, True), _pieces(r["right"], True))
         start, end = words.places(r["word"], r["stop"])
-        found.append((doc_id, start - before, end + behind, r["word"] - more_left, r["stop"] + more_right, True, r["first_doc_id"]))
+        found.append((doc_id, part, start - before, end + behind, r["word"] - more_left, r["stop"] + more_right, True, r["first_doc_id"]))
         found.append((
-            r["first_doc_id"], r["first_start"] - before, r["first_end"] + behind,
+            r["first_doc_id"], r["first_part"], r["first_start"] - before, r["first_end"] + behind,
             r["first_word"] - more_left, r["first_stop"] + more_right, False, r["first_doc_id"],
         ))
     return found
@@ -276,27 +267,24 @@ def _rows(df: DataFrame, function: Callable[..., list[tuple]], ddl: str) -> Data
 
 
 def shared_ranges(docs: DataFrame, across: bool = True) -> DataFrame:
-    """Ranges that occurred before and, with ``copied`` false, where they did: (doc_id, start, end, word, stop, copied, first_doc_id)."""
-    spark = docs.sparkSession
-    runs = materialize(repeated_runs(docs, across), "runs")
-    spark._jvm.System.gc()  # Spark deletes the shuffled seeds when their plan is collected
-    texts = _named(docs).filter(F.col("text").isNotNull())
-    place = ["first_doc_id", "first_word", "first_stop"]
-    asked = runs.select(*place).distinct().groupBy(F.col("first_doc_id").alias("doc_id")).agg(
+    """Ranges that occurred before and, with ``copied`` false, where they did: (doc_id, part, start, end, word, stop, copied, first_doc_id)."""
+    texts = _texts(docs, shared_ids(docs))
+    runs = materialize(repeated_runs(texts, across), "runs")
+    asked = runs.select(*PLACE).distinct().groupBy(F.col("first_doc_id").alias("doc_id"), F.col("first_part").alias("part")).agg(
         F.collect_list(F.struct("first_word", "first_stop")).alias("asked")
     )
     firsts = _rows(
-        texts.join(asked, "doc_id").select("doc_id", "text", "asked"),
-        lambda doc_id, text, asked: [(doc_id, *r) for r in firsts_of(text, asked)], FIRSTS,
-    ).dropDuplicates(place)
-    listed = runs.join(firsts, place).groupBy("doc_id").agg(
-        F.collect_list(F.struct("word", "stop", *place, "first_start", "first_end", "left", "right")).alias("runs")
+        texts.join(asked, ["doc_id", "part"]).select("doc_id", "part", "text", "asked"),
+        lambda doc_id, part, text, asked: [(doc_id, part, *r) for r in firsts_of(text, asked)], FIRSTS,
+    ).dropDuplicates(PLACE)
+    listed = runs.join(firsts, PLACE).groupBy("doc_id", "part").agg(
+        F.collect_list(F.struct("word", "stop", *PLACE, "first_start", "first_end", "left", "right")).alias("runs")
     )
-    return _rows(texts.join(listed, "doc_id").select("text", "doc_id", "runs"), ranges_of, RANGES).distinct()
+    return _rows(texts.join(listed, ["doc_id", "part"]).select("text", "doc_id", "part", "runs"), ranges_of, RANGES).distinct()
 
 
 def joined_ranges(ranges: list[dict], min_words: int) -> list[tuple]:
-    """Rows of one document from its ranges: (start, end, n_words, n_copied, first_doc_id, kept)."""
+    """Rows of one text from its ranges: (start, end, n_words, n_copied, first_doc_id, kept)."""
     passages: list[list[dict]] = []
     stop = -1
     for r in sorted(ranges, key=lambda r: (r["word"], r["stop"])):
@@ -329,7 +317,7 @@ def joined_ranges(ranges: list[dict], min_words: int) -> list[tuple]:
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, across: bool = True) -> DataFrame:
-    """Passages that documents share: (doc_id, start, end, n_words, n_copied, first_doc_id, kept).
+    """Passages that documents share: (doc_id, part, start, end, n_words, n_copied, first_doc_id, kept).
 
     Texts without one have no row.  Places are code points.  A passage has a row for each
     part that occurred before (in a document with a smaller id, or further up), with its
@@ -337,17 +325,17 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, across: bool
     ``n_words`` counts the words of the whole passage, in every row of it.  So of all
     words that are not kept, the same words stay where they occurred first.
     """
-    held = shared_ranges(docs, across).groupBy("doc_id").agg(
+    held = shared_ranges(docs, across).groupBy("doc_id", "part").agg(
         F.collect_list(F.struct("start", "end", "word", "stop", "copied", "first_doc_id")).alias("ranges")
     )
-    return _rows(held, lambda doc_id, ranges: [(doc_id, *r) for r in joined_ranges(ranges, min_words)], PASSAGES)
+    return _rows(held, lambda doc_id, part, ranges: [(doc_id, part, *r) for r in joined_ranges(ranges, min_words)], PASSAGES)
 
 
 def without_repeats(docs: DataFrame, passages: DataFrame) -> DataFrame:
     """``docs`` with the passages that are not kept cut out of their texts; all columns as they were."""
-    spans = passages.filter(~F.col("kept")).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
-    row = F.struct(*docs.columns).alias("row")
-    joined = docs.select(F.col("doc_id"), row).join(spans, "doc_id", "left")
+    spans = passages.filter(~F.col("kept")).groupBy("doc_id", "part").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    rows = docs.select("doc_id", F.struct(*docs.columns).alias("row"))
+    joined = _with_part(rows, shared_ids(docs), F.col("doc_id"), F.col("row.text")).join(spans, ["doc_id", "part"], "left")
     text = F.col("row.text")
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
     folded = F.aggregate(
