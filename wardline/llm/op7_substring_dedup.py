@@ -28,7 +28,7 @@ whole, as Spark holds its row.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +59,8 @@ _UNSPACED = [
     (0xF0A0, 0xF0BF),  # Han, extensions
 ]
 
+_SPLIT = b"\xff"  # a byte that UTF-8 never holds
+
 SEEDS = "doc_id long, part long, word int, digest long"
 FIRSTS = (
     "first_doc_id long, first_part long, first_word int, first_stop int, first_start int, first_end int, "
@@ -196,7 +198,8 @@ class Words:
     def __init__(self, text: str) -> None:
         self.data = b" " + text.encode("utf-8", "replace") + b" "
         data = np.frombuffer(self.data, np.uint8)
-        self.starts, self.ends = word_places(data)
+        starts, ends = word_places(data)
+        self.starts, self.ends = starts.tolist(), ends.tolist()
         self.points = np.cumsum((data & 0xC0) != 0x80) - 2
 
     def __len__(self) -> int:
@@ -206,9 +209,14 @@ class Words:
         return int(self.points[self.starts[word]]), int(self.points[self.ends[stop - 1]])
 
     def sides(self, word: int, stop: int) -> tuple[bytes, bytes]:
-        """The words before ``word`` and from ``stop`` on, as many as an edge may grow by."""
-        left = self.data[self.starts[max(word - SPREAD, 0)] : self.starts[word]]
-        return left, self.data[self.ends[stop - 1] : self.ends[min(stop + SPREAD, len(self)) - 1]]
+        """The words before ``word`` and from ``stop`` on, as many as an edge may grow by.
+
+        Nearest first, each with the white space between it and the run, split by ``_SPLIT``.
+        """
+        data, starts, ends = self.data, self.starts, self.ends
+        left = [data[starts[k] : starts[k + 1]] for k in range(word - 1, max(word - SPREAD, 0) - 1, -1)]
+        right = [data[ends[k - 1] : ends[k]] for k in range(stop, min(stop + SPREAD, len(ends)))]
+        return _SPLIT.join(left), _SPLIT.join(right)
 
 
 def firsts_of(text: str, asked: list[dict]) -> list[tuple]:
@@ -218,21 +226,14 @@ def firsts_of(text: str, asked: list[dict]) -> list[tuple]:
     return [(*span, *words.places(*span), *words.sides(*span)) for span in spans]
 
 
-def _pieces(side: bytes, behind: bool) -> list[bytes]:
-    """Words of one side of a run, nearest first, each with the white space between it and the run."""
-    starts, ends = word_places(np.frombuffer(b" " + side + b" ", np.uint8))
-    edges = [0, *(ends - 1).tolist()] if behind else [*(starts - 1).tolist(), len(side)]
-    found = [side[a:b] for a, b in zip(edges, edges[1:])]
-    return found if behind else found[::-1]
-
-
-def agreeing(a: Iterable[bytes], b: Iterable[bytes]) -> tuple[int, int]:
-    """How many words agree from the beginning of two lists on, and their code points."""
+def agreeing(a: bytes, b: bytes) -> tuple[int, int]:
+    """How many words of two sides agree from the nearest on, and their code points."""
     n = points = 0
-    for x, y in zip(a, b):
-        if x != y:
-            break
-        n, points = n + 1, points + len(x.decode())
+    if a and b:
+        for x, y in zip(a.split(_SPLIT), b.split(_SPLIT)):
+            if x != y:
+                break
+            n, points = n + 1, points + len(x.decode())
     return n, points
 
 
@@ -241,8 +242,8 @@ def ranges_of(text: str, doc_id: int, part: int, runs: list[dict]) -> list[tuple
     words, found = Words(text), []
     for r in runs:
         left, right = words.sides(r["word"], r["stop"])
-        more_left, before = agreeing(_pieces(left, False), _pieces(r["left"], False))
-        more_right, behind = agreeing(_pieces(right, True), _pieces(r["right"], True))
+        more_left, before = agreeing(left, r["left"])
+        more_right, behind = agreeing(right, r["right"])
         start, end = words.places(r["word"], r["stop"])
         found.append((doc_id, part, start - before, end + behind, r["word"] - more_left, r["stop"] + more_right, True, r["first_doc_id"]))
         found.append((
