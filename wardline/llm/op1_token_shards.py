@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.words import groups, in_batches
+from wardline.llm.words import groups, in_batches, word_hashes
 
 CACHED_WORDS = 300_000
 
@@ -131,6 +131,8 @@ def word_encoder(path: str, special_as_text: bool = False) -> Encoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
+    word_hashes.cache_clear()  # worker processes outlive operators: no table of an earlier one beside this one's
+    pa.default_memory_pool().release_unused()
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = special_as_text
     words = _Words(tokenizer)
