@@ -271,6 +271,8 @@ def _expanded_meds(s: Study) -> DataFrame:
 
 
 def _site_stamped(s: Study) -> DataFrame:
+    """Keys of all six tables; as in a report, the cohort's facts are cut out once for them."""
+    s.prepare()
     parts = [
         privacy.with_site(raw_table(s, spec), s.cfg)
         .select(F.lit(spec.name).alias("table_name"), "siteid", F.concat_ws("|", *spec.key).alias("key"))

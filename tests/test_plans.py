@@ -239,3 +239,11 @@ def test_attributes_are_read_once(study):
     )
     assert len(re.findall(r"FileScan parquet.*c_custkey", found)) == 3  # sex, age, race
     assert len(re.findall(r"FileScan parquet.*concept_cd", found)) == 1
+
+
+def test_six_tables_read_the_cut_facts(spark):
+    """Stamping all tables cuts the cohort's facts out once; only the cut is read afterwards."""
+    s = entry.study(spark, SMALL)
+    found = plan(entry._site_stamped(s))
+    assert "facts" in s.__dict__ and "lineitem.parquet" not in found
+    s.close()
