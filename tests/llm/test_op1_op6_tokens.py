@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -11,7 +12,7 @@ from tokenizers import Tokenizer
 
 from wardline.llm import op1_token_shards as op1
 from wardline.llm import op6_token_counts as op6
-from wardline.llm import queries
+from wardline.llm import queries, words
 from wardline.storage import materialize
 
 from .conftest import odd_rows, prose
@@ -208,3 +209,28 @@ def test_queries_over_the_smallest_tables(spark):
     assert _plain(queries.op1_token_shards(spark, sf).collect()) == _index([tuple(r) for r in rows])
     got = {r.doc_id: r.n_tokens for r in queries.op6_token_counts(spark, sf).collect()}
     assert got == {r.doc_id: len(AS_TEXT.encode(r.text, add_special_tokens=False).ids) for r in rows}
+
+
+def test_a_worker_keeps_the_tables_of_one_operator():
+    words.take_over("one")
+    hashes, encoder = words.word_hashes(), op1.word_encoder(PATH)
+    words.take_over("one")
+    assert words.word_hashes() is hashes and op1.word_encoder(PATH) is encoder
+    words.take_over("another")
+    assert words.word_hashes() is not hashes and op1.word_encoder(PATH) is not encoder
+
+
+def test_tasks_take_their_worker_over(spark):
+    """What an earlier operator's task has kept is gone when another's begins."""
+
+    def task_of(owner):
+        def task(batches):
+            for batch in batches:
+                held = words.word_hashes.cache_info().currsize
+                words.word_hashes()
+                yield pa.RecordBatch.from_pydict({"held": pa.array([held] * len(batch), pa.int32())})
+
+        task.__module__ = owner
+        return words.in_batches(spark.range(1, numPartitions=1), task, "held int").first().held
+
+    assert [task_of("a"), task_of("b"), task_of("c")] == [0, 0, 0]

@@ -19,7 +19,6 @@ import os
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
-from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -28,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.words import groups, in_batches, word_hashes
+from wardline.llm.words import groups, in_batches, kept
 
 CACHED_WORDS = 300_000
 
@@ -118,7 +117,7 @@ def _by_words(data: bytes) -> bool:
     return b"<|" not in data and len(data.translate(None, _CONTROL)) == len(data)
 
 
-@cache
+@kept
 def word_encoder(path: str, special_as_text: bool = False) -> Encoder:
     """An encoder for a vocabulary that lower-cases, drops white space and splits letters from marks.
 
@@ -131,8 +130,6 @@ def word_encoder(path: str, special_as_text: bool = False) -> Encoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    word_hashes.cache_clear()  # worker processes outlive operators: no table of an earlier one beside this one's
-    pa.default_memory_pool().release_unused()
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = special_as_text
     words = _Words(tokenizer)
@@ -155,7 +152,7 @@ def word_encoder(path: str, special_as_text: bool = False) -> Encoder:
     return encode
 
 
-@cache
+@kept
 def text_encoder(path: str) -> Encoder:
     """An encoder for any file of the tokenizers library: whole texts, one by one."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"

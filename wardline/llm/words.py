@@ -6,6 +6,8 @@ and shingles are compared by 64-bit hashes that depend on nothing but the text.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 from collections.abc import Iterator
 from functools import cache
@@ -44,9 +46,37 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-@cache
+_caches: list = []
+_owner: str | None = None
+
+
+def kept(make):
+    """``functools.cache`` for what a worker process keeps for all tasks of one operator."""
+    made = cache(make)
+    _caches.append(made)
+    return made
+
+
+def take_over(owner: str) -> None:
+    """Drops what tasks of another operator have kept in this worker process, and gives the memory back.
+
+    Worker processes outlive operators; without this each holds the tables of all it ran.
+    """
+    global _owner
+    if owner == _owner:
+        return
+    _owner = owner
+    for made in _caches:
+        made.cache_clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc keeps freed memory else
+        trim(0)
+
+
+@kept
 def word_hashes() -> WordHashes:
-    """The one table of word hashes that a worker process keeps for all its tasks."""
+    """The one table of word hashes that a worker process keeps for all the operator's tasks."""
     return WordHashes()
 
 
@@ -144,7 +174,13 @@ def in_batches(df: DataFrame, function, schema: str | StructType) -> DataFrame:
     conf = df.sparkSession.conf
     if not 0 < int(conf.get(_BATCH_ROWS)) <= BATCH_ROWS:
         conf.set(_BATCH_ROWS, str(BATCH_ROWS))
-    return df.mapInArrow(function, schema)
+    owner = function.__module__
+
+    def task(batches):
+        take_over(owner)
+        yield from function(batches)
+
+    return df.mapInArrow(task, schema)
 
 
 def groups(texts: pa.Array, most: int = 1_000_000) -> Iterator[tuple[int, list[str | None]]]:
