@@ -211,6 +211,27 @@ def test_queries_over_the_smallest_tables(spark):
     assert got == {r.doc_id: len(AS_TEXT.encode(r.text, add_special_tokens=False).ids) for r in rows}
 
 
+def test_marks_behind_letters_need_no_call_of_their_own(monkeypatch):
+    """The library is asked once for words of letters and once for each run of marks."""
+    asked = []
+
+    class Counted:
+        def __getattr__(self, name):
+            return getattr(TOKENIZER, name)
+
+        def encode(self, text, **settings):
+            asked.append(text)
+            return TOKENIZER.encode(text, **settings)
+
+    monkeypatch.setattr(op1, "TOGETHER", 3)
+    marked = [core + marks for core in ("abc", "wort", "été", "señ", "über") for marks in ("$$$", "&&&", ",%%%", "!!", ".")]
+    many = [w.encode() for w in [*marked, "plain", "x1", "a-b", "it's", "l'été.", "é", "ß,", "\u0131."]]
+    found = op1._Words(Counted()).of(many)
+    expected = [TOKENIZER.encode(w.decode(), add_special_tokens=False).ids for w in many]
+    assert [np.frombuffer(x, np.uint32).tolist() for x in found] == expected
+    assert not set(asked) & set(marked) and len(asked) == len(set(asked))
+
+
 def test_a_worker_keeps_the_tables_of_one_operator():
     words.take_over("one")
     hashes, encoder = words.word_hashes(), op1.word_encoder(PATH)

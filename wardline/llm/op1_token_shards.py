@@ -16,6 +16,7 @@ whole, with its ids, as Spark holds the row itself; nothing else grows with the
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from wardline.llm.words import groups, in_batches, kept
 
 CACHED_WORDS = 300_000
+TOGETHER = 16_000
 
 BLOCKS = (
     "shard int, block int, first long, width int, doc_ids array<long>, offsets array<long>, payload binary"
@@ -59,8 +61,8 @@ class _Words:
 
     def of(self, words: list[bytes]) -> list[bytes]:
         values = list(map(self.known.get, words))
-        if None in values:
-            places = _places_of(None, values)
+        places = [i for i, value in enumerate(values) if value is None]
+        if places:
             found = self._encode({words[i] for i in places})
             for i in places:
                 values[i] = found[words[i]]
@@ -71,42 +73,56 @@ class _Words:
     def _encode(self, words: set[bytes]) -> dict[bytes, bytes]:
         """Ids of unknown words.
 
-        A full stop or comma after an ASCII letter is a token of its own, so such words
-        are put together from two.  Words of letters alone are encoded together, as one
-        text: every id that ends a word ends one of them.
+        ASCII marks after a letter are a token run of their own, so such words are put
+        together from two.  Words of letters alone are encoded together, as one text:
+        every id that ends a word ends one of them.
         """
-        marked = {w for w in words if len(w) > 1 and w[-1] in b".," and 97 <= w[-2] <= 122}
-        bare = {w for w in words if w not in marked}
-        bare.update(w for m in marked for w in (m[:-1], m[-1:]) if w not in self.known)
-        letters = [w for w in map(bytes.decode, bare) if w.isalpha() and max(w) < "\u0250" and w.lower().isalpha()]
+        letters = [w for w in words if w.isalpha()]  # of bytes: ASCII letters alone
+        others, marked = [], {}
+        known, asked = self.known, set(letters)
+        for word in words - asked:
+            core = word.rstrip(_MARKS)
+            pieces = (core, word[len(core) :]) if core != word and _ends_in_letter(core) else (word,)
+            if len(pieces) == 2:
+                marked[word] = pieces
+            for piece in pieces:
+                if piece not in asked and piece not in known:
+                    asked.add(piece)
+                    (letters if _latin(piece.decode()) else others).append(piece)
         found = self._together(letters) if letters else {}
-        for word in bare:
-            if word not in found:
-                ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-                found[word] = array("I", ids).tobytes()
-        for word in marked:
-            core, mark = (found.get(w) or self.known[w] for w in (word[:-1], word[-1:]))
-            found[word] = core + mark
+        if len(found) < len(letters):
+            others += [w for w in letters if w not in found]
+        for word in others:
+            ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+            found[word] = array("I", ids).tobytes()
+        for word, (core, marks) in marked.items():
+            found[word] = (found.get(core) or known[core]) + (found.get(marks) or known[marks])
         return found
 
-    def _together(self, letters: list[str]) -> dict[bytes, bytes]:
-        (encoding,) = self.tokenizer.encode_batch_fast([" ".join(letters)], add_special_tokens=False)
-        ids = np.array(encoding.ids, np.uint32)
-        stops = np.flatnonzero(self.ends[ids]) + 1
-        if len(stops) != len(letters):
-            return {}
-        joined, at = ids.tobytes(), (4 * stops).tolist()
-        return {w.encode(): joined[a:b] for w, a, b in zip(letters, [0, *at], at)}
+    def _together(self, letters: list[bytes]) -> dict[bytes, bytes]:
+        """Some thousand words at a time: the library holds a text many times over while it encodes it."""
+        found = {}
+        for lo in range(0, len(letters), TOGETHER):
+            words = letters[lo : lo + TOGETHER]
+            (encoding,) = self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)
+            ids = np.array(encoding.ids, np.uint32)
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) == len(words):
+                joined, at = ids.tobytes(), (4 * stops).tolist()
+                found.update((w, joined[a:b]) for w, a, b in zip(words, [0, *at], at))
+        return found
+
+
+_MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum() and c != 0x27)  # the apostrophe may begin a contraction
+
+
+# Letters below U+0250; the dotted capital I is not one letter in lower case.
+_latin = re.compile("[a-zªµºÀ-ÖØ-öø-įı-ɏ]+").fullmatch
 
 
-def _places_of(item: object, items: list) -> list[int]:
-    places, at = [], -1
-    while True:
-        try:
-            at = items.index(item, at + 1)
-        except ValueError:
-            return places
-        places.append(at)
+def _ends_in_letter(word: bytes) -> bool:
+    """Whether the last character is a letter that nothing behind it can change."""
+    return word[-1:].isalpha() or (len(word) > 1 and 0xC3 <= word[-2] <= 0xC8 and _latin(word[-2:].decode()) is not None)
 
 
 _CONTROL = bytes([*range(0x09), *range(0x0B, 0x20)])
@@ -125,7 +141,7 @@ def word_encoder(path: str, special_as_text: bool = False) -> Encoder:
     words far more often than they bring new ones.  The ids are those of the whole text:
     such a vocabulary never joins characters across white space.  With ``special_as_text``
     no text can bring a special token's id into the stream.  A worker process keeps one
-    encoder for all its tasks.
+    encoder for all the operator's tasks.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
